@@ -21,8 +21,8 @@ def _counts(df, **exprs):
 
 
 @query("sc01_text_key", """
-SELECT doc_id, md5(trim(regexp_replace(upper(strip_accents(text)), '[^A-Z0-9]+', ' ', 'g'))) AS key_md5,
-  length(trim(regexp_replace(upper(strip_accents(text)), '[^A-Z0-9]+', ' ', 'g'))) AS key_len FROM documents""")
+SELECT doc_id, md5(trim(regexp_replace(upper(strip_accents(replace(text, 'ß', 'SS'))), '[^A-Z0-9]+', ' ', 'g'))) AS key_md5,
+  length(trim(regexp_replace(upper(strip_accents(replace(text, 'ß', 'SS'))), '[^A-Z0-9]+', ' ', 'g'))) AS key_len FROM documents""")
 def _(s, d):
     k = X.text_key("text")
     return C.table(s, d, "documents").select("doc_id", F.md5(k).alias("key_md5"), F.length(k).alias("key_len"))
