@@ -1,7 +1,7 @@
 """Registered queries with their SQL counterparts."""
 from importlib import import_module
 
-MODULES = ("q_expressions", "q_indicators")
+MODULES = ("q_expressions", "q_indicators", "q_series")
 
 
 def load():

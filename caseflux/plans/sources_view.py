@@ -27,3 +27,54 @@ def coordinates_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("s_acctbal") < 3000, (lat * 100).cast("bigint").cast("string")).otherwise(lat_text).alias("lat_raw"),
         F.when(F.col("s_acctbal") < 5000, (lon * 10000).cast("string")).otherwise(lon.cast("string")).alias("lon_raw"),
     )
+
+
+def exams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Laboratory extract: a line item is an exam of the order's person."""
+    li, o, p, t = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders"), people(spark, sf_dir), territory(spark, sf_dir)
+    j = li.join(o.select("o_orderkey", "o_custkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey")).join(
+        p, F.col("o_custkey") == F.col("c_custkey")).join(t, F.col("c_nationkey") == F.col("n_nationkey"))
+    d0, q = F.to_date("o_orderdate"), F.col("l_quantity").cast("int")
+    n = F.col("l_linenumber")
+    return j.select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("exam_id"),
+        F.when(F.col("l_returnflag") == "A", F.col("l_orderkey").cast("string")).alias("notification"),
+        F.date_add("birth_date", F.when(n == 7, 1).otherwise(0)).alias("birth_date"), "sex_raw", "region",
+        F.when(n != 6, F.substring("code_raw", 1, 6)).alias("code6"),
+        F.when(n <= 4, "Neisseria PCR").when(n == 5, "LCR - cultura").otherwise("Hemograma").alias("exam"),
+        F.when(n <= 2, "RT-PCR").when(n <= 4, "Látex").otherwise("Cultura").alias("method"),
+        F.when(F.col("l_linestatus") == "F", "Resultado Liberado").otherwise("Em análise").alias("exam_status"),
+        F.when(F.col("l_returnflag") == "R", "Neisseria meningitidis: Detectável").when(
+            F.col("l_returnflag") == "A", "Neisseria meningitidis: Não detectável").alias("field_1"),
+        F.when((F.col("l_returnflag") == "R") & (n == 1), "Grupo – Neisseria meningitidis: B").when(
+            (F.col("l_returnflag") == "R") & (n == 2), "Grupo Neisseria meningitidis: C").alias("field_2"),
+        F.date_add(d0, q - 10).alias("collected_date"),
+        F.date_add(d0, q - 10 + F.round(F.col("l_tax") * 100, 0).cast("int")).alias("released_date"),
+    )
+
+
+EXAMS_CTE = """
+exams AS (
+  SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS exam_id,
+    CASE WHEN l_returnflag = 'A' THEN CAST(l_orderkey AS VARCHAR) END AS notification,
+    birth_date + CASE WHEN l_linenumber = 7 THEN 1 ELSE 0 END AS birth_date, sex_raw, r_name AS region,
+    CASE WHEN l_linenumber <> 6 THEN '51' || lpad(CAST(n_nationkey AS VARCHAR), 4, '0') END AS code6,
+    l_linenumber AS ln, l_returnflag AS rf, l_linestatus AS ls,
+    CAST(o_orderdate AS DATE) + CAST(l_quantity AS INTEGER) - 10 AS collected_date,
+    CAST(o_orderdate AS DATE) + CAST(l_quantity AS INTEGER) - 10 + CAST(round(l_tax * 100) AS INTEGER) AS released_date,
+    CAST(round(l_tax * 100) AS INTEGER) AS turnaround
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN people ON o_custkey = c_custkey
+  JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+ex AS (
+  SELECT *, CAST(rf = 'R' AS INTEGER) AS nm_detected, CAST(rf = 'R' AS INTEGER) AS lab_positive, 0 AS hi_detected,
+    CASE WHEN rf = 'R' AND ln = 1 THEN 'B' WHEN rf = 'R' AND ln = 2 THEN 'C' ELSE '' END AS lab_serogroup,
+    CAST(ln <= 2 AS INTEGER) AS is_pcr, CAST(ln = 5 AS INTEGER) AS is_culture, CAST(ln BETWEEN 3 AND 4 AS INTEGER) AS is_latex,
+    CAST(ls = 'F' AS INTEGER) AS released
+  FROM exams WHERE ln <= 5)"""
+
+
+def climate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Station readings: the event stream by day and type; values are the measurements."""
+    e = table(spark, sf_dir, "events")
+    return e.select(F.to_date("ts").alias("date"), F.col("event_type").alias("station"),
+                    F.col("value").alias("temperature_mean"), (F.col("value") / 2).alias("humidity"))
