@@ -1,7 +1,7 @@
 """Registered queries with their SQL counterparts."""
 from importlib import import_module
 
-MODULES = ("q_expressions", "q_indicators", "q_series")
+MODULES = ("q_expressions", "q_indicators", "q_series", "q_tables")
 
 
 def load():

@@ -74,8 +74,8 @@ def _(s, d):
 
 @query("wn07_space_time_scan", CASES + """, k AS (SELECT municipality, date_trunc('week', event_date)::DATE AS monday, count(*) AS y FROM cases
   WHERE class_group = 'Doença meningocócica' GROUP BY 1, 2), b AS (SELECT min(monday) AS lo, max(monday) AS hi FROM k),
-g AS (SELECT municipality, monday, coalesce(y, 0) AS y FROM (SELECT DISTINCT municipality FROM k), (SELECT unnest(generate_series(lo, hi, INTERVAL 7 DAY))::DATE AS monday FROM b)
-  LEFT JOIN k USING (municipality, monday)),
+u AS (SELECT m.municipality, w.monday FROM (SELECT DISTINCT municipality FROM k) m CROSS JOIN (SELECT unnest(generate_series(lo, hi, INTERVAL 7 DAY))::DATE AS monday FROM b) w),
+g AS (SELECT u.municipality, u.monday, coalesce(y, 0) AS y FROM u LEFT JOIN k ON k.municipality = u.municipality AND k.monday = u.monday),
 r AS (SELECT *, sum(y) OVER (PARTITION BY municipality ORDER BY monday ROWS 3 PRECEDING) AS observed,
   CASE WHEN count(y) OVER p >= 4 THEN avg(y) OVER p * 4 END AS expected FROM g
   WINDOW p AS (PARTITION BY municipality ORDER BY monday ROWS BETWEEN 55 PRECEDING AND 4 PRECEDING)),
