@@ -145,27 +145,23 @@ def with_coordinates(df: DataFrame, coords: DataFrame, code: str = "code6", name
     return j.withColumns({"lat": best["lat"], "lon": best["lon"]}).drop("_cc", "_cn", "_c1", "_c2")
 
 
-def region_from_text(df: DataFrame, places: DataFrame, text: str, key: str, gram: int = 4,
-                     max_len: int = 60) -> DataFrame:
+def region_from_text(df: DataFrame, places: DataFrame, text: str, key: str, gram: int = 4) -> DataFrame:
     """JN18: region of the longest place name that occurs in a text.
 
     Every text position is matched on its first letters with the place names (an equi-join), then
-    the whole name is compared; names shorter than `gram` are padded by their own length.
+    the whole name is compared. Positions carry as many letters as the longest name has.
     """
     p = places.select(F.upper(F.trim("place")).alias("_p"), F.col("region").alias("_reg")).filter(F.length("_p") > 0)
     p = p.groupBy("_p").agg(F.min("_reg").alias("_reg"))
-    p = p.select("_p", "_reg", F.substring("_p", 1, gram).alias("_g"), F.least(F.length("_p"), F.lit(gram)).alias("_gl"))
-    t = F.upper(F.col(text))
-    windows = df.select(
-        F.col(key).alias("_k"),
-        F.explode(F.transform(F.sequence(F.lit(1), F.greatest(F.length(t), F.lit(1))),
-                              lambda i: F.substring(t, i, F.lit(max_len)))).alias("_w"),
-    )
-    grams = windows.select(
-        "_k", "_w", F.explode(F.array_distinct(F.array(*[F.substring("_w", 1, n) for n in range(1, gram + 1)]))).alias("_g")
-    )
+    longest = p.agg(F.max(F.length("_p"))).scalar()
+    p = p.select("_p", "_reg", F.substring("_p", 1, gram).alias("_g"))
+    t = df.select(F.col(key).alias("_k"), F.upper(F.col(text)).alias("_t"), longest.alias("_m")).filter(F.length("_t") > 0)
+    windows = t.select("_k", F.explode(F.transform(F.sequence(F.lit(1), F.length("_t")),
+                                                   lambda i: F.substring(F.col("_t"), i, F.col("_m")))).alias("_w"))
+    starts = F.array_distinct(F.array(*[F.substring("_w", 1, n) for n in range(1, gram + 1)]))
     hits = (
-        grams.join(p, "_g").filter(F.col("_w").startswith(F.col("_p")))
+        windows.select("_k", "_w", F.explode(starts).alias("_g"))
+        .join(p, "_g").filter(F.col("_w").startswith(F.col("_p")))
         .groupBy("_k").agg(F.max(F.struct(F.length("_p").alias("n"), "_p", "_reg")).alias("_b"))
         .select("_k", F.col("_b._p").alias("place"), F.col("_b._reg").alias("region_found"))
     )
