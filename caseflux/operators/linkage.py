@@ -6,9 +6,9 @@ notification number is 100. Candidates share sex and either the birth year or th
 
 Only the best partner of a case is wanted, so pairs of a crowded block are never listed. The
 reachable scores are a short list of *tiers*. For a tier the partners are reduced to one row per
-key (the smallest exam id); the first tier that has the key, in falling score, holds the best
-partner. "Within n days" becomes an equality too: the day range of an exam is cut into the nodes of
-a binary calendar (1, 2, 4 ... 64 days) and a case looks up the seven nodes its day lies in.
+key and day (the smallest exam id), a sliding minimum over the days answers "within n days", and a
+case looks up its own key and day. The highest tier that answers holds the best partner. A sliding
+window holds one row per calendar day, whatever share of the table its key has.
 Rare birth dates skip this and are joined directly; the result is the same.
 """
 from __future__ import annotations
@@ -16,13 +16,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text as X
 
 BIRTH, BIRTH_NEAR, SEX, PLACE, NEAR, FAR, CAP = 45, 30, 15, 25, 15, 8, 99
 NEAR_DAYS, FAR_DAYS = 15, 45
-LEVELS = 6
 DATES = ("collected_date", "released_date")
 
 
@@ -65,38 +65,6 @@ def pair_score(pairs: DataFrame, left: str = "a_", right: str = "b_") -> DataFra
                               "reasons": F.when(same_number, "notification").otherwise(why)})
 
 
-def _nodes(lo: Column, hi: Column) -> Column:
-    """Cover of the day range [lo, hi] by calendar nodes (level, index)."""
-    out = []
-    node = lambda k, n: F.struct(F.lit(k).alias("lvl"), n.cast("int").alias("node"))
-    for k in range(LEVELS):
-        ok = lo <= hi
-        out += [F.when(ok & (lo.bitwiseAND(1) == 1), node(k, lo)), F.when(ok & (hi.bitwiseAND(1) == 0), node(k, hi))]
-        lo, hi = F.shiftright(lo + 1, 1), F.shiftright(hi - 1, 1)
-    top = F.when(lo <= hi, F.transform(F.sequence(lo, hi), lambda n: node(LEVELS, n)))
-    return F.concat(F.array_compact(F.array(*out)), F.coalesce(top, F.array().cast("array<struct<lvl:int,node:int>>")))
-
-
-def _exam_nodes(radius: int) -> Column:
-    """Nodes of the days on which an exam counts as near, with the date that makes it so.
-
-    The second date counts only where the first lies more than 45 days off.
-    """
-    day = lambda c: F.unix_date(F.col(c))
-    d1, d2 = day(DATES[0]), day(DATES[1])
-    tag = lambda arr, i: F.transform(arr, lambda x: F.struct(x["lvl"].alias("lvl"), x["node"].alias("node"), F.lit(i).alias("di")))
-    empty = F.array().cast("array<struct<lvl:int,node:int,di:int>>")
-    safe = lambda ok, arr, i: F.when(ok, tag(arr, i)).otherwise(empty)
-    first = safe(d1.isNotNull(), _nodes(d1 - radius, d1 + radius), 1)
-    alone = safe(d1.isNull() & d2.isNotNull(), _nodes(d2 - radius, d2 + radius), 2)
-    lo_hi = F.least(d2 + radius, d1 - FAR_DAYS - 1)
-    hi_lo = F.greatest(d2 - radius, d1 + FAR_DAYS + 1)
-    both = d1.isNotNull() & d2.isNotNull()
-    left = safe(both & (d2 - radius <= lo_hi), _nodes(d2 - radius, lo_hi), 2)
-    right = safe(both & (hi_lo <= d2 + radius), _nodes(hi_lo, d2 + radius), 2)
-    return F.concat(first, alone, left, right)
-
-
 def _tiers(min_points: int) -> list[dict]:
     out = []
     for birth, bp in (("same", BIRTH), ("near", BIRTH_NEAR), ("any", 0)):
@@ -109,50 +77,77 @@ def _tiers(min_points: int) -> list[dict]:
     return out
 
 
-_KEY = ["tier", "sex", "b", "place", "lvl", "node"]
+_KEY = ["tier", "sex", "b", "place", "day"]
 
 
-def _tier_lookup(exams: DataFrame, tiers: list[dict], offset: int) -> DataFrame:
-    """One row per tier key: the smallest exam id."""
-    b, parts = F.unix_date("birth_date"), []
-    none = F.array(F.struct(F.lit(-1).alias("lvl"), F.lit(0).alias("node"), F.lit(0).alias("di")))
-    e = exams.withColumns({"_n15": _exam_nodes(NEAR_DAYS), "_n45": _exam_nodes(FAR_DAYS)})
+def _side_ok(t: dict) -> Column:
+    return (F.col("sex") != "") if t["sexed"] else (F.col("sex") == "")
+
+
+def _second_date_days(radius: int) -> Column:
+    """Days on which the second date of an exam counts: near it and more than 45 days off the first."""
+    d1, d2 = F.unix_date(DATES[0]), F.unix_date(DATES[1])
+    seq = lambda lo, hi: F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<int>"))
+    alone = F.when(d1.isNull() & d2.isNotNull(), seq(d2 - radius, d2 + radius))
+    both = F.when(d1.isNotNull() & d2.isNotNull(), F.concat(
+        seq(d2 - radius, F.least(d2 + radius, d1 - FAR_DAYS - 1)), seq(F.greatest(d2 - radius, d1 + FAR_DAYS + 1), d2 + radius)))
+    return F.coalesce(alone, both, F.array().cast("array<int>"))
+
+
+def _exam_rows(exams: DataFrame, tiers: list[dict], offset: int) -> DataFrame:
+    """Tier keys of an exam: at its first date (to be spread by the window) and at the days of the second."""
+    b, first, second = F.unix_date("birth_date"), [], {NEAR_DAYS: [], FAR_DAYS: []}
     for i, t in enumerate(tiers):
-        nodes = none if t["prox"] is None else F.col("_n15" if t["prox"] == NEAR_DAYS else "_n45")
         key_b = F.lit(0) if t["birth"] == "any" and t["place"] else (F.year("birth_date") if t["birth"] == "any" else b)
         place = F.col("code6") if t["place"] else F.lit("")
-        ok = ((F.col("sex") != "") if t["sexed"] else (F.col("sex") == "")) & key_b.isNotNull() & place.isNotNull()
-        row = lambda n: F.struct(F.lit(offset + i).alias("tier"), key_b.alias("b"), place.alias("place"),
-                                                         n["lvl"].alias("lvl"), n["node"].alias("node"), n["di"].alias("di"))
-        parts.append(F.when(ok, F.transform(nodes, row)).otherwise(F.array().cast(
-            "array<struct<tier:int,b:int,place:string,lvl:int,node:int,di:int>>")))
-    rows = e.select("sex", "exam_id", F.inline(F.concat(*parts)))
-    return rows.groupBy(*_KEY).agg(F.min(F.struct("exam_id", "di")).alias("_hit"))
-
-
-def _tier_probe(cases: DataFrame, tiers: list[dict], offset: int) -> DataFrame:
-    """Keys a case looks up, per tier."""
-    b, day = F.unix_date("birth_date"), F.unix_date("event_date")
-    parts = []
+        day = F.lit(0) if t["prox"] is None else F.unix_date(DATES[0])
+        key = [F.lit(offset + i).alias("tier"), key_b.alias("b"), place.alias("place")]
+        ok = _side_ok(t) & key_b.isNotNull() & place.isNotNull()
+        first.append(F.when(ok & day.isNotNull(), F.struct(*key, day.alias("day"))))
+        if t["prox"] is not None:
+            second[t["prox"]].append(F.when(ok, F.struct(*key)))
+    hit = lambda di: F.struct("exam_id", F.lit(di).alias("di"))
+    nothing = F.lit(None).cast("struct<exam_id:string,di:int>")
+    rows = exams.select("sex", F.inline(F.array_compact(F.array(*first))), hit(1).alias("w"), nothing.alias("x"))
+    for radius, keys in second.items():
+        if keys:
+            days = exams.withColumn("_d", _second_date_days(radius)).filter(F.size("_d") > 0)
+            keyed = days.select("sex", "exam_id", "_d", F.inline(F.array_compact(F.array(*keys))))
+            rows = rows.unionByName(keyed.select("sex", "tier", "b", "place", F.explode("_d").alias("day"), nothing.alias("w"), hit(2).alias("x")))
+    return rows
+
+
+def _probe(cases: DataFrame, tiers: list[dict], offset: int) -> DataFrame:
+    """Tier keys a case looks up."""
+    b, rows = F.unix_date("birth_date"), []
     for i, t in enumerate(tiers):
-        if t["birth"] == "same":
-            births = F.array(b)
-        elif t["birth"] == "near":
-            births = F.array(b - 1, b + 1)
-            if not t["place"]:
-                births = F.filter(births, lambda x: F.year(F.date_from_unix_date(x)) == F.year("birth_date"))
+        if t["birth"] == "any":
+            births = [F.lit(0) if t["place"] else F.year("birth_date")]
+        elif t["birth"] == "same":
+            births = [b]
         else:
-            births = F.array(F.lit(0)) if t["place"] else F.array(F.year("birth_date"))
-        nodes = [(-1, F.lit(0))] if t["prox"] is None else [(k, F.shiftright(day, k)) for k in range(LEVELS + 1)]
+            in_block = lambda x: x if t["place"] else F.when(F.year(F.date_from_unix_date(x)) == F.year("birth_date"), x)
+            births = [in_block(b - 1), in_block(b + 1)]
         place = F.col("code6") if t["place"] else F.lit("")
-        ok = ((F.col("sex") != "") if t["sexed"] else (F.col("sex") == "")) & place.isNotNull()
-        rows = F.flatten(F.transform(births, lambda x: F.array(*[
-            F.struct(F.lit(offset + i).alias("tier"), F.lit(t["points"]).alias("points"), x.alias("b"), place.alias("place"),
-                     F.lit(k).alias("lvl"), n.alias("node")) for k, n in nodes])))
-        parts.append(F.when(ok, rows).otherwise(F.array().cast(
-            "array<struct<tier:int,points:int,b:int,place:string,lvl:int,node:int>>")))
-    return cases.select("case_id", "sex", F.inline(F.concat(*parts))).filter(
-        F.col("b").isNotNull() & F.col("node").isNotNull())
+        day = F.lit(0) if t["prox"] is None else F.unix_date("event_date")
+        for x in births:
+            rows.append(F.when(_side_ok(t) & x.isNotNull() & place.isNotNull() & day.isNotNull(), F.struct(
+                F.lit(offset + i).alias("tier"), F.lit(t["points"]).alias("points"), x.alias("b"), place.alias("place"), day.alias("day"))))
+    return cases.select("case_id", "sex", F.inline(F.array_compact(F.array(*rows))))
+
+
+def _lookup(exams: DataFrame, probe: DataFrame, tiers: list[dict], offset: int) -> DataFrame:
+    """Smallest exam id of every probed key and day."""
+    kind = "struct<exam_id:string,di:int>"
+    asked = probe.select(*_KEY, F.lit(None).cast(kind).alias("w"), F.lit(None).cast(kind).alias("x"), F.lit(1).alias("q"))
+    u = _exam_rows(exams, tiers, offset).select(*_KEY, "w", "x", F.lit(0).alias("q")).unionByName(asked)
+    g = u.groupBy(*_KEY).agg(F.min("w").alias("w"), F.min("x").alias("x"), F.max("q").alias("q"))
+    w = W.partitionBy("tier", "sex", "b", "place").orderBy("day")
+    of = lambda r: F.col("tier").isin([offset + i for i, t in enumerate(tiers) if t["prox"] == r])
+    spread = F.col("w")
+    for r in sorted({t["prox"] for t in tiers if t["prox"] is not None}):
+        spread = F.when(of(r), F.min("w").over(w.rangeBetween(-r, r))).otherwise(spread)
+    return g.withColumn("_hit", F.least(spread, F.col("x"))).filter((F.col("q") == 1) & F.col("_hit").isNotNull()).select(*_KEY, "_hit")
 
 
 def _reasons(tiers: list[dict], offset: int) -> Column:
@@ -208,7 +203,8 @@ def link_best(cases: DataFrame, exams: DataFrame, min_score: float = 0.55, small
     groups = ((keyed, sized.filter(F.col("_size") > small_group).drop("_size"), 0), (free, e, len(keyed)))
     for group, table, offset in groups:
         if group:
-            hit = _tier_probe(c, group, offset).join(_tier_lookup(table, group, offset), _KEY)
+            probe = _probe(c, group, offset)
+            hit = probe.join(_lookup(table, probe, group, offset), _KEY)
             found.append(hit.select("case_id", "points", F.col("_hit.exam_id").alias("exam_id"), _reasons(group, offset).alias("reasons")))
     u = found[0]
     for f in found[1:]:
