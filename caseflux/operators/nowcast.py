@@ -30,8 +30,10 @@ def delay_histogram(df: DataFrame, keys: Sequence[str] = (), unit: str = "week",
 
 def delay_cdf(hist: DataFrame, strata: DataFrame | None = None, keys: Sequence[str] = (), unit: str = "week", max_delay: int = 12) -> DataFrame:
     """MD14: share reported by delay 0..max, clipped from below, with an exponential fallback for strata without delays."""
-    base = strata.select(*keys).distinct() if strata is not None else hist.groupBy(*keys).agg(F.count(F.lit(1)).alias("_x")).drop("_x") if keys else \
-        hist.agg(F.count(F.lit(1)).alias("_x"))
+    if keys:
+        base = (strata if strata is not None else hist).select(*keys).distinct()
+    else:
+        base = hist.agg(F.count(F.lit(1)).alias("_x"))
     grid = base.select(*keys, F.explode(F.sequence(F.lit(0), F.lit(max_delay))).alias("delay"))
     tot = hist.groupBy(*keys).agg(F.sum("n").alias("n_obs"))
     j = grid.join(hist.select(*keys, "delay", "n"), [*keys, "delay"], "left")
@@ -86,7 +88,8 @@ def nowcast_band(nc: DataFrame, hist: DataFrame, keys: Sequence[str] = (), draws
     r = r.withColumn("_w", F.greatest(F.lit(0.0), F.col("n") + F.sqrt(F.col("n").cast("double")) * z))
     lags = nc.select(*keys, F.col("delay").alias("lag")).distinct()
     on = list(keys)
-    both = r.join(lags, on) if on else r.join(lags, F.col("delay") >= 0)
+    link = on or ["_all"]
+    both = (r if on else r.withColumn("_all", F.lit(0))).join(lags if on else lags.withColumn("_all", F.lit(0)), link)
     p = both.groupBy(*keys, "lag", "rep").agg((F.sum(F.when(F.col("delay") <= F.col("lag"), F.col("_w")).otherwise(0.0)) / F.sum("_w")).alias("_p"))
     p = p.withColumn("_p", F.least(F.greatest("_p", F.lit(FLOOR["week"])), F.lit(1.0)))
     q = p.groupBy(*keys, F.col("lag").alias("delay")).agg(F.percentile("_p", F.lit(0.1)).alias("_p10"), F.percentile("_p", F.lit(0.9)).alias("_p90"))

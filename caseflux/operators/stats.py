@@ -13,53 +13,56 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from ..functions import numbers as N
 from .series import pct_rank
 
 
-def _fisher(a: int, b: int, c: int, d: int) -> float:
-    """Two-sided p: mass of all tables no likelier than the observed one. Log masses relative to the
-    mode are cumulated outward over 40 standard deviations, beyond which nothing is representable."""
-    r1, c1, n = a + b, a + c, a + b + c + d
-    lo, hi = max(0, r1 + c1 - n), min(r1, c1)
-    if lo == hi:
-        return 1.0
-    mean = r1 * c1 / n
-    sd = math.sqrt(max(mean * (n - r1) / n * (n - c1) / max(n - 1, 1), 1.0))
-    k0, k1 = max(lo, int(mean - 40 * sd) - 50), min(hi, int(mean + 40 * sd) + 50)
-    if not k0 <= a <= k1:
-        return 0.0
-    k = np.arange(k0, k1, dtype=float)
-    step = np.log(r1 - k) + np.log(c1 - k) - np.log(k + 1) - np.log(n - r1 - c1 + k + 1)
-    logs = np.concatenate([[0.0], np.cumsum(step)])
-    p = np.exp(logs - logs.max())
-    return float(min(1.0, p[p <= p[a - k0] * (1 + 1e-7)].sum() / p.sum()))
-
-
-@F.pandas_udf("double")
-def _fisher_udf(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.Series:
-    return pd.Series([_fisher(int(w), int(x), int(y), int(z)) for w, x, y, z in zip(a, b, c, d)], dtype=float)
-
-
-def _chi2_tail(x: float, dof: int) -> float:
-    """P(X > x) for an integer number of degrees of freedom, by the upward recurrence in dof."""
-    if not dof or dof < 1 or x != x:
-        return float("nan")
-    h = x / 2.0
-    if dof % 2:
-        q, a, term = math.erfc(math.sqrt(h)), 0.5, math.exp(-h) * math.sqrt(h) / math.gamma(1.5)
-    else:
-        q, a, term = math.exp(-h), 1.0, math.exp(-h) * h
-    while a < dof / 2.0:
-        q, a = q + term, a + 1.0
-        term *= h / a
-    return min(1.0, q)
-
-
-@F.pandas_udf("double")
-def _chi2_udf(x: pd.Series, dof: pd.Series) -> pd.Series:
-    return pd.Series([_chi2_tail(float(v), int(k)) if pd.notna(v) and pd.notna(k) else float("nan") for v, k in zip(x, dof)], dtype=float)
+def _fisher_udf():
+    """Arrow function on result rows. Defined inside, so that executors need no copy of this package."""
+
+    def fisher(a: int, b: int, c: int, d: int) -> float:
+        # Mass of all tables no likelier than the observed one. Log masses are cumulated over 40
+        # standard deviations around the mean, beyond which a double holds nothing.
+        r1, c1, n = a + b, a + c, a + b + c + d
+        lo, hi = max(0, r1 + c1 - n), min(r1, c1)
+        if lo == hi:
+            return 1.0
+        mean = r1 * c1 / n
+        sd = math.sqrt(max(mean * (n - r1) / n * (n - c1) / max(n - 1, 1), 1.0))
+        k0, k1 = max(lo, int(mean - 40 * sd) - 50), min(hi, int(mean + 40 * sd) + 50)
+        if not k0 <= a <= k1:
+            return 0.0
+        k = np.arange(k0, k1, dtype=float)
+        step = np.log(r1 - k) + np.log(c1 - k) - np.log(k + 1) - np.log(n - r1 - c1 + k + 1)
+        logs = np.concatenate([[0.0], np.cumsum(step)])
+        p = np.exp(logs - logs.max())
+        return float(min(1.0, p[p <= p[a - k0] * (1 + 1e-7)].sum() / p.sum()))
+
+    def tails(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.Series:
+        return pd.Series([fisher(int(w), int(x), int(y), int(z)) for w, x, y, z in zip(a, b, c, d)], dtype=float)
+
+    return F.pandas_udf(tails, DoubleType())
+
+
+def _chi2_udf():
+    def tail(x: float, dof: int) -> float:
+        # P(X > x) for an integer number of degrees of freedom, by the upward recurrence in dof.
+        h = x / 2.0
+        if dof % 2:
+            q, a, term = math.erfc(math.sqrt(h)), 0.5, math.exp(-h) * math.sqrt(h) / math.gamma(1.5)
+        else:
+            q, a, term = math.exp(-h), 1.0, math.exp(-h) * h
+        while a < dof / 2.0:
+            q, a = q + term, a + 1.0
+            term *= h / a
+        return min(1.0, q)
+
+    def tails(x: pd.Series, dof: pd.Series) -> pd.Series:
+        return pd.Series([tail(float(v), int(k)) if pd.notna(v) and k >= 1 else float("nan") for v, k in zip(x, dof)], dtype=float)
+
+    return F.pandas_udf(tails, DoubleType())
 
 
 def two_by_two(df: DataFrame, exposures: Sequence[str], outcomes: Sequence[str], keys: Sequence[str] = (), n_min: int = 10) -> DataFrame:
@@ -108,7 +111,7 @@ def odds_ratio(tab: DataFrame, p_value: bool = True) -> DataFrame:
     out = tab.withColumn("odds_ratio", (a * d) / (b * c)).withColumns({
         "ci_low": F.exp(F.log("odds_ratio") - 1.96 * se), "ci_high": F.exp(F.log("odds_ratio") + 1.96 * se)})
     out = out.withColumn("magnitude", N.or_magnitude("odds_ratio"))
-    return out.withColumn("p_value", _fisher_udf("a", "b", "c", "d")) if p_value else out
+    return out.withColumn("p_value", _fisher_udf()("a", "b", "c", "d")) if p_value else out
 
 
 def chi2(df: DataFrame, variables: Sequence[str], outcomes: Sequence[str], p_value: bool = True, n_min: int = 10) -> DataFrame:
@@ -130,7 +133,7 @@ def chi2(df: DataFrame, variables: Sequence[str], outcomes: Sequence[str], p_val
     out = g.select("variable", "outcome", "n", "categories", (F.col("categories") - 1).alias("dof"), "chi2", "min_expected",
                    F.sqrt(F.col("chi2") / F.col("n")).alias("cramers_v"))
     out = out.withColumn("effect", N.cramer_band("cramers_v"))
-    return out.withColumn("p_value", _chi2_udf("chi2", "dof")) if p_value else out
+    return out.withColumn("p_value", _chi2_udf()("chi2", "dof")) if p_value else out
 
 
 def _chi_cell(obs: Column, exp: Column, yates: Column) -> Column:
@@ -202,9 +205,11 @@ def logistic_or(df: DataFrame, outcome: str, numeric: Sequence[str], categorical
         feats[f"{c}=other"] = (F.col(c).isNull() | ~F.col(c).isin(*labels)).cast("double")
     names = list(feats)
     d = df.filter(F.col(outcome).isNotNull()).select(F.col(outcome).cast("double").alias("label"), *[feats[n].alias(f"f{i}") for i, n in enumerate(names)])
-    stats = d.agg(*[F.var_pop(f"f{i}").alias(f"v{i}") for i in range(len(names))], *[F.abs(F.corr(f"f{i}", "label")).alias(f"c{i}") for i in range(len(names))]).first()
-    keep = [i for i in range(len(names)) if (stats[f"v{i}"] or 0) > 0]
-    keep = sorted(keep, key=lambda i: -(stats[f"c{i}"] or 0))[:max_features]
+    spread = d.agg(*[F.var_pop(f"f{i}").alias(f"v{i}") for i in range(len(names))]).first()
+    keep = [i for i in range(len(names)) if (spread[f"v{i}"] or 0) > 0]
+    if len(keep) > max_features:
+        r = d.agg(*[F.abs(F.corr(f"f{i}", "label")).alias(f"c{i}") for i in keep]).first()
+        keep = sorted(keep, key=lambda i: -(r[f"c{i}"] or 0))[:max_features]
     data = VectorAssembler(inputCols=[f"f{i}" for i in keep], outputCol="features").transform(d).select("label", "features")
     model = GeneralizedLinearRegression(family="binomial", link="logit", regParam=0.0, maxIter=50).fit(data)
     try:
