@@ -127,22 +127,22 @@ _BD = "mean_hist sd_hist p95_hist mean_2sd limit_hist"
 
 @query("wn13_weekly_baseline", CASES + BASE + " SELECT * FROM bl", _BD)
 def _(s, d):
-    from ..operators.filters import closed_week
+    from ..operators.filters import closed_parts
 
     c = C.cases(s, d)
     w = c.groupBy("iso_year", "iso_week", "code6", "class_group").agg(F.count(F.lit(1)).alias("cases"))
-    return T.weekly_baseline(w, before=closed_week(c).select("closed_year").scalar())
+    return T.weekly_baseline(w, before=closed_parts(c)["closed_year"])
 
 
 @query("jn03_vs_baseline", CASES + BASE + """ SELECT w.*, mean_hist, sd_hist, max_hist, p95_hist, mean_2sd, limit_hist FROM w JOIN cy ON iso_year = y AND iso_week = k
   LEFT JOIN bl USING (iso_week, code6, class_group)""", _BD)
 def _(s, d):
-    from ..operators.filters import closed_week
+    from ..operators.filters import closed_parts
 
     c = C.cases(s, d)
     w = c.groupBy("iso_year", "iso_week", "code6", "class_group").agg(F.count(F.lit(1)).alias("cases"))
-    ref = closed_week(c)
-    y, k = ref.select("closed_year").scalar(), ref.select("closed_week").scalar()
+    ref = closed_parts(c)
+    y, k = ref["closed_year"], ref["closed_week"]
     cur = w.filter((F.col("iso_year") == y) & (F.col("iso_week") == k))
     return T.vs_baseline(cur, T.weekly_baseline(w, before=y), ["iso_week", "code6", "class_group"])
 

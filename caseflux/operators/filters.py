@@ -4,6 +4,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -62,6 +63,20 @@ def closed_week(df: DataFrame, date: str = "event_date") -> DataFrame:
         D.iso_year("_p").alias("previous_year"), D.iso_week("_p").alias("previous_week"))
 
 
+def closed_parts(df: DataFrame, date: str = "event_date") -> dict[str, Column]:
+    """SC13 as columns: all four numbers come out of one scalar subquery, which Spark runs once."""
+    m = latest(df, date)
+    closed, before = F.date_sub(m, 7), F.date_sub(m, 14)
+    return {"closed_year": D.iso_year(closed), "closed_week": D.iso_week(closed),
+            "previous_year": D.iso_year(before), "previous_week": D.iso_week(before)}
+
+
+def fold(df: DataFrame) -> DataFrame:
+    """Keep a folded table (territory x calendar, not cases) for the several steps that read it.
+    Lost blocks are computed again from their lineage."""
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def resident(df: DataFrame, state: str, column: str = "residence_state") -> DataFrame:
     """FL1: residents of one state."""
     return df.filter(F.upper(F.trim(column)) == state.upper())

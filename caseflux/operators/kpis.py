@@ -24,11 +24,18 @@ def prophylaxis_done(df: DataFrame) -> Column:
     for c in ("prophylaxis_date", "lag_notif_proph"):
         if c in df.columns:
             out = out | F.col(c).isNotNull()
-    if "prophylaxis_raw" in df.columns:
+    if "prophylaxis_yes" in df.columns:
+        out = out | F.col("prophylaxis_yes")
+    elif "prophylaxis_raw" in df.columns:
         out = out | F.coalesce(X.yesno("prophylaxis_raw") == 1, F.lit(False))
     return out
 
 
+def flag(df: DataFrame, name: str, expr: Column) -> Column:
+    """The flag of the base table where it has one, else the expression."""
+    return F.col(name) if name in df.columns else expr
+
+
 def kpi_counts(df: DataFrame) -> dict[str, Column]:
     """Numerators and denominators of the operational block."""
     conf = F.col("confirmed") == 1
@@ -42,8 +49,8 @@ def kpi_counts(df: DataFrame) -> dict[str, Column]:
         "notified": F.lit(1),
         "confirmed_n": conf,
         "bact_confirmed": bact,
-        "bact_lab_broad": bact & X.criterion_broad("criterion"),
-        "bact_lab_strict": bact & X.criterion_strict("criterion"),
+        "bact_lab_broad": bact & flag(df, "criterion_broad", X.criterion_broad("criterion")),
+        "bact_lab_strict": bact & flag(df, "criterion_strict", X.criterion_strict("criterion")),
         "investigated_dated": D.valid_lag(inv),
         "investigated_48h": D.valid_lag(inv) & (inv <= 2),
         "closed_dated": D.valid_lag(clo, 800),
@@ -56,7 +63,7 @@ def kpi_counts(df: DataFrame) -> dict[str, Column]:
         "hib_prophylaxis_48h": hib & quick,
         "notified_dated": D.valid_lag(ntf),
         "notified_24h": D.valid_lag(ntf) & (ntf <= 1),
-        "dm_serogroup": dm & X.serogroup_informed("serogroup_raw"),
+        "dm_serogroup": dm & flag(df, "serogroup_known", X.serogroup_informed("serogroup_raw")),
         "undue_prophylaxis": done & ~cls.isin(*K.PROPHYLAXIS_CLASSES),
     }
 
@@ -145,7 +152,7 @@ def serogroup_coverage(df: DataFrame, scopes=S.SCOPES) -> DataFrame:
     """AG18: confirmed meningococcal cases with a known serogroup."""
     dm = F.col("class_group") == K.MENINGOCOCCAL
     target = dm & (F.col("confirmed") == 1)
-    out = S.by_scope(df, {"dm_confirmed": target, "serogroup_known": target & X.serogroup_informed("serogroup_raw"),
+    out = S.by_scope(df, {"dm_confirmed": target, "serogroup_known": target & flag(df, "serogroup_known", X.serogroup_informed("serogroup_raw")),
                           "dm_total": dm}, scopes=scopes)
     return add_ratios(out, {"pct_serogroup": ("serogroup_known", "dm_confirmed")})
 
@@ -337,7 +344,7 @@ def risk_score(df: DataFrame, population: DataFrame, as_of: Column | str | None
     keys = ["code6", "municipality", "region"]
     g = df.groupBy(*keys).agg(
         F.count_if(dm & (F.col("confirmed") == 1)).alias("dm_lab_90d"), F.count_if(dm).alias("dm_90d"),
-        F.count_if(dm & X.serogroup_informed("serogroup_raw")).alias("_s"),
+        F.count_if(dm & flag(df, "serogroup_known", X.serogroup_informed("serogroup_raw"))).alias("_s"),
         F.count_if(dm & prophylaxis_done(df)).alias("_p"))
     pop = latest_population(population).select(F.col("code6").alias("_pc"), "population")
     g = g.join(pop, F.col("code6") == F.col("_pc"), "left").withColumns({

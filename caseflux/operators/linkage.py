@@ -164,7 +164,7 @@ def _reasons(tiers: list[dict], offset: int) -> Column:
     return out
 
 
-def link_best(cases: DataFrame, exams: DataFrame, min_score: float = 0.55, small_group: int = 64) -> DataFrame:
+def link_best(cases: DataFrame, exams: DataFrame, min_score: float = 0.55, small_group: int = 512) -> DataFrame:
     """JN9 + JN11: the best partner of every case with at least min_score.
 
     Order: score, then the smallest exam id. cases: case_id, notification, birth_date, sex, code6,

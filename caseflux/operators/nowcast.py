@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import dates as D
 from ..functions import fixed as K
 from . import series as T
-from .filters import as_of_date
+from .filters import as_of_date, fold
 
 FLOOR = {"week": 0.08, "day": 0.05}
 LIMIT = {"week": 52, "day": 365}
@@ -141,6 +141,7 @@ def strata_weekly(df: DataFrame, class_label: str = K.MENINGOCOCCAL, class_name:
     r = F.coalesce(F.col("notified_date"), o)
     lag = F.greatest((F.datediff(D.iso_monday(r), D.iso_monday(o)) / 7).cast("int"), F.lit(0))
     pre = df.groupBy("region", (F.col("class_group") == class_label).alias("_dm"), D.iso_monday(o).alias("monday"), lag.alias("delay")).agg(F.count(F.lit(1)).alias("n"))
+    pre = fold(pre)
     strata = F.array_compact(F.array(F.lit("STATE"), F.when(F.col("_dm"), F.lit(class_name)), F.concat(F.lit("REGION::"), F.col("region"))))
     s = pre.select(F.explode(strata).alias("stratum"), "monday", "delay", "n")
     weekly = s.groupBy("stratum", "monday").agg(F.sum("n").alias("y"))

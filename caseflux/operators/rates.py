@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import dates as D
 from ..functions import fixed as K
 from ..functions import numbers as N
-from .filters import closed_week
+from .filters import closed_parts
 
 MEASURES = {"cases": "case_n", "confirmed_n": "confirmed", "hospitalised_n": "hospitalised", "deaths": "death"}
 WEEK_MEASURES = {**MEASURES, "discharged_n": "discharged"}
@@ -49,8 +49,7 @@ def rates(df: DataFrame, keys: Sequence[str] = ("event_year", "code6", "municipa
 def weekly_kpis(df: DataFrame) -> DataFrame:
     """AG6: last closed week against the week before, with light."""
     weeks = weekly_series(df)
-    ref = closed_week(df)
-    at = lambda col: ref.select(col).scalar()
+    at = closed_parts(df).get
     now = (F.col("iso_year") == at("closed_year")) & (F.col("iso_week") == at("closed_week"))
     before = (F.col("iso_year") == at("previous_year")) & (F.col("iso_week") == at("previous_week"))
     names = [*WEEK_MEASURES, "pct_fatality"]

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import dates as D
 from ..functions import fixed as K
 from ..functions import numbers as N
-from .filters import as_of_date
+from .filters import as_of_date, fold
 from .joins import null_safe_left
 
 
@@ -100,7 +100,7 @@ def rank_min(df: DataFrame, col: str, out: str = "rank", keys: Sequence[str] = (
 def space_time_scan(df: DataFrame, unit: str = "municipality", window: int = 4, baseline: int = 52,
                     last_weeks: int = 26, floor: float = 0.25) -> DataFrame:
     """WN7: observed in a moving window against the unit's own preceding weeks."""
-    wk = weekly_counts(df, [unit])
+    wk = fold(weekly_counts(df, [unit]))
     span = wk.agg(F.min("monday").alias("_lo"), F.max("monday").alias("_hi"))
     lo, hi = span.select("_lo").scalar(), span.select("_hi").scalar()
     units = wk.select(unit).distinct()

@@ -93,9 +93,18 @@ def standardize(raw: DataFrame, population: DataFrame | None = None, state: str
             "status": X.decode("status_code", K.STATUS_CODES),
             "outcome": X.decode("outcome_code", K.OUTCOME_CODES),
             "class_detail": X.class_detail("class_code"),
-            "class_group": X.class_group("class_code", optional(df, "class_text")),
+            "_by_code": X.class_of_code("class_code"),
         }
     )
+    # the search key is its own step, so that the keyword rules read a column and not nine copies of it
+    df = df.withColumn("_class_key", F.when(F.col("_by_code").isNull(), X.class_key("class_code", optional(df, "class_text"))))
+    df = df.withColumn("class_group", F.coalesce("_by_code", X.class_of_key(F.col("_class_key")))).drop("_by_code", "_class_key")
+    flags = {
+        "criterion_strict": ("criterion", X.criterion_strict), "criterion_broad": ("criterion", X.criterion_broad),
+        "serogroup_known": ("serogroup_raw", X.serogroup_informed),
+        "prophylaxis_yes": ("prophylaxis_raw", lambda c: F.coalesce(X.yesno(c) == 1, F.lit(False))),
+    }
+    df = df.withColumns({n: f(c) for n, (c, f) in flags.items() if c in df.columns})
     df = df.withColumns(outcome_flags())
     df = binarize(lead_times(df))
     if population is not None:
