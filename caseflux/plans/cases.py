@@ -10,8 +10,15 @@ from pyspark.sql import functions as F
 from .base import standardize
 
 
+_SCHEMAS: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table. The schema is read from the file once per process, not once per query."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def line_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,69 +76,53 @@ def population(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _flag(cond, otherwise="Não"):
-    return F.when(F.col("n_lines").isNull(), None).when(cond, "Sim").otherwise(otherwise)
+_RAW_COLUMNS = """
+o_orderkey AS case_id; o_custkey AS person_id; code_raw; municipality; region; birth_date; sex_raw; age_raw;
+CASE WHEN n_lines IS NOT NULL THEN d0 END AS onset_date;
+notified AS notified_date;
+CASE WHEN n_ret > 0 THEN date_add(notified, cast(n_lines - 3 AS int)) END AS investigated_date;
+CASE WHEN n_fin >= 2 THEN date_add(d0, disc_max - 1) END AS admitted_date;
+CASE WHEN n_fin > 0 THEN date_add(d0, ln_min - 1) END AS lp_date;
+CASE WHEN n_acc >= 2 THEN date_add(notified, ln_max - 4) END AS prophylaxis_date;
+CASE WHEN n_ret > 0 THEN date_add(d0, q_max) END AS outcome_date;
+CASE WHEN o_orderstatus <> 'O' THEN date_add(notified, coalesce(q_sum, 0)) END AS closed_date;
+CASE WHEN c_mktsegment = 'BUILDING' AND o_orderstatus = 'P' THEN '4' WHEN o_orderpriority = '1-URGENT' THEN '02'
+  WHEN o_orderpriority = '2-HIGH' THEN '9' WHEN o_orderpriority = '3-MEDIUM' THEN '7.0' WHEN o_orderpriority = '5-LOW' THEN '10' END AS class_code;
+CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'Meningite não espec.' END AS class_text;
+CASE o_orderstatus WHEN 'F' THEN '1' WHEN 'P' THEN '2.0' ELSE '9' END AS status_code;
+CASE WHEN n_ret >= 3 THEN '2' WHEN n_ret = 2 THEN '3' WHEN n_ret = 1 THEN '1.0' ELSE '9' END AS outcome_code;
+CASE WHEN n_fin >= 2 THEN 'Sim' WHEN n_fin = 1 THEN 'Não' ELSE 'Ignorado' END AS hospital_raw;
+CASE ln_min WHEN 1 THEN 'Cultura' WHEN 2 THEN 'PCR' WHEN 3 THEN 'Clínico' WHEN 4 THEN 'Látex' WHEN 5 THEN '9' WHEN 6 THEN '*Em Branco' END AS criterion;
+CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'B' WHEN 'HOUSEHOLD' THEN 'W135' WHEN 'FURNITURE' THEN 'Sorogrupo C' WHEN 'MACHINERY' THEN 'Ignorado' END AS serogroup_raw;
+CASE WHEN c_mktsegment = 'FURNITURE' THEN 'Sim' ELSE 'Não' END AS pregnant_raw;
+cast(n_acc AS int) AS contacts;
+CASE WHEN n_fin > 0 THEN 'Sim' ELSE 'Não' END AS lp_raw;
+CASE WHEN n_acc >= 3 THEN 'Sim' ELSE 'Não' END AS prophylaxis_raw;
+CASE WHEN n_ret >= 2 THEN 'Detectado' WHEN n_ret = 1 THEN 'Não detectado' WHEN n_fin > 3 THEN 'Inconclusivo' END AS lab_pcr;
+CASE WHEN n_acc >= 2 THEN '1' WHEN n_acc = 1 THEN '2' WHEN n_fin >= 3 THEN '3' WHEN n_lines IS NOT NULL THEN '4' END AS lab_culture;
+CASE WHEN ln_max >= 6 THEN 'Reagente' WHEN ln_max = 5 THEN 'Não reagente' WHEN ln_max = 4 THEN 'Ignorado' END AS lab_latex;
+CASE WHEN n_lines >= 5 THEN 'Sim' WHEN n_lines IS NOT NULL THEN 'Não' END AS symptom_fever;
+CASE WHEN q_max >= 45 THEN 'Sim' WHEN n_lines IS NOT NULL THEN 'Não' END AS symptom_stiffness;
+CASE WHEN disc_max >= 9 THEN 'Sim' WHEN n_lines IS NOT NULL THEN 'Não' END AS comorbidity_hiv;
+CASE WHEN disc_max <= 2 THEN 'Sim' WHEN n_lines IS NOT NULL THEN 'Não' END AS comorbidity_tb;
+CASE WHEN q_min <= 5 THEN 'Sim' WHEN n_lines IS NOT NULL THEN 'Não' END AS vaccine_menc;
+CASE WHEN q_min >= 10 THEN 'Sim' WHEN n_lines IS NOT NULL THEN 'Não' END AS vaccine_hib;
+CASE WHEN q_max >= 40 THEN 'Sim' WHEN n_lines IS NOT NULL THEN 'Não' END AS vaccine_pneumo;
+CASE WHEN ln_min = 1 THEN 'Sim' WHEN n_lines IS NOT NULL THEN 'Não' END AS vaccine_bcg;
+lpad(cast(supp AS string), 7, '0') AS facility_raw
+"""
 
 
 def raw_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
+    o = table(spark, sf_dir, "orders").selectExpr("*", "to_date(o_orderdate) AS d0")
     p, t, li = people(spark, sf_dir), territory(spark, sf_dir), line_summary(spark, sf_dir)
     j = (
         o.join(li, o.o_orderkey == li.l_orderkey, "left")
         .join(p, o.o_custkey == p.c_custkey)
         .join(t, F.col("c_nationkey") == F.col("n_nationkey"))
     )
-    c = F.col
-    d0 = F.to_date("o_orderdate")
-    plus = lambda n: F.date_add(d0, n.cast("int"))
-    notified = plus(F.coalesce(c("q_min"), F.lit(3)) - 3)
-    from_notif = lambda n: F.date_add(notified, n.cast("int"))
-    prio, seg = c("o_orderpriority"), c("c_mktsegment")
-    return j.select(
-        c("o_orderkey").alias("case_id"), c("o_custkey").alias("person_id"),
-        "code_raw", "municipality", "region", "birth_date", "sex_raw", "age_raw",
-        F.when(c("n_lines").isNotNull(), d0).alias("onset_date"),
-        notified.alias("notified_date"),
-        F.when(c("n_ret") > 0, from_notif(c("n_lines") - 3)).alias("investigated_date"),
-        F.when(c("n_fin") >= 2, plus(c("disc_max") - 1)).alias("admitted_date"),
-        F.when(c("n_fin") > 0, plus(c("ln_min") - 1)).alias("lp_date"),
-        F.when(c("n_acc") >= 2, from_notif(c("ln_max") - 4)).alias("prophylaxis_date"),
-        F.when(c("n_ret") > 0, plus(c("q_max"))).alias("outcome_date"),
-        F.when(c("o_orderstatus") != "O", from_notif(F.coalesce(c("q_sum"), F.lit(0)))).alias("closed_date"),
-        F.when((seg == "BUILDING") & (c("o_orderstatus") == "P"), "4")
-        .when(prio == "1-URGENT", "02").when(prio == "2-HIGH", "9").when(prio == "3-MEDIUM", "7.0")
-        .when(prio == "5-LOW", "10").alias("class_code"),
-        F.when(prio == "4-NOT SPECIFIED", "Meningite não espec.").alias("class_text"),
-        F.when(c("o_orderstatus") == "F", "1").when(c("o_orderstatus") == "P", "2.0")
-        .otherwise("9").alias("status_code"),
-        F.when(c("n_ret") >= 3, "2").when(c("n_ret") == 2, "3").when(c("n_ret") == 1, "1.0")
-        .otherwise("9").alias("outcome_code"),
-        F.when(c("n_fin") >= 2, "Sim").when(c("n_fin") == 1, "Não").otherwise("Ignorado").alias("hospital_raw"),
-        F.when(c("ln_min") == 1, "Cultura").when(c("ln_min") == 2, "PCR").when(c("ln_min") == 3, "Clínico")
-        .when(c("ln_min") == 4, "Látex").when(c("ln_min") == 5, "9").when(c("ln_min") == 6, "*Em Branco")
-        .alias("criterion"),
-        F.when(seg == "AUTOMOBILE", "B").when(seg == "HOUSEHOLD", "W135").when(seg == "FURNITURE", "Sorogrupo C")
-        .when(seg == "MACHINERY", "Ignorado").alias("serogroup_raw"),
-        F.when(seg == "FURNITURE", "Sim").otherwise("Não").alias("pregnant_raw"),
-        c("n_acc").cast("int").alias("contacts"),
-        F.when(c("n_fin") > 0, "Sim").otherwise("Não").alias("lp_raw"),
-        F.when(c("n_acc") >= 3, "Sim").otherwise("Não").alias("prophylaxis_raw"),
-        F.when(c("n_ret") >= 2, "Detectado").when(c("n_ret") == 1, "Não detectado")
-        .when(c("n_fin") > 3, "Inconclusivo").alias("lab_pcr"),
-        F.when(c("n_acc") >= 2, "1").when(c("n_acc") == 1, "2").when(c("n_fin") >= 3, "3")
-        .when(c("n_lines").isNotNull(), "4").alias("lab_culture"),
-        F.when(c("ln_max") >= 6, "Reagente").when(c("ln_max") == 5, "Não reagente")
-        .when(c("ln_max") == 4, "Ignorado").alias("lab_latex"),
-        _flag(c("n_lines") >= 5).alias("symptom_fever"),
-        _flag(c("q_max") >= 45).alias("symptom_stiffness"),
-        _flag(c("disc_max") >= 9).alias("comorbidity_hiv"),
-        _flag(c("disc_max") <= 2).alias("comorbidity_tb"),
-        _flag(c("q_min") <= 5).alias("vaccine_menc"),
-        _flag(c("q_min") >= 10).alias("vaccine_hib"),
-        _flag(c("q_max") >= 40).alias("vaccine_pneumo"),
-        _flag(c("ln_min") == 1).alias("vaccine_bcg"),
-        F.lpad(c("supp").cast("string"), 7, "0").alias("facility_raw"),
-    )
+    j = j.selectExpr("*", "date_add(d0, coalesce(q_min, 3) - 3) AS notified")
+    return j.selectExpr(*[x.strip() for x in _RAW_COLUMNS.split(";")])
 
 
 def cases(spark: SparkSession, sf_dir: str) -> DataFrame:
