@@ -99,8 +99,12 @@ def standardize(raw: DataFrame, population: DataFrame | None = None, state: str
     # the search key is its own step, so that the keyword rules read a column and not nine copies of it
     df = df.withColumn("_class_key", F.when(F.col("_by_code").isNull(), X.class_key("class_code", optional(df, "class_text"))))
     df = df.withColumn("class_group", F.coalesce("_by_code", X.class_of_key(F.col("_class_key")))).drop("_by_code", "_class_key")
+    if "criterion" in df.columns:
+        df = df.withColumn("_ck", X.text_key("criterion"))
+        df = df.withColumns({
+            "criterion_strict": X.criterion_of_key(F.col("_ck"), K.CRITERION_STRICT_WORDS, K.CRITERION_STRICT_CODES),
+            "criterion_broad": X.criterion_of_key(F.col("_ck"), K.CRITERION_BROAD_WORDS, K.CRITERION_BROAD_CODES)}).drop("_ck")
     flags = {
-        "criterion_strict": ("criterion", X.criterion_strict), "criterion_broad": ("criterion", X.criterion_broad),
         "serogroup_known": ("serogroup_raw", X.serogroup_informed),
         "prophylaxis_yes": ("prophylaxis_raw", lambda c: F.coalesce(X.yesno(c) == 1, F.lit(False))),
     }
