@@ -2,9 +2,9 @@
 from __future__ import annotations
 
 import re
+import tempfile
 from collections.abc import Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -72,9 +72,15 @@ def closed_parts(df: DataFrame, date: str = "event_date") -> dict[str, Column]:
 
 
 def fold(df: DataFrame) -> DataFrame:
-    """Keep a folded table (territory x calendar, not cases) for the several steps that read it.
-    Lost blocks are computed again from their lineage."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    """Write a folded table (territory x calendar, not cases) once for the several steps that read it.
+
+    A checkpoint in the shared folder the session names: it survives lost executors, and the plans
+    built on it stay short. A temporary folder serves only where the session names none.
+    """
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="caseflux-"))
+    return df.checkpoint()
 
 
 def resident(df: DataFrame, state: str, column: str = "residence_state") -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import dates as D
 from .nowcast import apply_nowcast, nowcast, nowcast_band, delay_cdf, reference_week, seasonal_alert, strata_weekly, usable_strata
 from . import series as T
+from .filters import fold
 
 _SUM = "aggregate({a}, 0D, (acc, v) -> acc + v)"
 
@@ -78,13 +79,16 @@ def backtest_summary(bt: DataFrame, keys: Sequence[str] = ("stratum",)) -> DataF
 def run_strata(df: DataFrame, as_of, min_state: int = 20, min_other: int = 12, draws: int = 200) -> dict[str, DataFrame]:
     """MD24: nowcast, forecast, backtest and summary of every stratum; all tables stay lazy."""
     weekly, hist = strata_weekly(df)
-    weekly = usable_strata(T.fill_weeks(weekly, ["stratum"], as_of), min_state, min_other)
+    weekly = fold(usable_strata(T.fill_weeks(weekly, ["stratum"], as_of), min_state, min_other))
     cdf = delay_cdf(hist, weekly, ["stratum"])
-    nc = nowcast_band(nowcast(weekly, cdf, as_of, ["stratum"]), hist, ["stratum"], draws)
+    nc = fold(nowcast_band(nowcast(weekly, cdf, as_of, ["stratum"]), hist, ["stratum"], draws))
     corrected = apply_nowcast(weekly, nc, ["stratum"])
     fc = forecast_weekly(corrected)
     bt = backtest(weekly)
-    ref = seasonal_alert(reference_week(nc, ["stratum"]), T.week_profile(df))
+    # weeks with cases of the state series are the history of the seasonal profile
+    state = weekly.filter((F.col("stratum") == "STATE") & (F.col("y") > 0))
+    q = lambda p, n: F.percentile("y", F.lit(p)).alias(n)
+    ref = seasonal_alert(reference_week(nc, ["stratum"]), state.groupBy("iso_week").agg(q(0.75, "p75"), q(0.95, "p95")))
     steps = fc.filter(F.col("horizon").isin(1, 4)).groupBy("stratum").pivot("horizon", [1, 4]).agg(F.first("pred")).withColumnsRenamed({"1": "forecast_1", "4": "forecast_4"})
     summary = ref.select("stratum", "monday", "observed", "nowcast", "alert").join(backtest_summary(bt), "stratum", "left").join(steps, "stratum", "left")
     return {"weekly": weekly, "cdf": cdf, "nowcast": nc, "forecast": fc, "backtest": bt, "summary": summary}

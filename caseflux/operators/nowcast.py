@@ -53,8 +53,9 @@ def nowcast(weekly: DataFrame, cdf: DataFrame, as_of: Column, keys: Sequence[str
     """MD15: last weeks divided by the share reported by their age. weekly: keys, monday, y."""
     w = W.partitionBy(*(keys or [F.lit(0)])).orderBy(F.col("monday").desc())
     age = F.greatest(F.lit(0), F.datediff(as_of, F.date_add("monday", 6)))
+    nc_days = F.floor(age / 7)
     t = weekly.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= last).withColumn(
-        "delay", F.least(F.floor(age / 7), F.lit(max_delay)).cast("int"))
+        "delay", F.least(nc_days, F.lit(max_delay)).cast("int"))
     j = t.join(cdf.select(*keys, "delay", F.col("cdf").alias("p_reported")), [*keys, "delay"], "left")
     nc = F.col("y") / F.col("p_reported")
     return j.select(*keys, "monday", F.col("y").cast("double").alias("observed"), "delay", "p_reported", nc.alias("nowcast"),
