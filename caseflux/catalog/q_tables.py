@@ -15,7 +15,7 @@ from ..plans import cases as C
 from ..plans import sources_view as V
 from .q_expressions import _BAND_SQL, CASES, LAB_SQL
 from .q_indicators import AGE_SQL, DM, LINKED, cnt, linked_deaths, pc, scope_sql
-from .registry import query
+from .registry import ORACLES, query
 
 POPSRC = "WITH " + C.POP_CTE
 
@@ -373,7 +373,8 @@ def _(s, d):
     return Q.quality_score(C.cases(s, d), C.table(s, d, "nation").agg(F.count(F.lit(1))).scalar())
 
 
-@query("ag26_quality_total")
+@query("ag26_quality_total", "SELECT total, CASE WHEN total >= 18 THEN 'Excelente' WHEN total >= 14 THEN 'Boa' WHEN total >= 10 THEN 'Regular' WHEN total >= 6 THEN 'Ruim' ELSE 'Crítica' END AS quality_class FROM (SELECT CAST(sum(points) AS BIGINT) AS total FROM ("
+       + ORACLES["ag26_quality_score"] + "))")
 def _(s, d):
     return Q.quality_total(Q.quality_score(C.cases(s, d), 25))
 

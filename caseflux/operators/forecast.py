@@ -135,6 +135,7 @@ def ml_members(daily: DataFrame, horizon: int, key: str, value: str, date: str =
     f = one.unionByName(ahead).withColumns({n: F.lag("y", horizon + i).over(w) for i, n in enumerate(names)})
     f = f.withColumns({"dow": F.weekday(date).cast("double"), "month": F.month(date).cast("double"), "doy": F.dayofyear(date).cast("double")}).dropna(subset=names)
     v = VectorAssembler(inputCols=[*names, "dow", "month", "doy"], outputCol="features").transform(f).withColumn("_future", F.col(date) > last)
+    v = fold(v.select(date, "y", "features", "_future"))  # one row per day, read by every fit
     train, future = v.filter(~F.col("_future")), v.filter("_future")
     models = {"random_forest": RandomForestRegressor(labelCol="y", numTrees=trees, seed=seed, minInstancesPerNode=2),
               "gradient_boosting": GBTRegressor(labelCol="y", maxIter=20, seed=seed),
