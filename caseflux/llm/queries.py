@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import near_dups, quality_rules, quality_trees, toxicity
+from . import decontamination, html_wrappers, licenses, near_dups, packing, pii, quality_rules, quality_trees, repeats, toxicity
 
 ORACLES: dict[str, str] = {}
 
@@ -13,10 +13,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path() -> str:
+    """The public vocabulary the packing contract names; the operator takes any path."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = html_wrappers.extract(table(spark, sf_dir, "pages"))
+    return got.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op4_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_classes(table(spark, sf_dir, "documents"))
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_digest(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     got = quality_rules.measure(docs, quality_rules.train(docs, table(spark, sf_dir, "labels")))
@@ -28,9 +52,23 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality_trees.score(docs, quality_trees.train(docs, table(spark, sf_dir, "labels")))
 
 
-QUERIES = {f.__name__: f for f in (op4_near_dups, op6_quality_rules, op7_toxicity, op10_quality_trees)}
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {f.__name__: f for f in (op1_pii, op2_decontamination, op3_html_text, op4_near_dups, op5_packing, op6_quality_rules, op7_toxicity, op8_repeats, op9_licenses, op10_quality_trees, pipeline)}
