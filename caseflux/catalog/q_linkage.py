@@ -107,7 +107,7 @@ def _(s, d):
     return K.proxy_summary(C.cases(s, d))
 
 
-@query("ag45_review_queue", CASES + f""" SELECT case_id, event_date::VARCHAR AS event_date FROM (SELECT *, {LAB_SQL} FROM cases) WHERE confirmed = 1 AND NOT {_POS} ORDER BY event_date DESC, case_id LIMIT 500""")
+@query("ag45_review_queue", CASES + f""" SELECT case_id, event_date::VARCHAR AS event_date FROM (SELECT *, {LAB_SQL} FROM cases) WHERE confirmed = 1 AND NOT {_POS}""")
 def _(s, d):
     return K.review_queue(C.cases(s, d)).select("case_id", "event_date")
 

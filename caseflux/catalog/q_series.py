@@ -51,18 +51,18 @@ def _(s, d):
     return T.lag_features(daily(s, d))
 
 
-_MUN = """, m AS (SELECT municipality, 1e5 * sum(case_n) / nullif(max(population), 0) AS inc, 1e5 * sum(death) / nullif(max(population), 0) AS mort,
-  1e2 * sum(death) / nullif(sum(confirmed), 0) AS fat FROM cases WHERE event_year = 1999 GROUP BY 1)"""
+_MUN = """, m AS (SELECT municipality, event_year, 1e5 * sum(case_n) / nullif(max(population), 0) AS inc, 1e5 * sum(death) / nullif(max(population), 0) AS mort,
+  1e2 * sum(death) / nullif(sum(confirmed), 0) AS fat FROM cases GROUP BY 1, 2)"""
 
 
 def pr(c):
-    return f"((rank() OVER (ORDER BY coalesce({c}, 0)) + (count(*) OVER (PARTITION BY coalesce({c}, 0)) - 1) / 2.0) / count(*) OVER ())"
+    return f"((rank() OVER (PARTITION BY event_year ORDER BY coalesce({c}, 0)) + (count(*) OVER (PARTITION BY event_year, coalesce({c}, 0)) - 1) / 2.0) / count(*) OVER (PARTITION BY event_year))"
 
 
-@query("wn05_risk_rank", CASES + _MUN + f" SELECT municipality, {pr('inc')} + {pr('mort')} + {pr('fat')} AS risk_score FROM m", "risk_score")
+@query("wn05_risk_rank", CASES + _MUN + f" SELECT municipality, event_year, {pr('inc')} + {pr('mort')} + {pr('fat')} AS risk_score FROM m", "risk_score")
 def _(s, d):
-    r = R.rates(C.cases(s, d).filter(F.col("event_year") == 1999), ["municipality"])
-    return T.pct_rank_score(r, ["incidence_100k", "mortality_100k", "pct_fatality"]).select("municipality", "risk_score")
+    r = R.rates(C.cases(s, d), ["municipality", "event_year"])
+    return T.pct_rank_score(r, ["incidence_100k", "mortality_100k", "pct_fatality"], keys=["event_year"]).select("municipality", "event_year", "risk_score")
 
 
 @query("wn06_rank_min", CASES + """ SELECT municipality, p, rank() OVER (ORDER BY p DESC) AS rank FROM (

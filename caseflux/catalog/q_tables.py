@@ -379,10 +379,13 @@ def _(s, d):
     return Q.quality_total(Q.quality_score(C.cases(s, d), 25))
 
 
+ORDER_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+
+
 @query("ag27_profile", " UNION ALL ".join(f"""SELECT '{c}' AS variable, count(*) AS n, count({c}) AS filled, count(*) - count({c}) AS missing, round(1e2 * (count(*) - count({c})) / count(*), 2) AS pct_missing,
- count(DISTINCT {c}) AS distinct_values FROM orders""" for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")), "pct_missing")
+ count(DISTINCT {c}) AS distinct_values FROM orders""" for c in ORDER_COLUMNS), "pct_missing")
 def _(s, d):
-    return Q.profile(C.table(s, d, "orders"), ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"])
+    return Q.profile(C.table(s, d, "orders"), ORDER_COLUMNS)
 
 
 @query("ag28_consistency", CASES + " UNION ALL ".join(f"""{'SELECT' if i else ' SELECT'} '{r}' AS rule, {cnt(f'{a} > {b}')} AS n_bad, {pc(cnt(f'{a} > {b}'), 'count(*)')} AS pct, 'high' AS severity FROM cases""" for i, (r, a, b) in enumerate(Q.DATE_RULES)) + f"""

@@ -114,7 +114,7 @@ def _(s, d):
 
 
 SALT = "round-salt"
-_PS = "'CASO-' || upper(substr(sha256('" + SALT + "|' || {}), 1, 8))"
+_PS = "'CASO-' || upper(sha256('" + SALT + "|' || {}))"
 
 
 def person_rows(s, d):
@@ -139,10 +139,13 @@ def _(s, d):
     return person_rows(s, d).select("case_id", V.redact_ids("nota", SALT, drop_lines=True).alias("nota"))
 
 
-@query("tx09_redact_documents", """SELECT doc_id, md5(text) AS text_md5 FROM documents WHERE NOT regexp_matches(text, '(?i)\\b(casos?|notifica(?:c|ç)(?:a|ã)o|notif\\.?)\\s*(?:n[º°.]?\\s*)?[:#]?\\s*(\\d{5,})\\b')""")
+@query("tx09_redact_documents", f"""SELECT doc_id, md5(CASE WHEN doc_id % 2 = 0 THEN 'Segue ' || {_PS.format('(doc_id + 100000)')} || '; ' || text || ' ' || {_PS.format('(doc_id + 700000)')} || '.' ELSE text END) AS text_md5, doc_id % 2 = 0 AS changed FROM documents""")
 def _(s, d):
-    x = C.table(s, d, "documents").withColumn("redacted", V.redact_ids("text", SALT))
-    return x.filter(F.col("redacted") == F.col("text")).select("doc_id", F.md5("redacted").alias("text_md5"))
+    """Every document; every second one has two case numbers written into it."""
+    k = F.col("doc_id")
+    noted = F.concat(F.lit("Segue caso nº "), (k + 100000).cast("string"), F.lit("; "), F.col("text"), F.lit(" Notificação: "), (k + 700000).cast("string"), F.lit("."))
+    x = C.table(s, d, "documents").withColumn("given", F.when(k % 2 == 0, noted).otherwise(F.col("text"))).withColumn("redacted", V.redact_ids("given", SALT))
+    return x.select("doc_id", F.md5("redacted").alias("text_md5"), (F.col("redacted") != F.col("given")).alias("changed"))
 
 
 @query("tx10_residual_report", "SELECT count(*) AS rows, 'nota' AS \"column\", count(*) AS case_numbers, count(*) AS nominal_lines FROM customer UNION ALL SELECT count(*), 'municipio', 0, 0 FROM customer")
@@ -179,10 +182,10 @@ def _(s, d):
     return s.read.parquet(path).agg(F.count(F.lit(1)).alias("n")).withColumn("label", F.lit(label))
 
 
-@query("src04_pick_view", "SELECT 'dbo.VW_SINAN_MENINGITE' AS view, 'canonico' AS method, count(*) AS candidates FROM nation")
+@query("src04_pick_view", "SELECT 'main.CASE_VIEW' AS view, 'canonico' AS method, count(*) AS candidates FROM nation")
 def _(s, d):
     n = C.table(s, d, "nation")
-    return R.pick_view(n.select(F.when(F.col("n_nationkey") == 7, "dbo.VW_SINAN_MENINGITE").when(F.col("n_nationkey") == 3, "SINAN_MENINGITE").otherwise(F.col("n_name")).alias("name")))
+    return R.pick_view(n.select(F.when(F.col("n_nationkey") == 7, "main.CASE_VIEW").when(F.col("n_nationkey") == 3, "CASES").otherwise(F.col("n_name")).alias("name")), ["CASE_VIEW", "CASES"])
 
 
 @query("src05_discover_tables", "SELECT 'v_orders' AS name UNION ALL SELECT 'v_customer'")
@@ -266,13 +269,16 @@ def _(s, d):
     return Z.climate_daily(climate(s, d), {"temperature_mean": (1, 20), "humidity": (-1e9, 1e9)})
 
 
-@query("src16_read_corpus", "SELECT doc_id, md5(text) AS text_md5, lang FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1)")
+@query("src16_read_corpus", "SELECT doc_id, md5(text) AS text_md5, lang FROM documents")
 def _(s, d):
-    doc = C.table(s, d, "documents").join(C.table(s, d, "labels").filter("toxic = 1").select("doc_id").distinct(), "doc_id", "left_semi")
+    """Every document, a hundred to a file; a line of its own names each."""
+    doc = C.table(s, d, "documents")
     p = R.scratch_dir(s)
-    doc.select("text", F.col("doc_id").alias("part")).repartition("part").write.partitionBy("part").option("lineSep", "\u0004").text(p)
-    files = R.read_corpus(s, p).withColumn("doc_id", F.regexp_extract("path", "part=(\\d+)/", 1).cast("bigint"))
-    return files.select("doc_id", F.md5(F.regexp_replace("text", "\u0004$", "")).alias("text_md5")).join(doc.select("doc_id", "lang"), "doc_id", "left")
+    body = doc.select(F.concat(F.col("doc_id").cast("string"), F.lit("\u0005"), F.col("text")).alias("value"), F.floor(F.col("doc_id") / 100).alias("part"))
+    body.repartition("part").write.partitionBy("part").option("lineSep", "\u0004").text(p)
+    one = R.read_corpus(s, p).select(F.explode(F.split("text", "\u0004", -1)).alias("t")).filter(F.col("t") != "")
+    got = one.select(F.substring_index("t", "\u0005", 1).cast("bigint").alias("doc_id"), F.md5(F.expr("substring(t, instr(t, '\u0005') + 1)")).alias("text_md5"))
+    return got.join(doc.select("doc_id", "lang"), "doc_id", "left")
 
 
 @query("src17_file_inventory", "SELECT count(*) AS rows, 1 AS files_with_size FROM region")

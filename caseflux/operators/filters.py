@@ -71,15 +71,22 @@ def closed_parts(df: DataFrame, date: str = "event_date") -> dict[str, Column]:
             "previous_year": D.iso_year(before), "previous_week": D.iso_week(before)}
 
 
+def local_folder(sc) -> str:
+    """A folder of this machine, for local masters only: on a cluster the other machines could not see it."""
+    if not (sc.master == "local" or sc.master.startswith("local[")):
+        raise ValueError("name a shared folder in spark.checkpoint.dir")
+    return tempfile.mkdtemp(prefix="caseflux-")
+
+
 def fold(df: DataFrame) -> DataFrame:
     """Write a folded table (territory x calendar, not cases) once for the several steps that read it.
 
     A checkpoint in the shared folder the session names: it survives lost executors, and the plans
-    built on it stay short. A temporary folder serves only where the session names none.
+    built on it stay short. Where the session names none, only a local master may use a folder of its own.
     """
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="caseflux-"))
+        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or local_folder(sc))
     return df.checkpoint()
 
 
@@ -96,8 +103,8 @@ def filter_dims(df: DataFrame, **selections: Sequence) -> DataFrame:
     return df
 
 
-def significant(tables: Mapping[str, DataFrame], p: float = 0.005, n: int = 20) -> DataFrame:
-    """FL4: per result table the n most significant findings below p, with a readable label."""
+def significant(tables: Mapping[str, DataFrame], p: float = 0.005, n: int | None = None) -> DataFrame:
+    """FL4: per result table the findings below p (the n most significant ones, where n is given), with a readable label."""
     from .ordering import union_all
 
     parts = []
@@ -107,14 +114,16 @@ def significant(tables: Mapping[str, DataFrame], p: float = 0.005, n: int = 20)
             F.lit(name).alias("source"), F.concat_ws(" | ", *label).alias("finding"), "p_value",
             *[c for c in ("odds_ratio", "ci_low", "ci_high") if c in t.columns]))
     u = union_all(*parts)
+    if n is None:
+        return u
     w = W.partitionBy("source").orderBy("p_value", "finding")
     return u.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
 
 
-def search_case(df: DataFrame, text: str, case_id: str = "case_id", n: int = 200) -> DataFrame:
-    """FL5: first n cases whose id contains the text."""
+def search_case(df: DataFrame, text: str, case_id: str = "case_id", n: int | None = None) -> DataFrame:
+    """FL5: cases whose id contains the text, the first n of them where n is given."""
     hits = df.filter(F.col(case_id).cast("string").contains(text)) if text else df
-    return hits.orderBy(case_id).limit(n)
+    return hits if n is None else hits.orderBy(case_id).limit(n)
 
 
 def since_year(df: DataFrame, year: int = 2007, column: str = "event_year") -> DataFrame:

@@ -280,6 +280,7 @@ def proxy_summary(df: DataFrame) -> DataFrame:
                  (100.0 * F.avg("proxy_lab_positive")).alias("pct_proxy_positive"), F.sum("death").alias("deaths_own"), F.sum("review").alias("to_review"))
 
 
-def review_queue(df: DataFrame, n: int = 500) -> DataFrame:
-    """AG45: first confirmed cases without a positive result, newest first."""
-    return internal_proxy(df).filter(F.col("review") == 1).orderBy(F.col("event_date").desc(), "case_id").limit(n)
+def review_queue(df: DataFrame, n: int | None = None) -> DataFrame:
+    """AG45: confirmed cases without a positive result, newest first (the first n, where n is given)."""
+    out = internal_proxy(df).filter(F.col("review") == 1).orderBy(F.col("event_date").desc(), "case_id")
+    return out if n is None else out.limit(n)

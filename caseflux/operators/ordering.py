@@ -45,14 +45,12 @@ def top_n(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -
 def top_categories(df: DataFrame, col: str, n: int = 12, min_n: int = 10, other: str | None = None) -> DataFrame:
     """OR3: the n most frequent categories with at least min_n rows; the rest dropped or folded."""
     counts = df.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias("category")).count()
-    ranked = counts.withColumn(
-        "_rn", F.row_number().over(W.partitionBy(F.lit(0)).orderBy(F.col("count").desc(), "category"))
-    ).withColumnRenamed("count", "n")
-    keep = (F.col("_rn") <= n) & (F.col("n") >= min_n)
+    counts = counts.withColumnRenamed("count", "n")
+    top = counts.filter(F.col("n") >= min_n).orderBy(F.col("n").desc(), "category").limit(n)
     if other is None:
-        return ranked.filter(keep).drop("_rn")
-    folded = F.when(keep, F.col("category")).otherwise(F.lit(other))
-    return ranked.groupBy(folded.alias("category")).agg(F.sum("n").alias("n"))
+        return top
+    kept = counts.join(top.select(F.col("category").alias("_top")), F.col("category") == F.col("_top"), "left")
+    return kept.groupBy(F.coalesce("_top", F.lit(other)).alias("category")).agg(F.sum("n").alias("n"))
 
 
 def worst_k(long: DataFrame, k: int, indicator: str = "indicator", unit: str = "slice", value: str = "value",

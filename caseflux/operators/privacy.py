@@ -24,10 +24,15 @@ def pii_policy(columns: Sequence[str]) -> dict[str, str]:
     return {c: "drop" if is_pii(c) else "pseudonym" if c in K.PII_PSEUDONYM else "keep" for c in columns}
 
 
+def _code(c: Column, salt: str) -> Column:
+    """The whole digest: a shorter code would merge persons in large tables."""
+    return F.concat(F.lit("CASO-"), F.upper(F.sha2(F.concat(F.lit(salt + "|"), c), 256)))
+
+
 def pseudonym(c: Column | str, salt: str) -> Column:
     """TX8: the same id gets the same pseudonym in every table of one salt; the id cannot be read back."""
     s = F.trim(as_col(c).cast("string"))
-    code = F.concat(F.lit("CASO-"), F.upper(F.substring(F.sha2(F.concat(F.lit(salt + "|"), s), 256), 1, 8)))
+    code = _code(s, salt)
     return F.when(s.isNull() | F.lower(s).isin("", "nan", "none", "<na>", "nat"), "").otherwise(code)
 
 
@@ -45,7 +50,7 @@ def redact_ids(c: Column | str, salt: str, drop_lines: bool = False) -> Column:
         t = F.array_join(F.filter(F.split(t, "\n", -1), lambda line: ~line.rlike(K.NOMINAL_LINE_PATTERN)), "\n")
     parts = F.split(t, K.CASE_NUMBER_PATTERN, -1)
     ids = F.regexp_extract_all(t, F.lit(K.CASE_NUMBER_PATTERN), F.lit(2))
-    codes = F.transform(ids, lambda i: F.concat(F.lit("CASO-"), F.upper(F.substring(F.sha2(F.concat(F.lit(salt + "|"), i), 256), 1, 8))))
+    codes = F.transform(ids, lambda i: _code(i, salt))
     glued = F.zip_with(parts, codes, lambda p, k: F.concat(p, F.coalesce(k, F.lit(""))))
     return F.when(t.isNull(), None).otherwise(F.array_join(glued, ""))
 

@@ -81,10 +81,10 @@ def pct_rank(col: Column | str, keys: Sequence[str] = ()) -> Column:
     return (F.rank().over(base.orderBy(c)) + (ties - 1) / 2) / F.count(F.lit(1)).over(base)
 
 
-def pct_rank_score(df: DataFrame, cols: Sequence[str], out: str = "risk_score") -> DataFrame:
-    """WN5: sum of the percentile ranks of the indicators, NULL counted as 0."""
+def pct_rank_score(df: DataFrame, cols: Sequence[str], out: str = "risk_score", keys: Sequence[str] = ()) -> DataFrame:
+    """WN5: sum of the percentile ranks of the indicators inside `keys`, NULL counted as 0."""
     filled = df.withColumns({f"_f_{c}": F.coalesce(F.col(c), F.lit(0.0)) for c in cols})
-    ranked = filled.withColumns({f"_r_{c}": pct_rank(f"_f_{c}") for c in cols})
+    ranked = filled.withColumns({f"_r_{c}": pct_rank(f"_f_{c}", keys) for c in cols})
     total = F.lit(0.0)
     for c in cols:
         total = total + F.col(f"_r_{c}")

@@ -48,16 +48,18 @@ def _fisher_udf():
 
 def _chi2_udf():
     def tail(x: float, dof: int) -> float:
-        # P(X > x) for an integer number of degrees of freedom, by the upward recurrence in dof.
+        # P(X > x) for an integer number of degrees of freedom: the terms exp(-h) h^s / s! are added as
+        # exponentials of their logarithms, so no term underflows before it grows.
         h = x / 2.0
-        if dof % 2:
-            q, a, term = math.erfc(math.sqrt(h)), 0.5, math.exp(-h) * math.sqrt(h) / math.gamma(1.5)
-        else:
-            q, a, term = math.exp(-h), 1.0, math.exp(-h) * h
-        while a < dof / 2.0:
-            q, a = q + term, a + 1.0
-            term *= h / a
-        return min(1.0, q)
+        if h <= 0:
+            return 1.0
+        odd = dof % 2
+        s = np.arange(dof // 2, dtype=float) + 0.5 * odd
+        base = math.erfc(math.sqrt(h)) if odd else 0.0
+        if not len(s):
+            return min(1.0, base)
+        log_gamma = math.lgamma(s[0] + 1) + np.concatenate([[0.0], np.cumsum(np.log(s[1:]))])
+        return float(min(1.0, base + np.exp(s * math.log(h) - h - log_gamma).sum()))
 
     def tails(x: pd.Series, dof: pd.Series) -> pd.Series:
         return pd.Series([tail(float(v), int(k)) if pd.notna(v) and k >= 1 else float("nan") for v, k in zip(x, dof)], dtype=float)
@@ -187,10 +189,11 @@ def ols_line(df: DataFrame, x: str, y: str, keys: Sequence[str] = ()) -> DataFra
                                  F.regr_intercept(cy, cx).alias("intercept"), F.regr_r2(cy, cx).alias("r2"))
 
 
-def logistic_or(df: DataFrame, outcome: str, numeric: Sequence[str], categorical: Sequence[str], top: int = 8, max_features: int = 60) -> DataFrame:
-    """MD8: multivariable logistic regression; the rarer categories are folded, constant columns dropped.
+def logistic_or(df: DataFrame, outcome: str, numeric: Sequence[str], categorical: Sequence[str], top: int | None = None, max_features: int | None = None) -> DataFrame:
+    """MD8: multivariable logistic regression; constant columns are dropped.
 
-    Only bounded facts reach the driver: `top` labels per column, one row of moments, the coefficients.
+    Every category is a feature; `top` folds the rarer ones and `max_features` keeps the strongest features,
+    where asked for. What reaches the driver grows with the number of features only.
     """
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GeneralizedLinearRegression
@@ -199,7 +202,8 @@ def logistic_or(df: DataFrame, outcome: str, numeric: Sequence[str], categorical
 
     feats: dict[str, Column] = {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in numeric}
     for c in categorical:
-        labels = [r["category"] for r in top_categories(df, c, top, 1).collect()]
+        known = df.filter(F.col(c).isNotNull()).groupBy(F.col(c).alias("category")).count() if top is None else top_categories(df, c, top, 1)
+        labels = sorted(r["category"] for r in known.collect())
         for v in labels[1:]:
             feats[f"{c}={v}"] = F.coalesce((F.col(c) == v).cast("double"), F.lit(0.0))
         feats[f"{c}=other"] = (F.col(c).isNull() | ~F.col(c).isin(*labels)).cast("double")
@@ -207,15 +211,12 @@ def logistic_or(df: DataFrame, outcome: str, numeric: Sequence[str], categorical
     d = df.filter(F.col(outcome).isNotNull()).select(F.col(outcome).cast("double").alias("label"), *[feats[n].alias(f"f{i}") for i, n in enumerate(names)])
     spread = d.agg(*[F.var_pop(f"f{i}").alias(f"v{i}") for i in range(len(names))]).first()
     keep = [i for i in range(len(names)) if (spread[f"v{i}"] or 0) > 0]
-    if len(keep) > max_features:
+    if max_features is not None and len(keep) > max_features:
         r = d.agg(*[F.abs(F.corr(f"f{i}", "label")).alias(f"c{i}") for i in keep]).first()
         keep = sorted(keep, key=lambda i: -(r[f"c{i}"] or 0))[:max_features]
     data = VectorAssembler(inputCols=[f"f{i}" for i in keep], outputCol="features").transform(d).select("label", "features")
     model = GeneralizedLinearRegression(family="binomial", link="logit", regParam=0.0, maxIter=50).fit(data)
-    try:
-        se, p = list(model.summary.coefficientStandardErrors), list(model.summary.pValues)
-    except Exception:
-        se, p = [float("nan")] * (len(keep) + 1), [float("nan")] * (len(keep) + 1)
+    se, p = list(model.summary.coefficientStandardErrors), list(model.summary.pValues)
     rows = [(names[i], float(b), math.exp(b), math.exp(b - 1.96 * s) if s == s else None, math.exp(b + 1.96 * s) if s == s else None, q if q == q else None)
             for i, b, s, q in zip(keep, model.coefficients, se, p)]
     return df.sparkSession.createDataFrame(rows, "variable string, coef double, odds_ratio double, ci_low double, ci_high double, p_value double")

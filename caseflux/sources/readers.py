@@ -2,7 +2,6 @@
 from __future__ import annotations
 
 import re
-import tempfile
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,29 +17,28 @@ SEPARATORS = (",", ";", "\t", "|")
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """Folder all executors see: the checkpoint folder the session names; a local one only where none is set."""
+    """Folder all executors see, under the checkpoint folder the session names; only a local master may go without one."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if base:
         import uuid
 
         return f"{base.rstrip('/')}/caseflux-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix="caseflux-")
+    from ..operators.filters import local_folder
 
-
-def _probe(spark: SparkSession, path: str, encoding: str) -> list[str]:
-    head = spark.read.option("encoding", encoding).csv(path, sep="\u0001", header=False).limit(5)
-    return [r[0] or "" for r in head.collect()]
+    return local_folder(spark.sparkContext)
 
 
 def read_delimited(spark: SparkSession, path: str, min_cols: int = 2) -> DataFrame:
-    """SRC1: text table of unknown separator and encoding. Only a few header lines reach the driver."""
-    encoding = "UTF-8"
-    head = _probe(spark, path, encoding)
-    if any("�" in x for x in head):
-        encoding = "ISO-8859-1"
-        head = _probe(spark, path, encoding)
-    first = head[0] if head else ""
-    sep = next((s for s in SEPARATORS if first.count(s) + 1 >= min_cols), ",")
+    """SRC1: text table of unknown separator and encoding.
+
+    One pass over every byte decides the encoding; the separator is the one the header line has most of.
+    """
+    raw = spark.read.text(path)  # bytes as they are: nothing is decoded here
+    encoding = "UTF-8" if raw.agg(F.bool_and(F.is_valid_utf8("value"))).first()[0] in (True, None) else "ISO-8859-1"
+    head = spark.read.option("encoding", encoding).csv(path, sep="\u0001", header=False).first()
+    first = head[0] or "" if head else ""
+    best = max(SEPARATORS, key=first.count)
+    sep = best if first.count(best) + 1 >= min_cols else ","
     df = spark.read.csv(path, sep=sep, header=True, encoding=encoding, quote='"', escape='"')
     return df.toDF(*[c.replace("﻿", "") for c in df.columns])
 
@@ -84,7 +82,7 @@ def discover_tables(spark: SparkSession, patterns: Sequence[str], schema: str |
     return df.filter(cond)
 
 
-def pick_view(names: DataFrame, preferred: Sequence[str] = K.CANONICAL_VIEWS) -> DataFrame:
+def pick_view(names: DataFrame, preferred: Sequence[str]) -> DataFrame:
     """SRC4: canonical view by order of preference, else the first name, else none."""
     plain = F.regexp_replace(F.upper(F.element_at(F.split(F.trim("name"), "\\."), -1)), "[^A-Z0-9_]", "")
     n = names.filter(F.trim("name") != "").withColumns({
