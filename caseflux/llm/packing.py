@@ -14,7 +14,10 @@ are packed each; a null doc_id is carried along; extra columns are ignored.
 """
 from __future__ import annotations
 
+import re
+import unicodedata
 from functools import lru_cache
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -26,19 +29,40 @@ from .common import settle
 
 LONGEST = 2048
 CLOSING = 1
-REMEMBERED = 400_000  # chunks a worker keeps; a full table is started anew
-_BLANKS = str.maketrans({9: 32, 10: 32, 13: 32})
+REMEMBERED = 600_000  # chunks a worker keeps; a full table is started anew
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level vocabularies: itself if it prints, else one from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(shown)]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
+_LETTER = _byte_letters()
+_WORD_STOP = re.compile(r"(?<=[^\W_])([.,])(?=[ \n\t\r]|\Z)")
 
 
 class ChunkTable:
-    """Token ids of blank-free chunks of text."""
+    """Token ids of blank-free chunks of text.
+
+    Plain texts are lower-cased and get a blank before a stop or comma that follows a letter or digit:
+    these tokenizers lower-case and split there anyway, and far fewer chunks differ. A chunk of letters is
+    one word to the tokenizer, so its model is asked directly; every other chunk goes through all of it.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.lowers = self.tokenizer.encode("QZ", add_special_tokens=False).ids == self.tokenizer.encode("qz", add_special_tokens=False).ids
+        self.direct = self.lowers and all(self._word(w) == self.tokenizer.encode(w, add_special_tokens=False).ids for w in ("plain", "naïve", "straße", "слово"))
+        self.stops = all(self.tokenizer.encode(f"ab{x}", add_special_tokens=False).ids == self.tokenizer.encode(f"ab {x}", add_special_tokens=False).ids for x in ".,")
         self.clear()
 
+    def _word(self, w: str) -> list[int]:
+        return [t.id for t in self.tokenizer.model.tokenize(w if w.isascii() else w.encode().decode("latin-1").translate(_LETTER))]
+
     def clear(self) -> None:
         self.at: dict[str, int] = {"": 0}
         self.start, self.size = [0], [0]
@@ -47,37 +71,55 @@ class ChunkTable:
         self.frozen = None
 
     def _learn(self, chunks: list[str]) -> None:
+        ids: list[list[int] | None] = []
+        for c in chunks:
+            if not (self.direct and c.isalpha()):
+                ids.append(None)
+            elif c.isascii():
+                ids.append(self._word(c.lower()))
+            else:
+                ids.append(self._word(c) if c.lower() == c and unicodedata.is_normalized("NFC", c) else None)
+        whole = [k for k, i in enumerate(ids) if i is None]
         encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        for lo in range(0, len(chunks), 20_000):
-            part = chunks[lo:lo + 20_000]
-            ids = [e.ids for e in encode(part, add_special_tokens=False)]
-            for c, i in zip(part, ids, strict=True):
-                self.at[c] = len(self.start)
-                self.start.append(self.filled)
-                self.size.append(len(i))
-                self.filled += len(i)
-            self.pool.append(np.concatenate([np.array(i, np.uint32) for i in ids]) if ids else np.zeros(0, np.uint32))
+        for lo in range(0, len(whole), 20_000):
+            part = whole[lo:lo + 20_000]
+            for k, e in zip(part, encode([chunks[k] for k in part], add_special_tokens=False), strict=True):
+                ids[k] = e.ids
+        for c, i in zip(chunks, ids, strict=True):
+            self.at[c] = len(self.start)
+            self.start.append(self.filled)
+            self.size.append(len(i))
+            self.filled += len(i)
+        self.pool.append(np.fromiter(chain.from_iterable(ids), np.uint32))
+        self.frozen = None
+
+    def _plain(self, t: str) -> str:
+        """The text with its chunks parted by single blanks."""
+        if self.lowers and self.stops and (t.isascii() or ("Σ" not in t and "İ" not in t and unicodedata.is_normalized("NFC", t))) and "<|" not in t:
+            t = _WORD_STOP.sub(r" \1", t.lower())
+        return t.replace("\n", " ").replace("\t", " ").replace("\r", " ")
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts one after the other, and each text's number of ids."""
-        split = [t.translate(_BLANKS).split(" ") if t else [""] for t in texts]
+        if not texts:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
         if len(self.at) > REMEMBERED:
             self.clear()
-        new = set().union(*split).difference(self.at)
-        if new:
-            self._learn(sorted(new))
-            self.frozen = None
+        plain = [self._plain(t) for t in texts]
+        n = np.array([t.count(" ") + 1 for t in plain])
+        chunks = " ".join(plain).split(" ")
+        which = np.fromiter(map(self.at.get, chunks, repeat(-1)), np.int64, len(chunks))
+        new = np.flatnonzero(which < 0)
+        if len(new):
+            self._learn(sorted({chunks[k] for k in new}))
+            which[new] = [self.at[chunks[k]] for k in new]
         if self.frozen is None:
             self.frozen = np.array(self.start), np.array(self.size), np.concatenate(self.pool)
             self.pool = [self.frozen[2]]
         start, size, pool = self.frozen
-        get = self.at.__getitem__
-        n = np.array([len(x) for x in split])
-        which = np.fromiter((get(c) for x in split for c in x), np.int64, n.sum())
         count = size[which]
         end = np.cumsum(count)
-        total = int(end[-1]) if len(end) else 0
-        take = np.arange(total) + np.repeat(start[which] - (end - count), count)
+        take = np.arange(int(end[-1])) + np.repeat(start[which] - (end - count), count)
         upto = np.concatenate(([0], end))[np.cumsum(n)]
         return pool[take], np.diff(np.concatenate(([0], upto)))
 
