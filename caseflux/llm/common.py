@@ -6,6 +6,7 @@ runs per word. Nothing is cut off: a slice always holds whole texts.
 """
 from __future__ import annotations
 
+import gc
 import tempfile
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -39,6 +40,12 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def release(spark: SparkSession) -> None:
+    """Let the driver collect its garbage: shuffle files go with the plans that made them, once these are settled."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -2,7 +2,7 @@
 
 The question for each start of a string ("window") is whether its first LENGTH bytes occur anywhere else.
 Sorting all suffixes answers it, but front-coded runs of all suffixes are some hundred times the text, and a
-merge by loser trees runs row by row; neither fits the memory and disk a task has here (figures in README).
+merge by loser trees runs row by row; neither fits the memory and disk a task has here (see README).
 What is kept of that method is that known common prefixes are never compared again: windows are grouped
 by ever longer common parts, and only groups that are still undecided go on.
 
@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Slice, U, mix, powers, prefix_sums, settle, slices, span_hashes
+from .common import Slice, U, mix, powers, prefix_sums, release, settle, slices, span_hashes
 
 LENGTH = 400
 GRAMS = (96, 360, 400)
@@ -156,9 +156,14 @@ def _packed(batches):
 
 
 def _decide(runs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Covered windows (k1, k2, j, n) and one run of each content of the undecided names."""
+    """Covered windows (k1, k2, j, n) and one run of each content of the undecided names.
+
+    Names are counted first; `runs` is computed a second time rather than kept, since most names are unique.
+    """
+    twice = runs.groupBy("g").agg(F.count("*").alias("c"), F.bool_or("multi").alias("m")).where("c > 1 or m").select("g")
+    runs = settle(runs.join(twice, "g"))
+    release(runs.sparkSession)
     content = runs.groupBy("g", "u").agg(F.count("*").alias("c"), F.min(F.struct("k1", "k2", "j", "n")).alias("rep"), F.bool_or("multi").alias("multi"))
-    content = settle(content)
     names = content.groupBy("g").agg(F.count("*").alias("kinds"), F.sum("c").alias("c_all"), F.bool_or("multi").alias("m"))
     names = names.where((F.col("kinds") > 1) | ((F.col("c_all") == 1) & F.col("m"))).select("g")
     twice = content.where("c > 1").select("g", "u")
@@ -169,15 +174,14 @@ def _decide(runs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def covered_windows(docs: DataFrame) -> DataFrame:
     """Windows that occur at least twice, as rows k1, k2 (the document), j (first window), n (windows in a row)."""
-    runs = settle(docs.where(F.octet_length("t") >= LENGTH).mapInArrow(_text_runs, _RUN))
-    covered, todo = _decide(runs)
+    covered, todo = _decide(docs.where(F.octet_length("t") >= LENGTH).mapInArrow(_text_runs, _RUN))
     per_doc = todo.groupBy("k1", "k2").agg(F.collect_list(F.struct("j", "n")).alias("todo"))  # places of one document
     packed = docs.where(F.octet_length("t") >= LENGTH).select("doc_id", "k1", "k2", "t").mapInArrow(_packed, f"doc_id {dict(docs.dtypes)['doc_id']}, k1 long, k2 long, z binary")
     regions = settle(packed.join(per_doc, ["k1", "k2"]).mapInArrow(_cut_regions, "k1 long, k2 long, j long, region binary"))
+    release(docs.sparkSession)
     out = covered
     for gram in GRAMS[1:-1]:
-        runs = settle(regions.mapInArrow(_region_runs(gram), _RUN))
-        covered, todo = _decide(runs)
+        covered, todo = _decide(regions.mapInArrow(_region_runs(gram), _RUN))
         out = out.unionByName(covered)
         # a run belongs to the region that holds it
         wider = regions.select("k1", "k2", F.col("j").alias("base"), "region")
@@ -186,6 +190,7 @@ def covered_windows(docs: DataFrame) -> DataFrame:
         regions = settle(wider.join(own, ["k1", "k2", "base"]).mapInArrow(_cut_again, "k1 long, k2 long, j long, region binary"))
     last = regions.mapInArrow(_region_runs(GRAMS[-1]), _RUN)
     last = settle(last.dropDuplicates(["k1", "k2", "j"]))
+    release(docs.sparkSession)
     often = last.groupBy("g").agg(F.sum("n").alias("windows")).where("windows > 1").select("g")
     return out.unionByName(last.join(often, "g").select("k1", "k2", "j", "n"))
 
@@ -220,7 +225,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the remaining bytes)."""
     d = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("t"))
     d = d.withColumns({"k1": F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), "k2": F.xxhash64("t")}).select("doc_id", "k1", "k2", "t")
-    spans = covered_windows(d).groupBy("k1", "k2").agg(F.collect_list(F.struct("j", "n")).alias("spans"))  # places of one document
+    spans = settle(covered_windows(d).groupBy("k1", "k2").agg(F.collect_list(F.struct("j", "n")).alias("spans")))  # places of one document
+    release(docs.sparkSession)
     kind = dict(docs.dtypes)["doc_id"]
     packed = d.mapInArrow(_packed, f"doc_id {kind}, k1 long, k2 long, z binary")
     return packed.join(spans, ["k1", "k2"], "left").mapInArrow(_remove, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
