@@ -53,7 +53,7 @@ def _bigrams(words: Column) -> Column:
 
 def bounds(size: int, dice: float) -> tuple[float, float]:
     """Sizes a partner's bigram set can have."""
-    return size * dice / (2 - dice), size * (2 - dice) / dice
+    return size * dice / (2 - dice) - 1e-9, size * (2 - dice) / dice + 1e-9
 
 
 def passages(docs: DataFrame, longest: int) -> DataFrame:

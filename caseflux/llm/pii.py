@@ -153,11 +153,11 @@ def find(docs: DataFrame) -> DataFrame:
 
 def sanitise(docs: DataFrame, remove: float = REMOVE) -> DataFrame:
     """The documents with base spans replaced by [KIND] and disclosing terms generalised or removed; n_chars follows the text."""
-    hit = spans(docs).where((F.size("base") > 0) | F.col("terms").isNotNull()).dropDuplicates(["_kid", "_kh"]).select(F.col("_kid").alias("_hid"), F.col("_kh").alias("_hh"), "base", "terms")
+    hit = spans(docs).where((F.size("base") > 0) | F.col("terms").isNotNull()).dropDuplicates(["_kid", "_kh"]).select(F.col("_kid").alias("_hid"), F.col("_kh").alias("_hh"), F.col("base").alias("_base"), F.col("terms").alias("_terms"))
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     marks = F.array_sort(F.concat(
-        F.transform("base", lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), names[x["kind"]].alias("to"))),
-        F.transform(F.coalesce("terms", F.array().cast("array<struct<start:int,end:int,ratio:double>>")),
+        F.transform("_base", lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), names[x["kind"]].alias("to"))),
+        F.transform(F.coalesce("_terms", F.array().cast("array<struct<start:int,end:int,ratio:double>>")),
                     lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), F.when(x["ratio"] >= remove, "").otherwise("[TERM]").alias("to")))))
 
     def step(acc, x):
