@@ -20,11 +20,10 @@ from .registry import query
 # ---- text ------------------------------------------------------------------------------------
 
 _HEADED = "concat('Preâmbulo ', source, chr(10), '# Fonte ', source, chr(10), text, chr(10), '2.1. Conclusão do texto', chr(10), text, chr(10), 'DADOS GERAIS DA FICHA', chr(10), lang)"
-_UPS = "A-ZÁÉÍÓÚÂÊÔÃÕÇ0-9"
 SECT = f"""WITH t AS (SELECT doc_id, regexp_replace({_HEADED}, '\\r\\n', chr(10), 'g') AS t FROM documents),
-m1 AS (SELECT doc_id, regexp_replace(t, '(?m)^[ \\t]*#{{1,3}}[ \\t]+(.+?)[ \\t]*$', chr(1) || '\\1' || chr(2), 'g') AS t FROM t),
-m2 AS (SELECT doc_id, regexp_replace(t, '(?m)^[ \\t]*(\\d+(?:\\.\\d+){{0,3}}\\.?)[ \\t]+([{_UPS}][^\\n]{{3,140}}?)[ \\t]*$', chr(1) || '\\1 \\2' || chr(2), 'g') AS t FROM m1),
-m3 AS (SELECT doc_id, regexp_replace(t, '(?m)^[ \\t]*([{_UPS}][{_UPS} \\t\\-/]{{8,120}})[ \\t]*$', chr(1) || chr(3) || '\\1' || chr(2), 'g') AS t FROM m2),
+m1 AS (SELECT doc_id, regexp_replace(t, '(?m)^[ \\t]*#+[ \\t]+(\\S[^\\n]*)$', chr(1) || '\\1' || chr(2), 'g') AS t FROM t),
+m2 AS (SELECT doc_id, regexp_replace(t, '(?m)^[ \\t]*([0-9]+(?:\\.[0-9]+)*\\.?)[ \\t]+(\\p{{Lu}}[^\\n]{{2,{T.TITLE_MAX}}})$', chr(1) || '\\1 \\2' || chr(2), 'g') AS t FROM m1),
+m3 AS (SELECT doc_id, regexp_replace(t, '(?m)^[ \\t]*(\\p{{Lu}}[\\p{{Lu}}0-9 \\t/-]{{{T.CAPS_MIN - 1},}})$', chr(1) || chr(3) || '\\1' || chr(2), 'g') AS t FROM m2),
 p AS (SELECT doc_id, unnest(string_split(t, chr(1))) AS p, generate_subscripts(string_split(t, chr(1)), 1) AS i FROM m3),
 q AS (SELECT doc_id, i, CASE WHEN contains(p, chr(2)) THEN string_split(p, chr(2))[1] ELSE 'intro' END AS title, regexp_replace(CASE WHEN contains(p, chr(2)) THEN substr(p, instr(p, chr(2)) + 1) ELSE p END, '^\\s+|\\s+$', '', 'g') AS body FROM p),
 s AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS section_no, title, body FROM q WHERE body <> '')"""
@@ -32,7 +31,7 @@ s AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS s
 
 def headed(s, d):
     nl = F.lit("\n")
-    return C.table(s, d, "documents").select("doc_id", "source", F.concat(
+    return C.table(s, d, "documents").select("doc_id", "source", "lang", F.concat(
         F.lit("Preâmbulo "), "source", nl, F.lit("# Fonte "), "source", nl, "text", nl, F.lit("2.1. Conclusão do texto"), nl, "text", nl, F.lit("DADOS GERAIS DA FICHA"), nl, "lang").alias("text"))
 
 
@@ -41,27 +40,49 @@ def _(s, d):
     return T.sections(headed(s, d)).select("doc_id", "section_no", F.lower("section").alias("section"), F.md5("body").alias("body_md5"))
 
 
-CHUNK = r"""WITH RECURSIVE t AS (SELECT doc_id, regexp_replace(regexp_replace(text, '\n{3,}', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g') AS t FROM documents),
-c AS (SELECT doc_id, 0 AS a, CAST(0 AS BIGINT) AS e, 0 AS k, false AS f FROM t WHERE t <> '' UNION ALL
-  SELECT doc_id, CAST(i AS INTEGER), CAST(CASE WHEN n <= 900 THEN n ELSE e2 END AS BIGINT), k + 1, CASE WHEN n <= 900 THEN true ELSE e2 >= n END FROM (
+_CHUNK = r"""ct AS (SELECT k, regexp_replace(regexp_replace(body, '\n{3,}', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g') AS t FROM (SOURCE)),
+c AS (SELECT k, 0 AS a, CAST(0 AS BIGINT) AS e, 0 AS r, false AS f FROM ct WHERE t <> '' UNION ALL
+  SELECT k, CAST(i AS INTEGER), CAST(CASE WHEN n <= 900 THEN n ELSE e2 END AS BIGINT), r + 1, CASE WHEN n <= 900 THEN true ELSE e2 >= n END FROM (
     SELECT *, CASE WHEN hard < n THEN CASE WHEN pa > i THEN pa WHEN spc > i THEN spc ELSE hard END ELSE hard END AS e2 FROM (
       SELECT *, CASE WHEN instr(rw, chr(10) || chr(10)) > 0 THEN i + 900 - instr(rw, chr(10) || chr(10)) - 1 ELSE -1 END AS pa, CASE WHEN instr(rw, ' ') > 0 THEN i + 900 - instr(rw, ' ') ELSE -1 END AS spc FROM (
         SELECT *, least(n, i + 900) AS hard, reverse(substr(t, CAST(i AS BIGINT) + 451, 450)) AS rw FROM (
-          SELECT c.doc_id, t.t, length(t.t) AS n, CASE WHEN k = 0 THEN 0 ELSE greatest(e - 120, a + 1) END AS i, k, f FROM c JOIN t ON t.doc_id = c.doc_id WHERE NOT f)))))"""
+          SELECT c.k, ct.t, length(ct.t) AS n, CASE WHEN r = 0 THEN 0 ELSE greatest(e - 120, a + 1) END AS i, r, f FROM c JOIN ct ON ct.k = c.k WHERE NOT f))))),
+o AS (SELECT c.k, r, regexp_replace(substr(t, a + 1, e - a), '^\s+|\s+$', '', 'g') AS chunk FROM c JOIN ct ON ct.k = c.k WHERE r > 0),
+ch AS (SELECT k, CAST(row_number() OVER (PARTITION BY k ORDER BY r) AS INTEGER) AS chunk_no, chunk FROM o WHERE chunk <> '')"""
 
 
-@query("tx02_chunks", CHUNK + r""", o AS (SELECT c.doc_id, k, regexp_replace(substr(t, a + 1, e - a), '^\s+|\s+$', '', 'g') AS chunk FROM c JOIN t ON t.doc_id = c.doc_id WHERE k > 0)
-SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY k) AS INTEGER) AS chunk_no, md5(chunk) AS chunk_md5, length(chunk) AS n FROM o WHERE chunk <> ''""")
+def chunk_ctes(source: str) -> str:
+    """CTEs up to ch(k, chunk_no, chunk) for rows (k, body)."""
+    return _CHUNK.replace("SOURCE", source)
+
+
+@query("tx02_chunks", "WITH RECURSIVE " + chunk_ctes("SELECT doc_id AS k, text AS body FROM documents") + " SELECT k AS doc_id, chunk_no, md5(chunk) AS chunk_md5, length(chunk) AS n FROM ch")
 def _(s, d):
     return T.chunks(C.table(s, d, "documents").select("doc_id", "text"), "text").select("doc_id", "chunk_no", F.md5("chunk").alias("chunk_md5"), F.length("chunk").alias("n"))
 
 
+THEMES = (("guia", "vigilancia"), ("caderno", "notificacao"))
+
+
 def chunk_rows(s, d):
     c = T.chunks(T.sections(headed(s, d)))
-    return T.chunk_meta(c.withColumns({"doc_title": F.col("source"), "path": F.concat(F.lit("guia/"), "source", F.lit(".md"))}))
+    return T.chunk_meta(c.withColumns({"doc_title": F.col("source"), "path": F.concat(F.when(F.col("lang") == "fr", "historico/").otherwise("guia/"), "source", F.lit(".md"))}), themes=THEMES)
+
+
+def plain_sql(c: str) -> str:
+    return f"trim(regexp_replace(lower(strip_accents({c})), '[^a-z0-9\\s]+', ' ', 'g'))"
+
+
+_INITCAP = "array_to_string(list_transform(string_split(lower(x), ' '), lambda w: upper(left(w, 1)) || substr(w, 2)), ' ')"
 
 
-@query("tx03_chunk_meta")
+@query("tx03_chunk_meta", SECT.replace("WITH t AS", "WITH RECURSIVE t AS", 1) + ", sk AS (SELECT doc_id * 1000000 + section_no AS k, doc_id, section_no, CASE WHEN starts_with(title, chr(3)) THEN "
+       + _INITCAP.replace("(x)", "(trim(substr(title, 2)))") + " ELSE trim(title) END AS section, body FROM s), " + chunk_ctes("SELECT k, body FROM sk") + f""",
+j AS (SELECT ch.*, sk.doc_id, section_no, section, lang = 'fr' AS old, CASE WHEN section IN ('intro', 'documento') THEN source ELSE source || ' — ' || section END AS title FROM ch JOIN sk USING (k) JOIN documents d ON d.doc_id = sk.doc_id),
+w AS (SELECT *, array_to_string(list_filter(string_split_regex({plain_sql("title || ' ' || chunk")}, '\\s+'), lambda w: length(w) > 3), ' ') AS raw FROM j),
+u AS (SELECT *, CASE WHEN raw = '' THEN '' ELSE array_to_string(list_transform(list_sort(list_transform(list_distinct(string_split(raw, ' ')), lambda w: {{'i': list_position(string_split(raw, ' '), w), 'w': w}})), lambda x: x.w), ' ') END AS words FROM w)
+SELECT 'doc_' || doc_id || '__' || section_no || '__' || regexp_replace(CASE WHEN {plain_sql('section')} = '' THEN 'sec' ELSE regexp_replace({plain_sql('section')}, '\\s+', '_', 'g') END, '^_+|_+$', '', 'g') || '__' || chunk_no AS id,
+  title, CASE WHEN old THEN 'docs' ELSE 'vigilancia' END AS theme, NOT old AS in_force, CASE WHEN old THEN 10 ELSE 50 END AS priority, md5(trim(CASE WHEN old THEN 'historico ' ELSE '' END || words)) AS tags_md5, md5(chunk) AS text_md5 FROM u""")
 def _(s, d):
     return chunk_rows(s, d).select("id", "title", "theme", "in_force", "priority", F.md5("tags").alias("tags_md5"), F.md5("text").alias("text_md5"))
 
@@ -85,7 +106,7 @@ def _(s, d):
 def kb(s, d):
     doc = C.table(s, d, "documents")
     return doc.select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("id"), F.col("source").alias("title"), F.col("lang").alias("tags"), F.lit("docs").alias("theme"),
-                      "text", (F.col("n_chars") > 300).alias("in_force"), F.lit(50).alias("priority"), F.lit("docs_ms").alias("origin"))
+                      "text", (F.col("n_chars") > 300).alias("in_force"), F.lit(50).alias("priority"), F.lit("docs").alias("origin"))
 
 
 @query("tx05_retrieve", f"""WITH q AS (SELECT item_id AS query_id, {tok_sql('text')} AS k FROM benchmark), dd AS (SELECT 'd' || doc_id AS id, {tok_sql('source')} AS ti, {tok_sql('lang')} AS ta, {tok_sql("'docs'")} AS te, {tok_sql('text')} AS tx, 0.05 - CASE WHEN n_chars > 300 THEN 0 ELSE 0.35 END AS prior FROM documents),
@@ -99,7 +120,7 @@ def _(s, d):
     return T.retrieve(q, kb(s, d), 5)
 
 
-@query("tx06_kb_union", """SELECT 'd' || doc_id AS id, CASE WHEN doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) THEN 'curado' ELSE 'docs_ms' END AS origin FROM documents""")
+@query("tx06_kb_union", """SELECT 'd' || doc_id AS id, CASE WHEN doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) THEN 'curado' ELSE 'docs' END AS origin FROM documents""")
 def _(s, d):
     good = C.table(s, d, "labels").filter("quality = 1").select("doc_id").distinct()
     base = kb(s, d)

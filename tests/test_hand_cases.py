@@ -163,3 +163,49 @@ def test_string_and_column_arguments_agree(spark):
     for f in (X.text_key, X.is_missing, X.yesno, X.code6, X.plain_code):
         a, b = df.select(f("v")).collect(), df.select(f(F.col("v"))).collect()
         assert a == b, f.__name__
+
+
+def test_one_field_does_not_hide_another(spark):
+    t = spark.createDataFrame([("Neisseria meningitidis: Não Detectável | Haemophilus influenzae: Detectável",), ("Microrganismo isolado: Streptococcus | Não detectável",),
+                               ("Microrganismo isolado: não isolado",), ("Houve crescimento de microbiota habitual",), (None,)], "t string")
+    got = [(r["nm_not_detected"], r["hi_detected"], r["lab_positive"]) for r in t.select(*[c.alias(n) for n, c in X.parse_lab_text("t").items()]).collect()]
+    assert got == [(1, 1, 1), (0, 0, 1), (0, 0, 0), (0, 0, 0), (0, 0, 0)]
+
+
+def test_late_byte_decides_the_encoding(spark, tmp_path):
+    from caseflux.sources import readers as R
+
+    (tmp_path / "a.csv").write_bytes(b"id;nome\n" + b"1;ana\n" * 30 + "2;São João\n".encode("latin-1"))
+    got = R.read_delimited(spark, str(tmp_path / "a.csv")).filter("id = '2'").first()
+    assert got["nome"] == "São João"
+
+
+def test_codes_of_many_ids_stay_apart(spark):
+    assert spark.range(200000).select(V.pseudonym("id", "s").alias("c")).distinct().count() == 200000
+
+
+def test_chi_square_tail_at_large_degrees_of_freedom(spark):
+    from caseflux.operators.stats import _chi2_udf
+
+    t = spark.createDataFrame([(float(k), k) for k in (1480, 1500, 5569)] + [(3.841459, 1), (9.487729, 4), (0.0, 3)], "x double, k int")
+    got = [r[0] for r in t.select(_chi2_udf()("x", "k")).collect()]
+    assert all(0.49 < p < 0.51 for p in got[:3]) and abs(got[3] - 0.05) < 1e-6 and abs(got[4] - 0.05) < 1e-6 and got[5] == 1.0
+
+
+def test_equal_headings_keep_their_chunks(spark):
+    from caseflux.operators import corpus as C
+
+    d = spark.createDataFrame([(1, "Doc", "guia/x.md", "# Nota\nprimeiro texto\n# Nota\nsegundo texto")], "doc_id int, doc_title string, path string, text string")
+    m = C.chunk_meta(C.chunks(C.sections(d)))
+    assert C.kb_union(m.withColumn("origin", F.lit("docs"))).count() == m.count() == 2
+
+
+def test_digest_counts_the_whole_queue(spark):
+    from caseflux.operators import alerts as A
+    from caseflux.operators import digest as G
+
+    case = "case_id long, municipality string, region string, class_group string, kind string, severity string, evidence string, action string, deadline string, norm string"
+    many = spark.range(900).selectExpr("id as case_id", "'m' as municipality", "'r' as region", "'c' as class_group", "concat('k', id) as kind", "'Alto' as severity", "'e' as evidence", "'a' as action", "'d' as deadline", "'n' as norm")
+    none = spark.createDataFrame([], case)
+    r = G.digest_index(A.unified_queue(none, many, none, none)).first()
+    assert r["items"] == r["critical_items"] == 900 and len(r["lines"].split("\n")) == 15
