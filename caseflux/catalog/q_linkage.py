@@ -47,8 +47,8 @@ def _(s, d):
 
 @query("jn09_link_best_crowded", LINK + " SELECT * FROM links", "score")
 def _(s, d):
-    """The same with every birth date treated as crowded: no pair is listed at all."""
-    return K.link_best(*sides(s, d), small_group=0)
+    """The same from sides dealt in another order: ties do not depend on it."""
+    return K.link_best(*[x.repartition(7) for x in sides(s, d)])
 
 
 @query("jn10_pair_score", BASE + f""" SELECT case_id, exam_id, {_PTS.replace("CAST(c.case_id AS VARCHAR) = e.notification", "false")} / 1e2 AS score,

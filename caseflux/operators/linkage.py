@@ -9,7 +9,6 @@ reachable scores are a short list of *tiers*. For a tier the partners are reduce
 key and day (the smallest exam id), a sliding minimum over the days answers "within n days", and a
 case looks up its own key and day. The highest tier that answers holds the best partner. A sliding
 window holds one row per calendar day, whatever share of the table its key has.
-Rare birth dates skip this and are joined directly; the result is the same.
 """
 from __future__ import annotations
 
@@ -20,6 +19,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from .filters import fold
 
 BIRTH, BIRTH_NEAR, SEX, PLACE, NEAR, FAR, CAP = 45, 30, 15, 25, 15, 8, 99
 NEAR_DAYS, FAR_DAYS = 15, 45
@@ -164,16 +164,16 @@ def _reasons(tiers: list[dict], offset: int) -> Column:
     return out
 
 
-def link_best(cases: DataFrame, exams: DataFrame, min_score: float = 0.55, small_group: int = 512) -> DataFrame:
+def link_best(cases: DataFrame, exams: DataFrame, min_score: float = 0.55) -> DataFrame:
     """JN9 + JN11: the best partner of every case with at least min_score.
 
     Order: score, then the smallest exam id. cases: case_id, notification, birth_date, sex, code6,
     event_date; exams: exam_id, notification, birth_date, sex, code6 and the dates of DATES.
     """
     cols = ["notification", "birth_date", "sex", "code6"]
-    c = cases.select("case_id", *cols, "event_date").withColumn("sex", F.coalesce("sex", F.lit("")))
+    c = fold(cases.select("case_id", *cols, "event_date").withColumn("sex", F.coalesce("sex", F.lit(""))))  # each side is derived once
     have = [d if d in exams.columns else F.lit(None).cast("date").alias(d) for d in DATES]
-    e = exams.select("exam_id", *cols, *have).withColumn("sex", F.coalesce("sex", F.lit("")))
+    e = fold(exams.select("exam_id", *cols, *have).withColumn("sex", F.coalesce("sex", F.lit(""))))
     out = ["case_id", "points", "exam_id", "reasons"]
 
     # shared number: one exam per number
@@ -183,33 +183,10 @@ def link_best(cases: DataFrame, exams: DataFrame, min_score: float = 0.55, small
 
     points = round(min_score * 100)
     tiers = _tiers(points)
-    keyed = [t for t in tiers if t["birth"] != "any"]
-    free = [t for t in tiers if t["birth"] == "any"]
-
-    # crowded (sex, birth date) groups go through tiers, the rest through a plain join
-    size = e.filter(F.col("birth_date").isNotNull()).groupBy("sex", "birth_date").agg(F.count(F.lit(1)).alias("_size"))
-    sized = e.join(size, ["sex", "birth_date"])
-    plain = sized.filter(F.col("_size") <= small_group).select(
-        F.col("sex").alias("_s"), F.col("birth_date").alias("_b"), *[F.col(x).alias(f"b_{x}") for x in ("exam_id", *cols, *DATES)])
-    near = c.filter(F.col("birth_date").isNotNull()).select(
-        *[F.col(x).alias(f"a_{x}") for x in ("case_id", *cols, "event_date")],
-        F.explode(F.array(F.date_sub("birth_date", 1), F.col("birth_date"), F.date_add("birth_date", 1))).alias("_b"))
-    block = (F.year("a_birth_date") == F.year("b_birth_date")) | F.coalesce(F.col("a_code6") == F.col("b_code6"), F.lit(False))
-    pairs = near.join(plain, (F.col("a_sex") == F.col("_s")) & (near["_b"] == plain["_b"])).filter(block)
-    direct = pair_score(pairs).select(F.col("a_case_id").alias("case_id"), F.round(F.col("score") * 100).cast("int").alias("points"),
-                                      F.col("b_exam_id").alias("exam_id"), "reasons").filter(F.col("points") >= points)
-
-    found = [exact.select(*out), direct.select(*out)]
-    groups = ((keyed, sized.filter(F.col("_size") > small_group).drop("_size"), 0), (free, e, len(keyed)))
-    for group, table, offset in groups:
-        if group:
-            probe = _probe(c, group, offset)
-            hit = probe.join(_lookup(table, probe, group, offset), _KEY)
-            found.append(hit.select("case_id", "points", F.col("_hit.exam_id").alias("exam_id"), _reasons(group, offset).alias("reasons")))
-    u = found[0]
-    for f in found[1:]:
-        u = u.unionByName(f)
-    return best_match(u.withColumn("score", F.col("points") / 100.0))
+    probe = _probe(c, tiers, 0)
+    hit = probe.join(_lookup(e, probe, tiers, 0), _KEY)
+    found = [exact.select(*out), hit.select("case_id", "points", F.col("_hit.exam_id").alias("exam_id"), _reasons(tiers, 0).alias("reasons"))]
+    return best_match(found[0].unionByName(found[1]).withColumn("score", F.col("points") / 100.0))
 
 
 def best_match(links: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     s = (
         SparkSession.builder.master("local[4]").appName("tests")
         .config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
@@ -16,5 +16,6 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "4g").getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
+    s.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("shared")))
     yield s
     s.stop()
