@@ -19,7 +19,7 @@ U = np.uint64
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INV = pow(_BASE, -1, 1 << 64)
-SLICE = 3_000_000  # bytes of text one numpy step handles
+SLICE, TEXTS = 1_500_000, 2_000  # bytes and texts one numpy step handles
 
 
 # --- storage -----------------------------------------------------------------------------------
@@ -124,11 +124,11 @@ class Slice:
         return c[self.at[1:]] - c[self.at[:-1]]
 
 
-def slices(texts: list, lower: bool = False, limit: int = SLICE) -> Iterator[Slice]:
+def slices(texts: list, lower: bool = False, limit: int = SLICE, most: int = TEXTS) -> Iterator[Slice]:
     lo = 0
     while lo < len(texts):
         raw, size, hi = [], 0, lo
-        while hi < len(texts) and (size == 0 or size + len(texts[hi] or "") < limit):
+        while hi < len(texts) and hi - lo < most and (size == 0 or size + len(texts[hi] or "") < limit):
             t = texts[hi] or ""
             raw.append((t.lower() if lower else t).encode("utf-8", "surrogatepass"))
             size += len(raw[-1]) + 1

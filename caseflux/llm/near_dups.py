@@ -138,11 +138,11 @@ def overlap(a: list, b: list) -> np.ndarray:
     lo = 0
     while lo < len(a):
         hi, size = lo, 0
-        while hi < len(a) and (hi == lo or size < 2_000_000):
+        while hi < len(a) and (hi == lo or size < 1_000_000):
             size += len(a[hi]) + len(b[hi])
             hi += 1
         n = hi - lo
-        s = next(slices(a[lo:hi] + b[lo:hi], lower=True, limit=1 << 62))
+        s = next(slices(a[lo:hi] + b[lo:hi], lower=True, limit=1 << 62, most=1 << 62))
         h, own, count = bags(s)
         total = np.bincount(own, weights=count, minlength=2 * n)
         key = mix(h + (own % n).astype(U) * _ODD)
@@ -178,10 +178,9 @@ def _sketches(batches):
     for b in batches:
         ids, texts = b.column("node"), [x or "" for x in b.column("t").to_pylist()]
         rows = np.zeros((len(texts), len(_BITS)), np.int64)
-        for lo in range(0, len(texts), 1000):
-            for s in slices(texts[lo:lo + 1000], lower=True):
-                bit = (signatures(*bags(s), s.n, SKETCH) & U(1)).astype(np.uint8)
-                rows[lo + s.lo:lo + s.lo + s.n] = np.packbits(bit, axis=1).view(np.int64)
+        for s in slices(texts, lower=True, most=100):  # some 10,000 points a text
+            bit = (signatures(*bags(s), s.n, SKETCH) & U(1)).astype(np.uint8)
+            rows[s.lo:s.lo + s.n] = np.packbits(bit, axis=1).view(np.int64)
         yield pa.RecordBatch.from_arrays([ids, *(pa.array(np.ascontiguousarray(rows[:, i])) for i in range(len(_BITS)))], ["m", *_BITS])
 
 

@@ -65,6 +65,24 @@ def op10_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_trees.score(docs, quality_trees.train(docs, table(spark, sf_dir, "labels")))
 
 
+def _license_sql() -> str:
+    """The licence scan in SQL; every passage meets every template, without the size bounds."""
+    rows = ", ".join(f"('{name}', [{', '.join(chr(39) + g + chr(39) for g in licenses.plain_bigrams(text))}])" for name, text in licenses.TEMPLATES.items())
+    return f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+b AS (SELECT doc_id, string_split(t, chr(10)) AS l, string_split_regex(t, '\\n[ \\t\\r]*\\n') AS b FROM d),
+u AS (SELECT doc_id, 'line' AS unit, generate_subscripts(l, 1) - 1 AS place, unnest(l) AS p FROM b UNION ALL
+  SELECT * FROM (SELECT doc_id, 'paragraph' AS unit, generate_subscripts(b, 1) - 1 AS place, unnest(b) AS p FROM b) WHERE contains(p, chr(10)) UNION ALL
+  SELECT doc_id, 'text', 0, array_to_string(b, chr(10) || chr(10)) FROM b WHERE len(b) > 1),
+w AS (SELECT doc_id, unit, place, list_filter(string_split_regex(lower(p), '[^a-z0-9]+'), lambda x: x <> '') AS w FROM u),
+g AS (SELECT doc_id, unit, place, CASE WHEN len(w) > 1 THEN list_distinct(list_transform(generate_series(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1])) ELSE w END AS g FROM w WHERE len(w) > 0),
+t(license, k) AS (VALUES {rows}),
+s AS (SELECT doc_id, unit, place, license, 2e0 * len(list_intersect(g, k)) / (len(g) + len(k)) AS dice FROM g, t)
+SELECT doc_id, unit, CAST(place AS BIGINT) AS place, license, round(dice, 6) AS dice FROM s WHERE dice >= {licenses.DICE}"""
+
+
+ORACLES["op9_licenses"] = _license_sql()
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
