@@ -81,6 +81,7 @@ def nowcast_band(nc: DataFrame, hist: DataFrame, keys: Sequence[str] = (), draws
     A cell with n delays is redrawn as n + sqrt(n) z (the normal limit of its Poisson count); z comes
     from a hash of (stratum, delay, replicate), so the band does not depend on the partitioning.
     """
+    nc, hist = fold(nc), fold(hist)
     stratum = F.concat_ws("|", *[F.col(k) for k in keys]) if keys else F.lit("")
     r = hist.select(*keys, "delay", "n", F.explode(F.sequence(F.lit(1), F.lit(draws))).alias("rep"))
     key = F.md5(F.concat_ws("|", stratum, F.col("delay").cast("string"), F.col("rep").cast("string"), F.lit(str(seed))))
@@ -89,8 +90,7 @@ def nowcast_band(nc: DataFrame, hist: DataFrame, keys: Sequence[str] = (), draws
     r = r.withColumn("_w", F.greatest(F.lit(0.0), F.col("n") + F.sqrt(F.col("n").cast("double")) * z))
     lags = nc.select(*keys, F.col("delay").alias("lag")).distinct()
     on = list(keys)
-    link = on or ["_all"]
-    both = (r if on else r.withColumn("_all", F.lit(0))).join(lags if on else lags.withColumn("_all", F.lit(0)), link)
+    both = r.join(lags, on) if on else r.withColumn("lag", F.explode(lags.agg(F.collect_set("lag")).scalar()))  # one row per week back
     p = both.groupBy(*keys, "lag", "rep").agg((F.sum(F.when(F.col("delay") <= F.col("lag"), F.col("_w")).otherwise(0.0)) / F.sum("_w")).alias("_p"))
     p = p.withColumn("_p", F.least(F.greatest("_p", F.lit(FLOOR["week"])), F.lit(1.0)))
     q = p.groupBy(*keys, F.col("lag").alias("delay")).agg(F.percentile("_p", F.lit(0.1)).alias("_p10"), F.percentile("_p", F.lit(0.9)).alias("_p90"))

@@ -5,6 +5,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .filters import fold
+
 
 def contiguity(vertices: DataFrame, digits: int = 6) -> DataFrame:
     """MD12: queen neighbours: units that share a vertex. Repeated vertices of a ring are folded first."""
@@ -33,7 +35,7 @@ def _p(larger, perms: int):
 
 def morans_i(values: DataFrame, edges: DataFrame, perms: int = 999, seed: int = 12345) -> DataFrame:
     """MD10: Moran's I with row-standardised weights and a permutation p value. values: unit, y."""
-    z = _centred(values)
+    z, edges = fold(_centred(fold(values))), fold(edges)  # one row per unit and per neighbour, read many times below
     deg = edges.groupBy("unit").agg(F.count(F.lit(1)).alias("k"))
     e = edges.join(deg, "unit")
     base = z.select("unit", F.lit(0).alias("rep"), "z")
@@ -52,7 +54,7 @@ def morans_i(values: DataFrame, edges: DataFrame, perms: int = 999, seed: int =
 
 def local_moran(values: DataFrame, edges: DataFrame, perms: int = 999, seed: int = 12345, alpha: float = 0.05) -> DataFrame:
     """MD11: local Moran with quadrant; the value of a unit is held, its neighbours are drawn from all others."""
-    z = _centred(values)
+    z, edges = fold(_centred(fold(values))), fold(edges)  # one row per unit and per neighbour, read many times below
     deg = edges.groupBy("unit").agg(F.count(F.lit(1)).alias("k"))
     lag = edges.join(z.select(F.col("unit").alias("neighbor"), F.col("z").alias("zn")), "neighbor").groupBy("unit").agg(F.avg("zn").alias("lag"))
     ss, n = z.agg(F.sum(F.col("z") * F.col("z"))).scalar(), z.agg(F.count(F.lit(1))).scalar()
