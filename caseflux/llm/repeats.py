@@ -30,7 +30,7 @@ from .common import Slice, U, mix, powers, prefix_sums, release, settle, slices,
 
 LENGTH = 400
 GRAMS = (96, 360, 400)
-_RUN = "g long, u long, k1 long, k2 long, j long, n long, multi boolean"
+_RUN = "g long, u long, k1 long, k2 long, j long, n long, known boolean"
 
 
 def _sliding_min(v: np.ndarray, w: int) -> np.ndarray:
@@ -47,7 +47,11 @@ def _sliding_min(v: np.ndarray, w: int) -> np.ndarray:
 
 
 def runs_in(s: Slice, gram: int, length: int = LENGTH):
-    """Runs of a slice: name, content hash, owner, first window (in its text), windows, name occurs twice."""
+    """Runs of a slice: name, content hash, owner, first window (in its text), windows, known to be repeated.
+
+    In a run whose name stands at several places windows can equal one another. There only the first of
+    equal windows stays in a run, and all of them are given out as rows that are known to be repeated.
+    """
     n = len(s.buf) - length + 1
     if n <= 0:
         return None
@@ -75,14 +79,41 @@ def runs_in(s: Slice, gram: int, length: int = LENGTH):
         left = f + (v[f[:, None] + look] == h).argmax(axis=1)
         right = z + w - 1 - (v[z[:, None] + look[::-1]] == h).argmax(axis=1)
         multi[k:k + 20_000] = left != right
+    known = np.zeros(len(g), bool)
+    if multi.any():
+        f, z, h = first[multi], last[multi], g[multi]
+        size = z - f + 1
+        run = np.repeat(np.arange(len(f)), size)
+        at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + f[run]
+        key = mix(span_hashes(c, at, at + length) + run.astype(U) * U(0x9E3779B97F4A7C15))
+        order = np.argsort(key, kind="stable")
+        same = key[order][1:] == key[order][:-1]
+        later, twice = np.zeros(len(key), bool), np.zeros(len(key), bool)
+        later[order[1:][same]] = True
+        twice[order[1:][same]] = twice[order[:-1][same]] = True
+        keep = ~multi
+        first, last, g, known = first[keep], last[keep], g[keep], known[keep]
+        for flag, told in ((~later, False), (twice, True)):
+            lo, hi = _stretches(flag, run)
+            first, last, g = np.concatenate([first, at[lo]]), np.concatenate([last, at[hi - 1]]), np.concatenate([g, h[run[lo]]])
+            known = np.concatenate([known, np.full(len(lo), told)])
     u = mix(span_hashes(c, first, last + length) + g)
     own = s.owner(first)
-    return g, u, own, first - s.at[own], last - first + 1, multi
+    return g, u, own, first - s.at[own], last - first + 1, known
+
+
+def _stretches(flag: np.ndarray, run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Stretches of True that stay in one run."""
+    edge = np.ones(len(flag) + 1, bool)
+    edge[1:-1] = (flag[1:] != flag[:-1]) | (run[1:] != run[:-1])
+    cut = np.flatnonzero(edge)
+    on = flag[cut[:-1]]
+    return cut[:-1][on], cut[1:][on]
 
 
-def _batch(g, u, k1, k2, j, n, multi) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), pa.array(u.view(np.int64)), pa.array(k1), pa.array(k2), pa.array(j), pa.array(n.astype(np.int64)), pa.array(multi)],
-                                      ["g", "u", "k1", "k2", "j", "n", "multi"])
+def _batch(g, u, k1, k2, j, n, known) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), pa.array(u.view(np.int64)), pa.array(k1), pa.array(k2), pa.array(j), pa.array(n.astype(np.int64)), pa.array(known)],
+                                      ["g", "u", "k1", "k2", "j", "n", "known"])
 
 
 def _text_runs(batches):
@@ -91,8 +122,8 @@ def _text_runs(batches):
         for s in slices(b.column("t").to_pylist()):
             r = runs_in(s, GRAMS[0])
             if r is not None:
-                g, u, own, j, n, multi = r
-                yield _batch(g, u, k1[s.lo + own], k2[s.lo + own], j, n, multi)
+                g, u, own, j, n, known = r
+                yield _batch(g, u, k1[s.lo + own], k2[s.lo + own], j, n, known)
 
 
 def _byte_slices(parts: list[bytes], limit: int = 3_000_000):
@@ -114,8 +145,8 @@ def _region_runs(gram: int):
             for s in _byte_slices(b.column("region").to_pylist()):
                 r = runs_in(s, gram)
                 if r is not None:
-                    g, u, own, j, n, multi = r
-                    yield _batch(g, u, k1[s.lo + own], k2[s.lo + own], base[s.lo + own] + j, n, multi)
+                    g, u, own, j, n, known = r
+                    yield _batch(g, u, k1[s.lo + own], k2[s.lo + own], base[s.lo + own] + j, n, known)
 
     return run
 
@@ -160,14 +191,13 @@ def _decide(runs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     Names are counted first; `runs` is computed a second time rather than kept, since most names are unique.
     """
-    twice = runs.groupBy("g").agg(F.count("*").alias("c"), F.bool_or("multi").alias("m")).where("c > 1 or m").select("g")
-    runs = settle(runs.join(twice, "g"))
+    often = runs.where("not known").groupBy("g").agg(F.count("*").alias("c")).where("c > 1").select("g", F.lit(True).alias("often"))
+    runs = settle(runs.join(often, "g", "left").where("often or known").drop("often"))
     release(runs.sparkSession)
-    content = runs.groupBy("g", "u").agg(F.count("*").alias("c"), F.min(F.struct("k1", "k2", "j", "n")).alias("rep"), F.bool_or("multi").alias("multi"))
-    names = content.groupBy("g").agg(F.count("*").alias("kinds"), F.sum("c").alias("c_all"), F.bool_or("multi").alias("m"))
-    names = names.where((F.col("kinds") > 1) | ((F.col("c_all") == 1) & F.col("m"))).select("g")
+    content = runs.where("not known").groupBy("g", "u").agg(F.count("*").alias("c"), F.min(F.struct("k1", "k2", "j", "n")).alias("rep"))
+    names = content.groupBy("g").agg(F.count("*").alias("kinds")).where("kinds > 1").select("g")
     twice = content.where("c > 1").select("g", "u")
-    covered = runs.join(twice, ["g", "u"]).select("k1", "k2", "j", "n")
+    covered = runs.where("not known").join(twice, ["g", "u"]).select("k1", "k2", "j", "n").unionByName(runs.where("known").select("k1", "k2", "j", "n"))
     todo = content.join(names, "g").select("rep.k1", "rep.k2", "rep.j", "rep.n")
     return covered, todo
 
@@ -189,10 +219,10 @@ def covered_windows(docs: DataFrame) -> DataFrame:
         own = own.groupBy("k1", "k2", "j", "n").agg(F.min("base").alias("base")).groupBy("k1", "k2", "base").agg(F.collect_list(F.struct("j", "n")).alias("todo"))
         regions = settle(wider.join(own, ["k1", "k2", "base"]).mapInArrow(_cut_again, "k1 long, k2 long, j long, region binary"))
     last = regions.mapInArrow(_region_runs(GRAMS[-1]), _RUN)
-    last = settle(last.dropDuplicates(["k1", "k2", "j"]))
+    last = settle(last.dropDuplicates(["k1", "k2", "j", "known"]))
     release(docs.sparkSession)
-    often = last.groupBy("g").agg(F.sum("n").alias("windows")).where("windows > 1").select("g")
-    return out.unionByName(last.join(often, "g").select("k1", "k2", "j", "n"))
+    often = last.where("not known").groupBy("g").agg(F.count("*").alias("windows")).where("windows > 1").select("g")
+    return out.unionByName(last.join(often, "g").select("k1", "k2", "j", "n")).unionByName(last.where("known").select("k1", "k2", "j", "n"))
 
 
 def _remove(batches):
