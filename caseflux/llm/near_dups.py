@@ -16,14 +16,16 @@ a register, rule the similarity out. Pairs inside a class are never listed, and
 the similarity is missed with a probability of about 3e-5, by the bands (20 of 4) and the sketch together.
 
 Defined cases: null counts as the empty text; texts with under five words have one shingle of all their
-words; texts without words are near only to identical texts; a null doc_id joins classes like any other
-row, but only ids name classes; repeated rows give repeated result rows; extra columns are ignored.
+words; texts without words are near only to identical texts; texts are told apart by their own 64-bit hash, never
+by doc_id, so a null doc_id joins classes like any other row and one id may have several texts; a class
+without any id has a null class_id, and an id whose texts lie in several classes may name each of them;
+repeated rows give repeated result rows; extra columns are ignored.
 """
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import ALNUM, U, components, mix, prefix_sums, settle, slices, windows, words
@@ -190,14 +192,18 @@ def most_bits(similarity: float, sigmas: float = 4.5) -> int:
     return int(SKETCH * p + sigmas * (SKETCH * p * (1 - p)) ** 0.5)
 
 
-def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """One row per document: doc_id, class_id (smallest doc_id of its class), n_copies (documents with its very text)."""
+def _hash(text: Column) -> Column:
+    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
+
+
+def _classes(docs: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """Rows (id, h), and texts (h, id, n_copies, lead): lead is the first of (without id, id, h) in the text's class."""
     rows = docs.select(F.col("doc_id").cast("long").alias("_id"), F.coalesce("text", F.lit("")).alias("_t"))
-    rows = rows.withColumn("_h", F.unhex(F.md5("_t")))
+    rows = rows.withColumn("_h", _hash(F.col("_t")))
     signed = settle(rows.mapInArrow(_sign, "id long, h binary, bag long, size long, keys array<long>"))
-    # one node per text: the smallest id that has it; texts without an id of their own use the hash
+    # one node per text, named by its hash: ids may be missing, or be given to several texts
     texts = settle(signed.groupBy("h").agg(F.min("id").alias("id"), F.count("*").alias("n_copies"), F.min("bag").alias("bag"), F.min("size").alias("size"), F.min("keys").alias("keys"))
-                   .withColumn("node", F.coalesce("id", F.xxhash64("h"))))
+                   .withColumn("node", F.xxhash64("h")))
     # texts with one and the same bag of shingles are linked to the smallest of them
     heads = texts.where("bag is not null").groupBy("bag").agg(F.min("node").alias("head"), F.min("size").alias("size"), F.first("keys").alias("keys"))
     same = texts.join(heads.select("bag", "head"), "bag").where("node != head").select(F.col("node").alias("a"), F.col("head").alias("b"))
@@ -205,7 +211,7 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     crowd = buckets.groupBy("key").agg(F.count("*").alias("crowd")).where("crowd > 1")
     members = settle(buckets.join(crowd, "key"))
     degree = members.groupBy("m").agg(F.sum("crowd").alias("degree"))
-    pivots = members.join(degree, "m").groupBy("key").agg(F.max_by("m", F.struct("degree", -F.col("m"))).alias("p"))
+    pivots = members.join(degree, "m").groupBy("key").agg(F.max_by("m", F.struct("degree", F.bitwise_not("m"))).alias("p"))
     star = members.join(pivots, "key").where("m != p").select(F.least("m", "p").alias("a"), F.greatest("m", "p").alias("b")).distinct()
     want = texts.join(members.select(F.col("m").alias("node")).distinct(), "node").select(F.col("h").alias("wh"), F.col("id").alias("wid"), "node")
     body = rows.join(want, (F.col("_h") == F.col("wh")) & F.col("_id").eqNullSafe(F.col("wid"))).groupBy("node").agg(F.first("_t").alias("t"))
@@ -231,8 +237,18 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     pairs = open_.join(other, "key").where(near)
     pairs = pairs.select(F.least("m", "p").alias("a"), F.greatest("m", "p").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
     roots = components(settle(links.unionByName(_check(pairs, body, similarity))))
-    nodes = texts.select("h", "node", "n_copies").join(roots, "node", "left").select("h", F.coalesce("root", "node").alias("class_id"), "n_copies")
-    return signed.select("id", "h").join(nodes, "h").select(F.col("id").alias("doc_id"), "class_id", "n_copies")
+    lead = F.struct(F.col("id").isNull().alias("no_id"), "id", "h")
+    placed = settle(texts.select("h", "id", "node", "n_copies").join(roots, "node", "left"))
+    linked = placed.where("root is not null")
+    leads = settle(linked.groupBy("root").agg(F.min(lead).alias("lead")))
+    nodes = linked.join(leads, "root").select("h", "id", "n_copies", "lead").unionByName(placed.where("root is null").select("h", "id", "n_copies", lead.alias("lead")))
+    return signed.select("id", "h"), nodes
+
+
+def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """One row per document: doc_id, class_id (smallest doc_id of its class), n_copies (documents with its very text)."""
+    rows, nodes = _classes(docs, similarity)
+    return rows.join(nodes.drop("id"), "h").select(F.col("id").alias("doc_id"), F.col("lead.id").alias("class_id"), "n_copies")
 
 
 def _check(pairs: DataFrame, body: DataFrame, similarity: float) -> DataFrame:
@@ -242,7 +258,9 @@ def _check(pairs: DataFrame, body: DataFrame, similarity: float) -> DataFrame:
 
 
 def drop_near(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """One document of each class stays: the one with the smallest id (of repeated rows, one)."""
-    got = near_classes(docs, similarity).where("doc_id = class_id").select(F.col("doc_id").alias("_keep")).distinct()
-    kept = docs.join(got, docs["doc_id"] == got["_keep"], "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    """One document of each class stays: the one with the smallest id, any id before none (of repeated rows, one)."""
+    _, nodes = _classes(docs, similarity)
+    first = nodes.where(F.col("h") == F.col("lead.h")).select(F.col("id").alias("_keep"), F.col("h").alias("_kh"))
+    marked = docs.withColumn("_near_h", _hash(F.col("text")))
+    kept = marked.join(first, F.col("_near_h").eqNullSafe(F.col("_kh")) & docs["doc_id"].cast("long").eqNullSafe(F.col("_keep")), "left_semi")
+    return kept.dropDuplicates(["doc_id", "_near_h"]).select(*docs.columns)

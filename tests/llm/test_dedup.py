@@ -81,6 +81,23 @@ def test_near_repeated_rows_and_empty_table(spark):
     assert N.near_classes(df.limit(0)).count() == 0
 
 
+def test_near_null_ids_and_shared_ids(spark):
+    rng = random.Random(5)
+    long = [invented(rng, 60) for _ in range(24)]
+    rows = [(None, t) for t in long[:8]]  # alone: the hash is negative for about half of them
+    for i, t in enumerate(long[8:20]):  # near copies, one of each pair without an id, in both roles
+        rows += [(100 + i, t), (None, t + " more")] if i % 2 else [(None, t), (100 + i, t + " more")]
+    rows += [(50, long[20]), (50, long[21]), (None, long[22]), (None, long[22] + " more")]
+    df = table(spark, rows)
+    got = [(r.doc_id, r.class_id) for r in N.near_classes(df).collect()]
+    assert len(got) == len(rows) and {c for _, c in got} == {None, 50, *range(100, 112)}
+    assert sorted(c for d, c in got if d is None and c is not None) == list(range(100, 112))
+    kept = [(r.doc_id, r.text) for r in N.drop_near(df).collect()]
+    ids = [d for d, _ in kept if d is not None]
+    assert sorted(ids) == [50, 50, *range(100, 112)] and {t for d, t in kept if d == 50} == {long[20], long[21]}
+    assert {t for d, t in kept if d is None} >= set(long[:8]) and sum(d is None for d, _ in kept) == 9
+
+
 def test_signatures_are_unbiased():
     rng = np.random.default_rng(1)
     off = []
