@@ -99,6 +99,17 @@ def test_slots_must_agree(spark):
     assert got == {1}
 
 
+def test_values_of_any_length_are_one_slot(spark):
+    weng = "Weng earns $12 an hour for babysitting. Yesterday, she just did 50 minutes of babysitting. How much did she earn?"
+    long = "Every morning the baker carries fresh bread and sweet rolls to the small shop where 12 people wait outside the door and talk about the weather until it opens"
+    york = "Tom has walked from New York to the old harbour with nine friends and Tom sings. Tom then rests near New York until dark"
+    bench = spark.createDataFrame([(1, weng), (2, long), (3, york)], "item_id long, text string")
+    rows = [(1, weng.replace("50", "1,050")), (2, weng.replace("12", "12.5").replace("50", "52.5")), (3, long.replace("12", "1,200")), (4, york.replace("New York", "Rome").replace("Tom", "Anna Maria")),
+            (5, long.replace("12", "more than a dozen")), (6, weng)]
+    got = {(r.doc_id, r.item_id): r.kind for r in D.leaks(docs_of(spark, rows), bench).collect()}
+    assert got == {(1, 1): "new parameters", (2, 1): "new parameters", (3, 2): "new parameters", (4, 3): "new parameters", (5, 2): "verbatim", (6, 1): "verbatim"}
+
+
 # ---- pages -------------------------------------------------------------------------------------
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style><script>var t="</p>";</script></head><body><header>Site</header><nav><ul><li><a href=/>{n}</a></li></ul></nav>
