@@ -11,6 +11,10 @@ agree, with or without the third reading: each value of the item stands for one
 document (the same value: a verbatim copy; another: the question with new parameters). An item too short for
 a window is looked up as one window of all its words.
 
+Places of an item without a window of enough ordinary words (sums, lists of numbers) are looked up as windows
+of the tokens themselves, whose values make them specific; so is a short item without an ordinary word. The
+coverage of an item is the better one of that by its template windows and that by all its windows.
+
 The benchmark's windows are few and are broadcast in blocks of at most BLOCK windows; a larger benchmark
 takes more passes over the documents, with the same result.
 
@@ -31,6 +35,7 @@ from pyspark.sql import functions as F
 from .common import ALNUM, U, byte_set, mix, prefix_sums, shared, slices, span_hashes, windows, words
 
 WINDOW, MIN_LITERAL, MIN_COVER, NEAR = 8, 5, 0.5, 8
+RAW = 3  # the reading whose tokens are not replaced
 BLOCK = 500_000
 # Unit words, taken as units after a number.
 UNITS = ("mm", "cm", "m", "km", "inch", "inches", "foot", "feet", "ft", "yard", "yards", "mile", "miles", "mg", "g", "kg", "gram", "grams", "ton", "tons", "pound", "pounds",
@@ -108,6 +113,13 @@ def _window_rows(got: list[Reading], n: int):
     return out
 
 
+def _raw_windows(got: list[Reading], n: int):
+    """Hash and first token of every window of n tokens as they stand, values included."""
+    r = got[0]._replace(kind=RAW, tpl=got[0].raw)
+    h, first = windows(r.tpl, r.own, n)
+    return mix(h + U(RAW if n == WINDOW else 32 + n)), first, r
+
+
 def _item_windows(batches):
     """One row per window of an item: hash, item, position in the item, and its slots."""
     for b in batches:
@@ -118,8 +130,15 @@ def _item_windows(batches):
             n = np.bincount(plain.own, minlength=s.n)
             begin = np.concatenate(([0], np.cumsum(n)))
             rows = [(int(h), int(f), WINDOW, r) for hs, firsts, r in _window_rows(got, WINDOW) for h, f in zip(hs.view(np.int64), firsts, strict=True)]
+            told = {int(r.place[f]) for _, f, _, r in rows}
+            h, first, r = _raw_windows(got, WINDOW)
+            rows += [(int(x), int(f), WINDOW, r) for x, f in zip(h.view(np.int64), first, strict=True) if int(f) not in told]
             for i in np.flatnonzero((n > 0) & (n < WINDOW)):
                 f, k = int(begin[i]), int(n[i])
+                if (plain.tpl[f:f + k] != plain.raw[f:f + k]).all():
+                    h, first, r = _raw_windows(got, k)
+                    rows.append((int(h.view(np.int64)[np.searchsorted(first, f)]), f, k, r))
+                    continue
                 w, _ = windows(plain.tpl[f:f + k], np.zeros(k, np.int64), k)
                 rows.append((int(mix(w + U(16 + k)).view(np.int64)[0]), f, k, plain))
             if rows:
@@ -166,11 +185,11 @@ def _find(block):
             out = [[] for _ in range(7)]
             for s in slices(b.column("text").to_pylist()):
                 got, coarse = readings(s)
-                found = _window_rows(got, WINDOW)
+                found = [*_window_rows(got, WINDOW), _raw_windows(got, WINDOW)]
                 begin = np.searchsorted(got[0].own, np.arange(s.n))
                 for n in b_.short:
                     w, first = windows(got[0].tpl, got[0].own, n)
-                    found.append((mix(w + U(16 + n)), first, got[0]))
+                    found += [(mix(w + U(16 + n)), first, got[0]), _raw_windows(got, n)]
                 for hs, firsts, t in found:
                     at, lo, hi = b_.hits(hs)
                     for f, x, y in zip(firsts[at].tolist(), lo.tolist(), hi.tolist(), strict=True):
@@ -210,7 +229,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, min_cover: float = MIN_COVER, b
     spark = docs.sparkSession
     shared(spark)
     items = item_windows(benchmark)
-    total = items.groupBy("item_id").agg(F.countDistinct("pos").alias("n_item"))
+    total = items.groupBy("item_id").agg(F.countDistinct(F.when(F.col("kind") != RAW, F.col("pos"))).alias("n_told"), F.countDistinct("pos").alias("n_item"))
     blocks = max(1, -(-items.count() // block_size))
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
     found = []
@@ -219,15 +238,18 @@ def leaks(docs: DataFrame, benchmark: DataFrame, min_cover: float = MIN_COVER, b
         found.append(text.mapInArrow(_find(spark.sparkContext.broadcast(_Block(rows))), "doc_id long, item_id long, shift long, pos int, kind int, theirs array<long>, ours array<long>"))
     hits = _groups(reduce(DataFrame.unionByName, found))
     pairs = F.explode(F.arrays_zip(F.concat(F.array(F.lit(0).cast("long")), "theirs").alias("t"), F.concat(F.array(F.lit(0).cast("long")), "ours").alias("o")))
-    slots = hits.select("doc_id", "item_id", "g", "pos", pairs.alias("s")).select("doc_id", "item_id", "g", "pos", F.col("s.t").alias("t"), F.col("s.o").alias("o"))
+    slots = hits.select("doc_id", "item_id", "g", "pos", "kind", pairs.alias("s")).select("doc_id", "item_id", "g", "pos", "kind", F.col("s.t").alias("t"), F.col("s.o").alias("o"))
     # every hit carries one neutral pair, so hits without slots stay
-    value = slots.groupBy("doc_id", "item_id", "g", "t").agg(F.min("o").alias("lo"), F.max("o").alias("hi"), F.collect_set("pos").alias("at"))
+    value = slots.groupBy("doc_id", "item_id", "g", "t").agg(F.min("o").alias("lo"), F.max("o").alias("hi"), F.collect_set("pos").alias("at"),
+                                                                 F.collect_set(F.when(F.col("kind") != RAW, F.col("pos"))).alias("told"))
     alike = value.groupBy("doc_id", "item_id", "g").agg(
-        F.bool_and(F.col("lo") == F.col("hi")).alias("ok"), F.bool_and(F.col("t") == F.col("lo")).alias("same"), F.max(F.when(F.col("t") == 0, F.size("at"))).alias("n_windows"))
-    best = alike.where("ok").groupBy("doc_id", "item_id").agg(F.max(F.struct("n_windows", "same")).alias("b"))
-    cover = F.col("b.n_windows") / F.col("n_item")
-    return best.join(total, "item_id").where(cover >= min_cover).select(
-        "doc_id", "item_id", F.col("b.n_windows").cast("long").alias("n_windows"), F.round(cover, 6).alias("coverage"), F.when(F.col("b.same"), "verbatim").otherwise("new parameters").alias("kind"))
+        F.bool_and(F.col("lo") == F.col("hi")).alias("ok"), F.bool_and(F.col("t") == F.col("lo")).alias("same"), F.max(F.when(F.col("t") == 0, F.size("at"))).alias("n_at"),
+        F.max(F.when(F.col("t") == 0, F.size("told"))).alias("n_told_at"))
+    told = F.struct((F.col("n_told_at") / F.col("n_told")).alias("cover"), "same", F.col("n_told_at").alias("n"))
+    every = F.struct((F.col("n_at") / F.col("n_item")).alias("cover"), "same", F.col("n_at").alias("n"))
+    best = alike.where("ok").join(total, "item_id").groupBy("doc_id", "item_id").agg(F.max(F.when(F.col("n_told") > 0, F.greatest(told, every)).otherwise(every)).alias("b"))
+    return best.where(F.col("b.cover") >= min_cover).select(
+        "doc_id", "item_id", F.col("b.n").cast("long").alias("n_windows"), F.round("b.cover", 6).alias("coverage"), F.when(F.col("b.same"), "verbatim").otherwise("new parameters").alias("kind"))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

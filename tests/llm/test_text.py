@@ -110,6 +110,17 @@ def test_values_of_any_length_are_one_slot(spark):
     assert got == {(1, 1): "new parameters", (2, 1): "new parameters", (3, 2): "new parameters", (4, 3): "new parameters", (5, 2): "verbatim", (6, 1): "verbatim"}
 
 
+def test_items_of_numbers_are_found(spark):
+    total, few = "Compute 12 + 7 * 3 - 4 * 5 + 9 * 8 - 6", "12 + 7"
+    mixed = "Add the first of all these many numbers to the last: 3 5 8 13 21 34 55 89 144 233 377 610 987 1597"
+    bench = spark.createDataFrame([(1, total), (2, few), (3, mixed)], "item_id long, text string")
+    rows = [(1, "Please do this. " + total + " and tell me."), (2, total.replace("7", "6")), (3, "so 12 + 7 it is"), (4, "we had 3 and 4 of them"), (5, mixed), (6, mixed.replace(" last", " sum").split(":")[0])]
+    got = {(r.doc_id, r.item_id): r.kind for r in D.leaks(docs_of(spark, rows), bench).collect()}
+    assert {k for k in got if k[1] == 1} == {(1, 1)} and got[1, 1] == "verbatim"
+    assert {k for k in got if k[1] == 2} == {(1, 2), (3, 2)}
+    assert got[5, 3] == "verbatim" and (4, 3) not in got
+
+
 # ---- pages -------------------------------------------------------------------------------------
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style><script>var t="</p>";</script></head><body><header>Site</header><nav><ul><li><a href=/>{n}</a></li></ul></nav>
