@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, html_wrappers, licenses, near_dups, packing, pii, quality_rules, quality_trees, repeats, toxicity
+from . import byte_bpe, decontamination, html_wrappers, licenses, near_dups, packing, pii, quality_rules, quality_trees, repeats, toxicity
 
 ORACLES: dict[str, str] = {}
 
@@ -13,11 +13,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer_path() -> str:
-    """The public vocabulary the packing contract names; the operator takes any path."""
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """A public vocabulary the contracts name; the operators take any path."""
     import public_tokenizers
 
-    return str(public_tokenizers.path("word_bpe_49k.json"))
+    return str(public_tokenizers.path(name))
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,6 +65,12 @@ def op10_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_trees.score(docs, quality_trees.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return byte_bpe.encode_digest(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def _license_sql() -> str:
     """The licence scan in SQL; every passage meets every template, without the size bounds."""
     rows = ", ".join(f"('{name}', [{', '.join(chr(39) + g + chr(39) for g in licenses.plain_bigrams(text))}])" for name, text in licenses.TEMPLATES.items())
@@ -89,4 +95,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_decontamination, op3_html_text, op4_near_dups, op5_packing, op6_quality_rules, op7_toxicity, op8_repeats, op9_licenses, op10_quality_trees, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_decontamination, op3_html_text, op4_near_dups, op5_packing, op6_quality_rules, op7_toxicity, op8_repeats, op9_licenses, op10_quality_trees, op11_byte_bpe, pipeline)}
