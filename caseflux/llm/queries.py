@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontamination, html_wrappers, licenses, near_dups, packing, pii, quality_rules, quality_trees, repeats, toxicity
+from . import byte_bpe, decontamination, html_wrappers, licenses, near_dups, packing, pii, quality_rules, quality_trees, repeats, token_alignment, toxicity
 
 ORACLES: dict[str, str] = {}
 
@@ -71,6 +71,10 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_digest(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def _license_sql() -> str:
     """The licence scan in SQL; every passage meets every template, without the size bounds."""
     rows = ", ".join(f"('{name}', [{', '.join(chr(39) + g + chr(39) for g in licenses.plain_bigrams(text))}])" for name, text in licenses.TEMPLATES.items())
@@ -95,4 +99,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_decontamination, op3_html_text, op4_near_dups, op5_packing, op6_quality_rules, op7_toxicity, op8_repeats, op9_licenses, op10_quality_trees, op11_byte_bpe, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_decontamination, op3_html_text, op4_near_dups, op5_packing, op6_quality_rules, op7_toxicity, op8_repeats, op9_licenses, op10_quality_trees, op11_byte_bpe, op12_token_alignment, pipeline)}

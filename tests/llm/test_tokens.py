@@ -98,3 +98,111 @@ def test_offsets_and_split_characters(spark):
     assert half.text == "�" and half.pieces == ["�"]
     with pytest.raises(KeyError):
         B.loaded(path, P.PATTERN).decode(np.array([10**6]))
+
+
+# ---- alignment of two tokenizers -------------------------------------------------------------------
+
+from caseflux.llm import token_alignment as T  # noqa: E402
+
+A_PATH, B_PATH = P.path("byte_bpe_50k.json"), P.path("piece_bpe_32k.model")
+
+
+@pytest.fixture(scope="module")
+def plain_tokens():
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    a, b = Tokenizer.from_file(A_PATH), sentencepiece.SentencePieceProcessor(model_file=B_PATH)
+    a.encode_special_tokens = True
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    byte = {chr(x): x for x in printable} | {chr(256 + k): x for k, x in enumerate(x for x in range(256) if x not in printable)}
+
+    def of(text):
+        """(id, start, end) of the tokens of A and B, whole texts at once; empty where bytes differ."""
+        if not text:
+            return [], []
+        ia = a.encode(" " + text, add_special_tokens=False).ids
+        ib = b.encode(text)
+        ra = [bytes(byte[c] for c in a.id_to_token(i)) for i in ia]
+        rb = [bytes([int(b.id_to_piece(i)[3:5], 16)]) if b.is_byte(i) else b.id_to_piece(i).replace("▁", " ").encode() for i in ib]
+        want = (" " + text).encode()
+        if b"".join(ra) != want or b"".join(rb) != want:
+            return [], []
+        out = []
+        for ids, raw in ((ia, ra), (ib, rb)):
+            at, spans = 0, []
+            for i, r in zip(ids, raw, strict=True):
+                spans.append((i, at, at + len(r)))
+                at += len(r)
+            out.append(spans)
+        return tuple(out)
+
+    return of
+
+
+def plain_alignment(tokens):
+    links, shared, said = [], 0, []
+    a, b = tokens
+    j = 0
+    for i, s, e in a:
+        while j < len(b) and b[j][2] <= s:
+            j += 1
+        k = j
+        while k < len(b) and b[k][1] < e:
+            links.append((i, b[k][0]))
+            k += 1
+    lo = 0
+    for end in sorted({x[2] for x in a} & {x[2] for x in b}):
+        ga, gb = ([x[0] for x in t if lo <= x[1] and x[2] <= end] for t in (a, b))
+        shared += len(ga) * len(gb)
+        said.append(",".join(map(str, ga)) + "|" + ",".join(map(str, gb)))
+        lo = end
+    return links, shared, said
+
+
+@pytest.mark.parametrize("block", [1, 500, T.BLOCK])
+def test_alignment_like_brute_force(spark, plain_tokens, block):
+    rng = random.Random(17)
+    rows = edge_rows()[:161] + [(600, "ab c" * 3), (601, "ab c" * 3), (602, "x▁y"), (603, "".join(rng.choice("日本語中文😀é") for _ in range(300)))]
+    rows += [(700 + k, " ".join(rng.choice(["to", "ken", "token", "Tokenizer", "aligned", "naïve", "x1"]) for _ in range(30))) for k in range(40)]
+    if block == T.BLOCK:
+        rows.append((508, "ab\t\n " * 250_000 + "end"))
+    plain = [(i, plain_alignment(plain_tokens(t or "")) if len(t or "") < 10**6 else None) for i, t in rows]
+    plain = [(i, p) for i, p in plain if p is not None]
+    held = rows if block != T.BLOCK else rows[:-1]
+    count = Counter(p for _, (links, _, _) in plain for p in set(links))
+    most = {}
+    for (a, _), n in count.items():
+        most[a] = max(most.get(a, 0), n)
+    want = Counter()
+    for (i, t), (_, (links, shared, said)) in zip(held, plain, strict=True):
+        a, b = plain_tokens(t or "")
+        want[(i, len(a), len(b), len(said), len(links), sum(count[p] == most[p[0]] for p in links), sum(count[p] for p in links), sha(";".join(said)) if said else "", shared)] += 1
+    got = T.align(docs_of(spark, held).repartition(3), A_PATH, B_PATH, block).collect()
+    assert Counter(tuple(r[c] for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "n_shared")) for r in got) == want
+    if block == T.BLOCK:  # a text handled in parts has what its halves have
+        whole = T.align(docs_of(spark, [rows[-1], (1, rows[-1][1][: 5 * 125_000 - 1])]), A_PATH, B_PATH).collect()
+        by = {r.doc_id: r for r in whole}
+        assert by[508].n_links > 1.9 * by[1].n_links and by[508].n_groups > 0 and by[508].count_sum >= by[508].n_links
+
+
+def test_link_rows_and_products(spark, plain_tokens):
+    t = "Tokenizers naïvely align 日本語 words"
+    got = sorted((r.a_index, r.b_index, r.a, r.b, r.bytes) for r in T.link_rows(docs_of(spark, [(1, t), (2, None), (3, "x▁y")]), A_PATH, B_PATH).collect())
+    a, b = plain_tokens(t)
+    assert got == sorted((i, j, x[0], y[0], min(x[2], y[2]) - max(x[1], y[1])) for i, x in enumerate(a) for j, y in enumerate(b) if min(x[2], y[2]) > max(x[1], y[1]))
+    rng = np.random.default_rng(2)
+    x, y = (rng.integers(0, 3, (5, 7)), rng.integers(0, 3, (7, 4)))
+
+    def sparse(m):
+        r, c = np.nonzero(m)
+        return T.CSR(np.searchsorted(r, np.arange(len(m) + 1)), c, m[r, c], m.shape[1])
+
+    def dense(m, n):
+        out = np.zeros((n, m.width), int)
+        out[m.rows, m.col] = m.val
+        return out
+
+    assert (dense(T.product(sparse(x), sparse(y)), 5) == x @ y).all()
+    assert (dense(T.transpose(sparse(x)), 7) == x.T).all()
+    assert T.align(docs_of(spark, [(1, "a")]).where("false"), A_PATH, B_PATH).count() == 0
