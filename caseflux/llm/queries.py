@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontamination, html_wrappers, licenses, near_dups, packing, pii, quality_rules, quality_trees, repeats, token_alignment, toxicity
+from . import byte_bpe, decontamination, html_wrappers, licenses, near_dups, packing, pii, quality_rules, quality_trees, repeats, source_audit, token_alignment, toxicity
 
 ORACLES: dict[str, str] = {}
 
@@ -75,6 +75,26 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.align(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op13_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.audit(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_source_audit"] = r"""WITH d AS (SELECT row_number() OVER () AS i, coalesce(text, '') AS t, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+w AS (SELECT i, lang, source, translate(unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM d),
+k AS (SELECT lang, term, count(*) AS n FROM w GROUP BY ALL HAVING count(DISTINCT i) >= 30),
+c AS (SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN k USING (lang, term) GROUP BY ALL),
+l AS (SELECT lang, count(*) AS v, sum(n) AS total FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+m AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, sum(coalesce(c.n, 0)) OVER (PARTITION BY g.lang, g.source) AS total FROM g JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+p AS (SELECT m.lang, source, term, n, 1 + (1000000000::HUGEINT * (n + 5)) // (m.total + 5 * v) AS p FROM m JOIN l USING (lang)),
+q AS (SELECT k.lang, term, 1 + (1000000000::HUGEINT * (n + 5)) // (total + 5 * v) AS q FROM k JOIN l USING (lang)),
+b AS (SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS value FROM p x JOIN p y USING (lang, term) WHERE x.source <> y.source GROUP BY ALL),
+a AS (SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(b.value, 0) AS value FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source LEFT JOIN b ON b.lang = x.lang AND b.source = x.source AND b.item = y.source
+  UNION ALL SELECT lang, source, 'term', term, p - q FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM a)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM r WHERE part = 'pair' OR rank <= 50"""
+
+
 def _license_sql() -> str:
     """The licence scan in SQL; every passage meets every template, without the size bounds."""
     rows = ", ".join(f"('{name}', [{', '.join(chr(39) + g + chr(39) for g in licenses.plain_bigrams(text))}])" for name, text in licenses.TEMPLATES.items())
@@ -99,4 +119,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_decontamination, op3_html_text, op4_near_dups, op5_packing, op6_quality_rules, op7_toxicity, op8_repeats, op9_licenses, op10_quality_trees, op11_byte_bpe, op12_token_alignment, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_decontamination, op3_html_text, op4_near_dups, op5_packing, op6_quality_rules, op7_toxicity, op8_repeats, op9_licenses, op10_quality_trees, op11_byte_bpe, op12_token_alignment, op13_source_audit, pipeline)}

@@ -206,3 +206,63 @@ def test_link_rows_and_products(spark, plain_tokens):
     assert (dense(T.product(sparse(x), sparse(y)), 5) == x @ y).all()
     assert (dense(T.transpose(sparse(x)), 7) == x.T).all()
     assert T.align(docs_of(spark, [(1, "a")]).where("false"), A_PATH, B_PATH).count() == 0
+
+
+# ---- divergence of sources -------------------------------------------------------------------------
+
+import re  # noqa: E402
+
+from caseflux.llm import source_audit as S  # noqa: E402
+
+TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+LOWER = {ord(c): c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
+
+
+def plain_audit(rows, least, top):
+    count, docs, groups = Counter(), Counter(), {}
+    for r in rows:
+        text, lang, source = (x or "" for x in (r[1], *r[2:]))
+        terms = [t.translate(LOWER) for t in TERM.findall(text)]
+        groups.setdefault(lang, set()).add(source)
+        count.update((lang, source, t) for t in terms)
+        docs.update((lang, t) for t in set(terms))
+    out = []
+    for lang, sources in groups.items():
+        kept = [t for (x, t), n in docs.items() if x == lang and n >= least]
+
+        def shares(of, kept=kept, lang=lang):
+            n = {t: sum(count[lang, s, t] for s in of) for t in kept}
+            return {t: 1 + 10**9 * (n[t] + 5) // (sum(n.values()) + 5 * len(kept)) for t in kept}
+
+        p, q = {s: shares([s]) for s in sources}, shares(sources)
+        for s in sources:
+            pair = sorted((-sum(abs(p[s][t] - p[o][t]) for t in kept), o.encode(), o) for o in sources if o != s)
+            term = sorted((q[t] - p[s][t], t.encode(), t) for t in kept if count[lang, s, t] and p[s][t] > q[t])[:top]
+            out += [(lang, s, part, i, -v, k + 1) for part, x in (("pair", pair), ("term", term)) for k, (v, _, i) in enumerate(x)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize(("tile", "shard"), [(2, 300), (128, S.SHARD)])
+def test_audit_like_brute_force(spark, monkeypatch, tile, shard):
+    monkeypatch.setattr(S, "SHARD", shard)
+    rng = random.Random(23)
+    stem = ["Zebra", "zebra", "internationalisation", "internationalise", "internation", "é", "ÉCOLE", "école", "日本", "a", "abcdefgh", "abcdefghi", "abcdefgH", "x'y", "don't", "q1w"]
+    rows = [(i, " ".join(rng.choice(stem) for _ in range(rng.randint(0, 12))), rng.choice(["en", "fr", None]), f"s{rng.choice([0, 0, 0, 1, 2, 3, 4])}") for i in range(150)]
+    rows += [(900, None, "en", "empty"), (901, "", "en", None), (902, "12 -- !", "en", "empty2"), (903, "zebra", "xx", "only"), (904, "", "xx", "other"), (905, "", "yy", "lone"), (None, "zebra", "en", "s1"), (7, "zebra", "en", "s1"), (7, "zebra", "en", "s1")]
+    rows += [(906, "zebra abcdefgh " * 20_000, "en", "s0")]
+    got = S.audit(docs_of(spark, rows).repartition(3), least=6, top=4, tile=tile).collect()
+    assert sorted((r.lang, r.source, r.part, r["item"], r.value, r["rank"]) for r in got) == plain_audit(rows, 6, 4)
+
+
+def test_audit_of_nothing_and_pointer_sort(spark):
+    assert S.audit(docs_of(spark, [(1, "a")]).where("false")).count() == 0
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("abAB éx,") for _ in range(rng.randint(0, 80))) for _ in range(60)] + ["abababababababababab" * 3, "abababababababababab" * 3 + "a"]
+    raw = [t.encode() for t in texts]
+    buf, at = np.frombuffer(b"".join(raw), np.uint8), np.concatenate(([0], np.cumsum([len(x) for x in raw])))
+    start, length = S.word_starts(buf, at)
+    words = [bytes(buf[s:s + n]) for s, n in zip(start, length, strict=True)]
+    assert words == [w.encode() for t in texts for w in TERM.findall(t)]
+    order, head = S.sort_pointers(buf, start, length)
+    assert order.tolist() == sorted(range(len(words)), key=lambda k: (words[k], k))
+    assert [k for k, h in enumerate(head) if h] == [k for k in range(len(words)) if k == 0 or words[order[k]] != words[order[k - 1]]]
