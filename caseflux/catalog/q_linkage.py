@@ -14,25 +14,39 @@ from .q_indicators import BACT, cnt, pc, scope_sql
 from .registry import query
 
 
-def sides(s, d):
-    c = C.cases(s, d).select("case_id", F.col("case_id").cast("string").alias("notification"), "birth_date",
+def sides(s, d, cases=None):
+    c = (C.cases(s, d) if cases is None else cases).select("case_id", F.col("case_id").cast("string").alias("notification"), "birth_date",
                              X.sex_letter("sex_raw").alias("sex"), "code6", "event_date", "region", "confirmed", "class_group", "death")
     e = V.exams(s, d).withColumns({"sex": X.sex_letter("sex_raw"), "result": X.join_fields(["field_1", "field_2"])}).drop("region")
     return c, e
 
 
+def death_sides(s, d, cases=None):
+    c, _ = sides(s, d, cases)
+    return c, V.deaths(s, d).withColumn("sex", X.sex_letter("sex_raw"))
+
+
 BASE = CASES + "," + V.EXAMS_CTE
-_PTS = """CASE WHEN CAST(c.case_id AS VARCHAR) = e.notification THEN 100 ELSE least(99, 15 + CASE WHEN c.birth_date = e.birth_date THEN 45 WHEN abs(c.birth_date - e.birth_date) = 1 THEN 30 ELSE 0 END
-  + CASE WHEN c.code6 = e.code6 THEN 25 ELSE 0 END + CASE WHEN abs(c.event_date - e.collected_date) <= 15 THEN 15 WHEN abs(c.event_date - e.collected_date) <= 45 THEN 8
-  WHEN abs(c.event_date - e.released_date) <= 15 THEN 15 WHEN abs(c.event_date - e.released_date) <= 45 THEN 8 ELSE 0 END) END"""
-_WHY = """CASE WHEN CAST(c.case_id AS VARCHAR) = e.notification THEN 'notification' ELSE concat_ws(';', CASE WHEN c.birth_date = e.birth_date THEN 'birth_date' WHEN abs(c.birth_date - e.birth_date) = 1 THEN 'birth_date_near' END,
-  'sex', CASE WHEN c.code6 = e.code6 THEN 'municipality' END, CASE WHEN abs(c.event_date - e.collected_date) <= 15 THEN 'collected_date_15d' WHEN abs(c.event_date - e.collected_date) <= 45 THEN 'collected_date_45d'
-  WHEN abs(c.event_date - e.released_date) <= 15 THEN 'released_date_15d' WHEN abs(c.event_date - e.released_date) <= 45 THEN 'released_date_45d' END) END"""
-LINK = BASE + f""", prs AS (
-  SELECT case_id, e.exam_id, {_PTS} AS pts, {_WHY} AS reasons FROM cases c JOIN exams e ON c.sex_raw = e.sex_raw AND year(c.birth_date) = year(e.birth_date)
-  UNION ALL SELECT case_id, e.exam_id, {_PTS}, {_WHY} FROM cases c JOIN exams e ON c.sex_raw = e.sex_raw AND c.code6 = e.code6
-  UNION ALL SELECT case_id, e.exam_id, 100, 'notification' FROM cases c JOIN exams e ON CAST(c.case_id AS VARCHAR) = e.notification),
-links AS (SELECT case_id, arg_min(exam_id, (-pts, exam_id)) AS exam_id, max(pts) / 1e2 AS score, arg_min(reasons, (-pts, exam_id)) AS reasons FROM prs WHERE pts >= 55 GROUP BY 1)"""
+
+
+def link_sql(name: str, key: str, dates: tuple[str, ...], out: str) -> tuple[str, str, str]:
+    """Best partner per case over all candidate pairs, in SQL."""
+    near = " ".join(f"WHEN abs(c.event_date - e.{x}) <= 15 THEN 15 WHEN abs(c.event_date - e.{x}) <= 45 THEN 8" for x in dates)
+    label = " ".join(f"WHEN abs(c.event_date - e.{x}) <= 15 THEN '{x}_15d' WHEN abs(c.event_date - e.{x}) <= 45 THEN '{x}_45d'" for x in dates)
+    pts = f"""CASE WHEN CAST(c.case_id AS VARCHAR) = e.notification THEN 100 ELSE least(99, 15 + CASE WHEN c.birth_date = e.birth_date THEN 45 WHEN abs(c.birth_date - e.birth_date) = 1 THEN 30 ELSE 0 END
+  + CASE WHEN c.code6 = e.code6 THEN 25 ELSE 0 END + CASE {near} ELSE 0 END) END"""
+    why = f"""CASE WHEN CAST(c.case_id AS VARCHAR) = e.notification THEN 'notification' ELSE concat_ws(';', CASE WHEN c.birth_date = e.birth_date THEN 'birth_date' WHEN abs(c.birth_date - e.birth_date) = 1 THEN 'birth_date_near' END,
+  'sex', CASE WHEN c.code6 = e.code6 THEN 'municipality' END, CASE {label} END) END"""
+    return f"""{out}_p AS (
+  SELECT case_id, e.{key}, {pts} AS pts, {why} AS reasons FROM cases c JOIN {name} e ON c.sex_raw = e.sex_raw AND year(c.birth_date) = year(e.birth_date)
+  UNION ALL SELECT case_id, e.{key}, {pts}, {why} FROM cases c JOIN {name} e ON c.sex_raw = e.sex_raw AND c.code6 = e.code6
+  UNION ALL SELECT case_id, e.{key}, 100, 'notification' FROM cases c JOIN {name} e ON CAST(c.case_id AS VARCHAR) = e.notification),
+{out} AS (SELECT case_id, arg_min({key}, (-pts, {key})) AS {key}, max(pts) / 1e2 AS score, arg_min(reasons, (-pts, {key})) AS reasons FROM {out}_p WHERE pts >= 55 GROUP BY 1)""", pts, why
+
+
+_LAB, _PTS, _WHY = link_sql("exams", "exam_id", ("collected_date", "released_date"), "links")
+LINK = BASE + ", " + _LAB
+DLINK = V.DEATHS_CTE + ", " + link_sql("deaths", "death_id", ("death_date",), "dlinks")[0]
 
 
 @query("jn08_link_exact", BASE + """ SELECT case_id, exam_id, notification, 1.0::DOUBLE AS score, 'notification' AS reasons FROM cases JOIN exams ON CAST(case_id AS VARCHAR) = notification""", "score")
@@ -45,10 +59,9 @@ def _(s, d):
     return K.link_best(*sides(s, d))
 
 
-@query("jn09_link_best_crowded", LINK + " SELECT * FROM links", "score")
+@query("jn09_link_deaths", CASES + "," + DLINK + " SELECT case_id, death_id, score, reasons, death_date::VARCHAR AS death_date, cause FROM dlinks JOIN deaths USING (death_id)", "score")
 def _(s, d):
-    """The same from sides dealt in another order: ties do not depend on it."""
-    return K.link_best(*[x.repartition(7) for x in sides(s, d)])
+    return K.link_deaths(*death_sides(s, d))
 
 
 @query("jn10_pair_score", BASE + f""" SELECT case_id, exam_id, {_PTS.replace("CAST(c.case_id AS VARCHAR) = e.notification", "false")} / 1e2 AS score,
@@ -66,10 +79,11 @@ def _(s, d):
     return K.best_match(K.link_exact(*sides(s, d)))
 
 
-def enriched(s, d):
-    c, e = sides(s, d)
+def enriched(s, d, cases=None):
+    """Cases (the linkage columns, or all of the given ones) with method and result of their best exam."""
+    c, e = sides(s, d, cases)
     links = K.link_best(c, e).join(e.select("exam_id", "method", "result"), "exam_id").join(c.select("case_id", "notification"), "case_id")
-    return K.enrich(c, links)
+    return K.enrich(c if cases is None else cases.withColumn("notification", F.col("case_id").cast("string")), links)
 
 
 ENR = LINK + """, en AS (SELECT c.*, CAST(l.score IS NOT NULL AS INTEGER) AS lab_match, l.score AS lab_score, l.exam_id FROM cases c LEFT JOIN (SELECT * FROM links WHERE score >= 0.75) l USING (case_id))"""
@@ -80,22 +94,39 @@ def _(s, d):
     return enriched(s, d).select("case_id", "lab_match", "lab_score", "lab_method")
 
 
-@query("ag44_linkage_kpis", ENR + """, lk AS (SELECT en.*, coalesce(dl, 0) AS death_linked, CAST(death = 1 OR coalesce(dl, 0) = 1 AS INTEGER) AS death_union FROM en
-  LEFT JOIN (SELECT DISTINCT l_orderkey, 1 AS dl FROM lineitem WHERE l_returnflag = 'R' AND l_linestatus = 'O') ON l_orderkey = case_id) SELECT *, """ + f"""{pc('lab_match_n', 'cases_total')} AS pct_lab_match,
+def with_deaths(s, d, cases=None):
+    """Cases with their linked death record; what counts as a death of the union."""
+    c, e = death_sides(s, d, cases)
+    return K.attach_deaths(C.cases(s, d) if cases is None else cases, K.link_deaths(c, e))
+
+
+def linked_cases(s, d, cases=None):
+    """Cases with their best exam and their death record, over one case build."""
+    c = C.cases(s, d) if cases is None else cases
+    return with_deaths(s, d, enriched(s, d, c))
+
+
+DEATH = "," + DLINK + """, dm AS (SELECT case_id, score AS sim_score, cause AS sim_icd, death_date AS sim_death_date FROM dlinks JOIN deaths USING (death_id) WHERE score >= 0.75),
+z AS (SELECT c.*, CAST(dm.case_id IS NOT NULL AS INTEGER) AS m, sim_score, sim_icd, sim_death_date, sim_death_date IS NOT NULL AS dt, coalesce(sim_icd IN ('A39.0', 'G00.9'), false) AS ic FROM cases c LEFT JOIN dm USING (case_id)),
+du AS (SELECT *, CAST(m = 1 AND (dt OR ic) AS INTEGER) AS death_linked, CASE WHEN m = 0 THEN 'sem_match_sim' WHEN dt AND ic THEN 'data_obito+cid_meningite' WHEN dt THEN 'data_obito' WHEN ic THEN 'cid_meningite'
+  ELSE 'match_sem_evidencia_obito' END AS death_reason FROM z)"""
+
+
+@query("ag44_linkage_kpis", ENR + DEATH + """, lk AS (SELECT en.*, death_linked, CAST(en.death = 1 OR death_linked = 1 AS INTEGER) AS death_union FROM en JOIN du USING (case_id)) SELECT *, """ + f"""{pc('lab_match_n', 'cases_total')} AS pct_lab_match,
   {pc('bact_lab_match', 'bact_n')} AS pct_bact_lab_match, {pc('deaths_linked', 'deaths_union')} AS pct_linked_of_union, {pc('discordant', 'cases_total')} AS pct_discordant FROM (""" + scope_sql(
     f"""count(*) AS cases_total, CAST(sum(lab_match) AS BIGINT) AS lab_match_n, {cnt(f'{BACT} AND confirmed = 1')} AS bact_n, {cnt(f'{BACT} AND confirmed = 1 AND lab_match = 1')} AS bact_lab_match,
     CAST(sum(death_linked) AS BIGINT) AS deaths_linked, CAST(sum(death_union) AS BIGINT) AS deaths_union, {cnt('death_linked = 1 AND death = 0')} AS discordant""", {"STATE": (), "REGION": ("region",)}, "lk") + ")",
     "pct_lab_match pct_bact_lab_match pct_linked_of_union pct_discordant")
 def _(s, d):
-    from .q_indicators import linked_deaths
-
-    return P.linkage_kpis(J.attach_outcomes(enriched(s, d), linked_deaths(s, d)))
+    return P.linkage_kpis(linked_cases(s, d))
 
 
-@query("ag45_linkage_status", LINK + """ SELECT 'gal' AS source, 'OK' AS status, (SELECT count(*) FROM exams) AS rows, (SELECT count(*) FROM links) AS matches UNION ALL SELECT 'lacen', 'AUSENTE', 0, 0""")
+@query("ag45_linkage_status", LINK + "," + DLINK + """ SELECT 'gal' AS source, 'OK' AS status, (SELECT count(*) FROM exams) AS rows, (SELECT count(*) FROM links) AS matches
+  UNION ALL SELECT 'sim', 'OK', (SELECT count(*) FROM deaths), (SELECT count(*) FROM dlinks) UNION ALL SELECT 'lacen', 'AUSENTE', 0, 0""")
 def _(s, d):
     c, e = sides(s, d)
-    return K.linkage_status({"gal": (e, K.link_best(c, e)), "lacen": (None, None)}, s)
+    dead = death_sides(s, d)[1]
+    return K.linkage_status({"gal": (e, K.link_best(c, e)), "sim": (dead, K.link_deaths(c, dead)), "lacen": (None, None)}, s)
 
 
 _POS = f"(coalesce(pcr, 0) = 1 OR coalesce(culture, 0) = 1 OR coalesce(latex, 0) = 1)"
@@ -112,26 +143,13 @@ def _(s, d):
     return K.review_queue(C.cases(s, d)).select("case_id", "event_date")
 
 
-def sim(s, d):
-    c = C.cases(s, d)
-    k = F.col("contacts")
-    icd = F.when(k == 0, "A39.0").when(k == 1, "I21.0").when(k == 2, "G00.9")
-    return K.death_union(c.withColumns({"sim_match": F.col("any_death"), "sim_icd": icd,
-                                        "sim_death_date": F.when(F.col("hospitalised") == 1, F.col("outcome_date"))}))
-
-
-SIM = CASES + """, z AS (SELECT *, any_death AS m, hospitalised = 1 AND outcome_date IS NOT NULL AS dt, coalesce(contacts, 9) IN (0, 2) AS ic FROM cases),
-du AS (SELECT *, CAST(m = 1 AND (dt OR ic) AS INTEGER) AS death_linked, CASE WHEN m = 0 THEN 'sem_match_sim' WHEN dt AND ic THEN 'data_obito+cid_meningite' WHEN dt THEN 'data_obito' WHEN ic THEN 'cid_meningite'
-  ELSE 'match_sem_evidencia_obito' END AS death_reason FROM z)"""
-
-
-@query("ag46_death_union", SIM + " SELECT death_reason, death_linked, CAST(death = 1 OR death_linked = 1 AS INTEGER) AS death_union, CAST(death_linked = 1 AND death = 0 AS INTEGER) AS death_only_linked, count(*) AS n FROM du GROUP BY ALL")
+@query("ag46_death_union", CASES + DEATH + " SELECT death_reason, death_linked, CAST(death = 1 OR death_linked = 1 AS INTEGER) AS death_union, CAST(death_linked = 1 AND death = 0 AS INTEGER) AS death_only_linked, count(*) AS n FROM du GROUP BY ALL")
 def _(s, d):
     k = ["death_reason", "death_linked", "death_union", "death_only_linked"]
-    return sim(s, d).groupBy(*k).agg(F.count(F.lit(1)).alias("n"))
+    return with_deaths(s, d).groupBy(*k).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("ag46_death_summary", SIM + """ SELECT CAST(sum(death) AS BIGINT) AS deaths_own, CAST(sum(death_linked) AS BIGINT) AS deaths_linked, count(*) FILTER (WHERE death = 1 OR death_linked = 1) AS deaths_union,
+@query("ag46_death_summary", CASES + DEATH + """ SELECT CAST(sum(death) AS BIGINT) AS deaths_own, CAST(sum(death_linked) AS BIGINT) AS deaths_linked, count(*) FILTER (WHERE death = 1 OR death_linked = 1) AS deaths_union,
   count(*) FILTER (WHERE death_linked = 1 AND death = 0) AS only_linked, CAST(sum(m) AS BIGINT) AS matches, CAST(sum(m) - sum(death_linked) AS BIGINT) AS matches_without_evidence FROM du""")
 def _(s, d):
-    return K.death_summary(sim(s, d))
+    return K.death_summary(with_deaths(s, d))

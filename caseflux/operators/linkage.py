@@ -1,14 +1,15 @@
 """Record linkage (JN8-JN12, AG45, AG46).
 
 The score of a pair is a sum of few parts: birth date equal 45 (one day off 30), sex 15,
-municipality 25, event near a laboratory date 15 (<= 15 days) or 8 (<= 45 days); a shared
+municipality 25, event near a date of the partner 15 (<= 15 days) or 8 (<= 45 days); a shared
 notification number is 100. Candidates share sex and either the birth year or the municipality.
+A partner has any of the dates of DATES; the first of them within 45 days of the event counts.
 
-Only the best partner of a case is wanted, so pairs of a crowded block are never listed. The
-reachable scores are a short list of *tiers*. For a tier the partners are reduced to one row per
-key and day (the smallest exam id), a sliding minimum over the days answers "within n days", and a
-case looks up its own key and day. The highest tier that answers holds the best partner. A sliding
-window holds one row per calendar day, whatever share of the table its key has.
+Only the best partner of a case is wanted, so pairs of a crowded block are never listed. What two
+records have in common besides dates is one of four *kinds* of key (birth and place, birth, place,
+birth year). Per kind the partners are reduced to one row per key and day (the smallest id), sliding
+minima over the days answer "within 15 days" and "within 45 days" at once, and a case looks up its own
+keys and day. A sliding window holds one row per calendar day, whatever share of the table its key has.
 """
 from __future__ import annotations
 
@@ -23,7 +24,7 @@ from .filters import fold
 
 BIRTH, BIRTH_NEAR, SEX, PLACE, NEAR, FAR, CAP = 45, 30, 15, 25, 15, 8, 99
 NEAR_DAYS, FAR_DAYS = 15, 45
-DATES = ("collected_date", "released_date")
+DATES = ("collected_date", "released_date", "death_date")
 
 
 def _known(c: Column | str) -> Column:
@@ -40,7 +41,7 @@ def link_exact(cases: DataFrame, exams: DataFrame, key: str = "notification") ->
 
 
 def _proximity(event: Column, dates: Sequence[Column]) -> tuple[Column, Column]:
-    """Points and label of the first laboratory date that lies near the event."""
+    """Points and label of the first date of the partner that lies near the event."""
     pts, label = F.lit(0), F.lit(None).cast("string")
     for name, d in reversed(list(zip(DATES, dates))):
         gap = F.abs(F.datediff(event, d))
@@ -65,134 +66,134 @@ def pair_score(pairs: DataFrame, left: str = "a_", right: str = "b_") -> DataFra
                               "reasons": F.when(same_number, "notification").otherwise(why)})
 
 
-def _tiers(min_points: int) -> list[dict]:
-    out = []
-    for birth, bp in (("same", BIRTH), ("near", BIRTH_NEAR), ("any", 0)):
-        for place, pp in ((True, PLACE), (False, 0)):
-            for prox, xp in ((NEAR_DAYS, NEAR), (FAR_DAYS, FAR), (None, 0)):
-                for sexed, sp in ((True, SEX), (False, 0)):
-                    points = min(CAP, bp + pp + xp + sp)
-                    if points >= min_points:
-                        out.append({"birth": birth, "place": place, "prox": prox, "sexed": sexed, "points": points})
-    return out
-
-
-_KEY = ["tier", "sex", "b", "place", "day"]
-
-
-def _side_ok(t: dict) -> Column:
-    return (F.col("sex") != "") if t["sexed"] else (F.col("sex") == "")
-
-
-def _second_date_days(radius: int) -> Column:
-    """Days on which the second date of an exam counts: near it and more than 45 days off the first."""
-    d1, d2 = F.unix_date(DATES[0]), F.unix_date(DATES[1])
-    seq = lambda lo, hi: F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<int>"))
-    alone = F.when(d1.isNull() & d2.isNotNull(), seq(d2 - radius, d2 + radius))
-    both = F.when(d1.isNotNull() & d2.isNotNull(), F.concat(
-        seq(d2 - radius, F.least(d2 + radius, d1 - FAR_DAYS - 1)), seq(F.greatest(d2 - radius, d1 + FAR_DAYS + 1), d2 + radius)))
-    return F.coalesce(alone, both, F.array().cast("array<int>"))
-
-
-def _exam_rows(exams: DataFrame, tiers: list[dict], offset: int) -> DataFrame:
-    """Tier keys of an exam: at its first date (to be spread by the window) and at the days of the second."""
-    b, first, second = F.unix_date("birth_date"), [], {NEAR_DAYS: [], FAR_DAYS: []}
-    for i, t in enumerate(tiers):
-        key_b = F.lit(0) if t["birth"] == "any" and t["place"] else (F.year("birth_date") if t["birth"] == "any" else b)
-        place = F.col("code6") if t["place"] else F.lit("")
-        day = F.lit(0) if t["prox"] is None else F.unix_date(DATES[0])
-        key = [F.lit(offset + i).alias("tier"), key_b.alias("b"), place.alias("place")]
-        ok = _side_ok(t) & key_b.isNotNull() & place.isNotNull()
-        first.append(F.when(ok & day.isNotNull(), F.struct(*key, day.alias("day"))))
-        if t["prox"] is not None:
-            second[t["prox"]].append(F.when(ok, F.struct(*key)))
-    hit = lambda di: F.struct("exam_id", F.lit(di).alias("di"))
-    nothing = F.lit(None).cast("struct<exam_id:string,di:int>")
-    rows = exams.select("sex", F.inline(F.array_compact(F.array(*first))), hit(1).alias("w"), nothing.alias("x"))
-    for radius, keys in second.items():
-        if keys:
-            days = exams.withColumn("_d", _second_date_days(radius)).filter(F.size("_d") > 0)
-            keyed = days.select("sex", "exam_id", "_d", F.inline(F.array_compact(F.array(*keys))))
-            rows = rows.unionByName(keyed.select("sex", "tier", "b", "place", F.explode("_d").alias("day"), nothing.alias("w"), hit(2).alias("x")))
-    return rows
-
-
-def _probe(cases: DataFrame, tiers: list[dict], offset: int) -> DataFrame:
-    """Tier keys a case looks up."""
-    b, rows = F.unix_date("birth_date"), []
-    for i, t in enumerate(tiers):
-        if t["birth"] == "any":
-            births = [F.lit(0) if t["place"] else F.year("birth_date")]
-        elif t["birth"] == "same":
-            births = [b]
-        else:
-            in_block = lambda x: x if t["place"] else F.when(F.year(F.date_from_unix_date(x)) == F.year("birth_date"), x)
-            births = [in_block(b - 1), in_block(b + 1)]
-        place = F.col("code6") if t["place"] else F.lit("")
-        day = F.lit(0) if t["prox"] is None else F.unix_date("event_date")
-        for x in births:
-            rows.append(F.when(_side_ok(t) & x.isNotNull() & place.isNotNull() & day.isNotNull(), F.struct(
-                F.lit(offset + i).alias("tier"), F.lit(t["points"]).alias("points"), x.alias("b"), place.alias("place"), day.alias("day"))))
-    return cases.select("case_id", "sex", F.inline(F.array_compact(F.array(*rows))))
-
-
-def _lookup(exams: DataFrame, probe: DataFrame, tiers: list[dict], offset: int) -> DataFrame:
-    """Smallest exam id of every probed key and day."""
-    kind = "struct<exam_id:string,di:int>"
-    asked = probe.select(*_KEY, F.lit(None).cast(kind).alias("w"), F.lit(None).cast(kind).alias("x"), F.lit(1).alias("q"))
-    u = _exam_rows(exams, tiers, offset).select(*_KEY, "w", "x", F.lit(0).alias("q")).unionByName(asked)
-    g = u.groupBy(*_KEY).agg(F.min("w").alias("w"), F.min("x").alias("x"), F.max("q").alias("q"))
-    w = W.partitionBy("tier", "sex", "b", "place").orderBy("day")
-    of = lambda r: F.col("tier").isin([offset + i for i, t in enumerate(tiers) if t["prox"] == r])
-    spread = F.col("w")
-    for r in sorted({t["prox"] for t in tiers if t["prox"] is not None}):
-        spread = F.when(of(r), F.min("w").over(w.rangeBetween(-r, r))).otherwise(spread)
-    return g.withColumn("_hit", F.least(spread, F.col("x"))).filter((F.col("q") == 1) & F.col("_hit").isNotNull()).select(*_KEY, "_hit")
-
-
-def _reasons(tiers: list[dict], offset: int) -> Column:
-    out = F.lit(None).cast("string")
-    for i, t in enumerate(tiers):
-        words = [{"same": "birth_date", "near": "birth_date_near", "any": ""}[t["birth"]], "sex" if t["sexed"] else "",
-                 "municipality" if t["place"] else ""]
-        head = ";".join(w for w in words if w)
-        label = F.lit(head)
-        if t["prox"] is not None:
-            name = F.when(F.col("_hit.di") == 1, DATES[0]).otherwise(DATES[1])
-            label = F.concat_ws(";", F.lit(head), F.concat(name, F.lit(f"_{t['prox']}d")))
-        out = F.when(F.col("tier") == offset + i, label).otherwise(out)
-    return out
-
-
-def link_best(cases: DataFrame, exams: DataFrame, min_score: float = 0.55) -> DataFrame:
+# kind of key: points of its place, and points of the birth relations it can show
+KINDS = {"full": (PLACE, {"same": BIRTH, "near": BIRTH_NEAR}), "birth": (0, {"same": BIRTH, "near": BIRTH_NEAR}), "place": (PLACE, {"any": 0}), "year": (0, {"any": 0})}
+_KEY = ["kind", "sex", "b", "place"]
+_NO_DAY = -10_000_000  # stands for a missing day; no window reaches it
+
+
+def _key(kind: str, birth: Column) -> Column:
+    """Key columns of a record for a kind, null where one is missing."""
+    b = F.year(F.date_from_unix_date(birth)) if kind == "year" else F.lit(0) if kind == "place" else birth
+    place = F.col("code6") if kind in ("full", "place") else F.lit("")
+    return F.when(b.isNotNull() & place.isNotNull(), F.struct(F.lit(kind).alias("kind"), b.alias("b"), place.alias("place")))
+
+
+def _kinds(points: int) -> dict[str, dict[str, int]]:
+    """Kinds and birth relations that reach the points, with what they give before sex and dates."""
+    out = {k: {r: place + x for r, x in rel.items() if place + x + SEX + NEAR >= points} for k, (place, rel) in KINDS.items()}
+    return {k: v for k, v in out.items() if v}
+
+
+def _hit(di: Column | int) -> Column:
+    return F.struct("partner", (F.lit(di) if isinstance(di, int) else di).alias("di"))
+
+
+def _partner_rows(partners: DataFrame, dates: Sequence[str], kinds: Sequence[str]) -> DataFrame:
+    """Key rows of a partner: one at its first date (spread by the window later) and one for each day at which
+    only a later date is near. `first`, `near` and `far` carry the partner."""
+    nothing = F.lit(None).cast(partners.select(_hit(0).alias("h")).schema["h"].dataType)
+    given = F.filter(F.array(*[F.struct(F.unix_date(d).alias("day"), F.lit(i).alias("di")) for i, d in enumerate(dates)]), lambda x: x["day"].isNotNull()) if dates else F.array().cast("array<struct<day:int,di:int>>")
+    e = partners.withColumn("_given", given)
+    start = F.struct(F.coalesce(F.get("_given", F.lit(0))["day"], F.lit(_NO_DAY)).alias("day"), F.when(F.size("_given") > 0, _hit(F.get("_given", F.lit(0))["di"])).alias("first"),
+                     nothing.alias("near"), nothing.alias("far"), F.col("partner").alias("some"))
+
+    def later(x: Column, i: Column) -> Column:
+        before = F.slice("_given", F.lit(1), i)
+        free = F.filter(F.sequence(x["day"] - FAR_DAYS, x["day"] + FAR_DAYS), lambda d: F.forall(before, lambda y: F.abs(d - y["day"]) > FAR_DAYS))
+        hit = _hit(x["di"])
+        return F.when(i > 0, F.transform(free, lambda d: F.struct(d.alias("day"), nothing.alias("first"), F.when(F.abs(d - x["day"]) <= NEAR_DAYS, hit).alias("near"), hit.alias("far"), F.lit(None).cast(partners.schema["partner"].dataType).alias("some"))))
+
+    days = F.array(start) if len(dates) < 2 else F.concat(F.array(start), F.flatten(F.filter(F.transform("_given", later), lambda x: x.isNotNull())))
+    keys = F.array_compact(F.array(*[_key(k, F.unix_date("birth_date")) for k in kinds]))
+    return e.select("sex", keys.alias("_keys"), F.inline(days)).select("sex", F.inline("_keys"), "day", "first", "near", "far", "some")
+
+
+def _probe(cases: DataFrame, kinds: dict[str, dict[str, int]], points: int) -> DataFrame:
+    """Keys a case looks up, with the points they give besides the date."""
+    birth, rows = F.unix_date("birth_date"), []
+    sex = F.when(F.col("sex") != "", SEX).otherwise(0)
+    for kind, relations in kinds.items():
+        for rel, base in relations.items():
+            for shift in {"near": (-1, 1)}.get(rel, (0,)):
+                b = birth + shift
+                if kind == "birth" and shift:  # without a common place the birth years have to agree
+                    b = F.when(F.year(F.date_from_unix_date(b)) == F.year("birth_date"), b)
+                key = _key(kind, b)
+                rows.append(F.when(key.isNotNull() & (F.lit(base + NEAR) + sex >= points), F.struct(
+                    F.lit(kind).alias("kind"), key["b"].alias("b"), key["place"].alias("place"), F.lit(rel).alias("rel"), (F.lit(base) + sex).alias("base"))))
+    day = F.coalesce(F.unix_date("event_date"), F.lit(_NO_DAY))
+    return cases.select("case_id", "sex", day.alias("day"), F.inline(F.array_compact(F.array(*rows))))
+
+
+def _lookup(rows: DataFrame, probe: DataFrame) -> DataFrame:
+    """Smallest partner of every probed key: near its day, less near, on any day."""
+    asked = probe.select(*_KEY, "day", F.lit(1).alias("q"))
+    u = rows.withColumn("q", F.lit(0)).unionByName(asked, allowMissingColumns=True)
+    g = u.groupBy(*_KEY, "day").agg(*[F.min(c).alias(c) for c in ("first", "near", "far", "some")], F.max("q").alias("q"))
+    key = W.partitionBy(*_KEY)
+    within = lambda r: F.min("first").over(key.orderBy("day").rangeBetween(-r, r))
+    hits = g.select(*_KEY, "day", "q", F.least(within(NEAR_DAYS), "near").alias("near"), F.least(within(FAR_DAYS), "far").alias("far"), F.min("some").over(key).alias("some"))
+    return hits.filter((F.col("q") == 1) & F.col("some").isNotNull()).drop("q")
+
+
+def _outcome(points: int, dates: Sequence[str]) -> Column:
+    """The best a probed key gives: score, partner and reasons, or null."""
+    shared = [F.when(F.col("rel") == "same", "birth_date").when(F.col("rel") == "near", "birth_date_near"), F.when(F.col("sex") != "", "sex"),
+              F.when(F.col("kind").isin("full", "place"), "municipality")]
+
+    def step(add: int, hit: str, label: Column | None) -> Column:
+        total = F.least(F.col("base") + add, F.lit(CAP))
+        partner = F.col(hit) if label is None else F.col(f"{hit}.partner")
+        di = F.lit(None).cast("string") if label is None else label
+        return F.when(F.col(hit).isNotNull() & (total >= points), F.struct(total.alias("points"), partner.alias("partner"), F.concat_ws(";", *shared, di).alias("reasons")))
+
+    date_of = lambda hit, days: F.concat(F.get(F.array(*[F.lit(d) for d in dates]), F.col(f"{hit}.di")), F.lit(f"_{days}d")) if dates else F.lit(None).cast("string")
+    return F.coalesce(step(NEAR, "near", date_of("near", NEAR_DAYS)), step(FAR, "far", date_of("far", FAR_DAYS)), step(0, "some", None))
+
+
+def link_best(cases: DataFrame, partners: DataFrame, min_score: float = 0.55, key: str = "exam_id") -> DataFrame:
     """JN9 + JN11: the best partner of every case with at least min_score.
 
-    Order: score, then the smallest exam id. cases: case_id, notification, birth_date, sex, code6,
-    event_date; exams: exam_id, notification, birth_date, sex, code6 and the dates of DATES.
+    Order: score, then the smallest partner id. cases: case_id, notification, birth_date, sex, code6,
+    event_date; partners: the key column, notification, birth_date, sex, code6 and any of the dates of DATES.
     """
     cols = ["notification", "birth_date", "sex", "code6"]
+    dates = [d for d in DATES if d in partners.columns]
     c = fold(cases.select("case_id", *cols, "event_date").withColumn("sex", F.coalesce("sex", F.lit(""))))  # each side is derived once
-    have = [d if d in exams.columns else F.lit(None).cast("date").alias(d) for d in DATES]
-    e = fold(exams.select("exam_id", *cols, *have).withColumn("sex", F.coalesce("sex", F.lit(""))))
-    out = ["case_id", "points", "exam_id", "reasons"]
+    e = fold(partners.select(F.col(key).alias("partner"), *cols, *dates).withColumn("sex", F.coalesce("sex", F.lit(""))))
 
-    # shared number: one exam per number
-    num = e.select(_known("notification").alias("_n"), "exam_id").filter(F.col("_n").isNotNull()).groupBy("_n").agg(F.min("exam_id").alias("exam_id"))
+    # shared number: one partner per number
+    num = e.select(_known("notification").alias("_n"), "partner").filter(F.col("_n").isNotNull()).groupBy("_n").agg(F.min("partner").alias("partner"))
     exact = c.select("case_id", _known("notification").alias("_n")).join(num, "_n").select(
-        "case_id", F.lit(100).alias("points"), "exam_id", F.lit("notification").alias("reasons"))
+        "case_id", F.struct(F.lit(100).alias("points"), "partner", F.lit("notification").alias("reasons")).alias("best"))
 
     points = round(min_score * 100)
-    tiers = _tiers(points)
-    probe = _probe(c, tiers, 0)
-    hit = probe.join(_lookup(e, probe, tiers, 0), _KEY)
-    found = [exact.select(*out), hit.select("case_id", "points", F.col("_hit.exam_id").alias("exam_id"), _reasons(tiers, 0).alias("reasons"))]
-    return best_match(found[0].unionByName(found[1]).withColumn("score", F.col("points") / 100.0))
+    kinds = _kinds(points)
+    found = exact
+    if kinds:
+        probe = _probe(c, kinds, points)
+        hits = probe.join(_lookup(_partner_rows(e, dates, list(kinds)), probe), [*_KEY, "day"])
+        found = exact.unionByName(hits.select("case_id", _outcome(points, dates).alias("best")).filter("best is not null"))
+    links = found.select("case_id", F.col("best.partner").alias(key), (F.col("best.points") / 100.0).alias("score"), F.col("best.reasons").alias("reasons"))
+    return best_match(links, key)
 
 
-def best_match(links: DataFrame) -> DataFrame:
-    """JN11: one partner per case: highest score, then smallest exam id (merged before the shuffle)."""
-    b = links.groupBy("case_id").agg(F.min(F.struct((-F.col("score")).alias("s"), "exam_id", "reasons")).alias("_b"))
-    return b.select("case_id", F.col("_b.exam_id").alias("exam_id"), (-F.col("_b.s")).alias("score"), F.col("_b.reasons").alias("reasons"))
+def link_deaths(cases: DataFrame, deaths: DataFrame, min_score: float = 0.55) -> DataFrame:
+    """JN9 for the mortality register: the best death record per case with its evidence (cause and date).
+
+    deaths: death_id, notification, birth_date, sex, code6, death_date, cause. A link without a death date
+    and without a compatible cause is kept here; `death_union` decides what counts.
+    """
+    links = link_best(cases, deaths, min_score, "death_id")
+    own = deaths.groupBy("death_id").agg(F.min(F.struct("death_date", "cause")).alias("_d"))
+    return links.join(own, "death_id").select("case_id", "death_id", "score", "reasons", F.col("_d.death_date").alias("death_date"), F.col("_d.cause").alias("cause"))
+
+
+def best_match(links: DataFrame, key: str = "exam_id") -> DataFrame:
+    """JN11: one partner per case: highest score, then smallest id (merged before the shuffle)."""
+    b = links.groupBy("case_id").agg(F.min(F.struct((-F.col("score")).alias("s"), key, "reasons")).alias("_b"))
+    return b.select("case_id", F.col("_b")[key].alias(key), (-F.col("_b.s")).alias("score"), F.col("_b.reasons").alias("reasons"))
 
 
 def enrich(cases: DataFrame, links: DataFrame, min_score: float = 0.75, prefix: str = "lab", fields: Sequence[str] = ("method", "result")) -> DataFrame:
@@ -208,6 +209,13 @@ def enrich(cases: DataFrame, links: DataFrame, min_score: float = 0.75, prefix:
         **{f"{prefix}_{f}": best[f] for f in fields}}).drop("_no", "_id", "_b1", "_b2")
 
 
+def attach_deaths(cases: DataFrame, links: DataFrame, min_score: float = 0.75) -> DataFrame:
+    """JN12 for deaths: match flag, score, cause and date of the linked death record on the case, then AG46."""
+    good = links.filter(F.col("score") >= min_score).select(F.col("case_id").alias("_id"), F.col("score").alias("sim_score"), F.col("cause").alias("sim_icd"), F.col("death_date").alias("sim_death_date"))
+    j = cases.join(good, F.col("case_id") == F.col("_id"), "left").withColumn("sim_match", F.col("_id").isNotNull().cast("int")).drop("_id")
+    return death_union(j)
+
+
 def death_union(df: DataFrame, match: str = "sim_match", date: str = "sim_death_date", icd: str = "sim_icd") -> DataFrame:
     """AG46: a matched death counts only with evidence: a death date or a compatible cause."""
     m = F.coalesce(F.col(match), F.lit(0)) == 1

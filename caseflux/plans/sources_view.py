@@ -73,6 +73,34 @@ ex AS (
   FROM exams WHERE ln <= 5)"""
 
 
+def deaths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mortality register: a returned line item is a death record of the order's person, some without date, cause or place."""
+    li, o, p, t = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders"), people(spark, sf_dir), territory(spark, sf_dir)
+    j = li.filter("l_returnflag = 'R'").join(o.select("o_orderkey", "o_custkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey")).join(
+        p, F.col("o_custkey") == F.col("c_custkey")).join(t, F.col("c_nationkey") == F.col("n_nationkey"))
+    n = F.col("l_linenumber")
+    return j.select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("death_id"),
+        F.when(n == 3, F.col("l_orderkey").cast("string")).alias("notification"),
+        F.date_add("birth_date", F.when(n == 7, 1).otherwise(0)).alias("birth_date"), "sex_raw",
+        F.when(n != 6, F.substring("code_raw", 1, 6)).alias("code6"),
+        F.when(F.col("l_linestatus") == "F", F.date_add(F.to_date("o_orderdate"), F.col("l_quantity").cast("int") - 5)).alias("death_date"),
+        F.when(n == 1, "A39.0").when(n == 2, "G00.9").when(n == 3, "I21.0").when(n == 4, "J18.9").alias("cause"),
+    )
+
+
+DEATHS_CTE = """
+deaths AS (
+  SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS death_id,
+    CASE WHEN l_linenumber = 3 THEN CAST(l_orderkey AS VARCHAR) END AS notification,
+    birth_date + CASE WHEN l_linenumber = 7 THEN 1 ELSE 0 END AS birth_date, sex_raw,
+    CASE WHEN l_linenumber <> 6 THEN '51' || lpad(CAST(n_nationkey AS VARCHAR), 4, '0') END AS code6,
+    CASE WHEN l_linestatus = 'F' THEN CAST(o_orderdate AS DATE) + CAST(l_quantity AS INTEGER) - 5 END AS death_date,
+    CASE l_linenumber WHEN 1 THEN 'A39.0' WHEN 2 THEN 'G00.9' WHEN 3 THEN 'I21.0' WHEN 4 THEN 'J18.9' END AS cause
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN people ON o_custkey = c_custkey
+  JOIN nation ON c_nationkey = n_nationkey WHERE l_returnflag = 'R')"""
+
+
 def climate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Station readings: the event stream by day and type; values are the measurements."""
     e = table(spark, sf_dir, "events")

@@ -62,3 +62,49 @@ def test_best_partner(spark, seed, hot, floor):
     e = spark.createDataFrame(exams, "exam_id string, notification string, birth_date date, sex string, code6 string, collected_date date, released_date date")
     got = {r["case_id"]: (r["exam_id"], round(r["score"], 2)) for r in L.link_best(c, e, floor).collect()}
     assert got == brute(cases, exams, round(floor * 100))
+
+
+def test_third_date_counts_where_the_first_two_are_far(spark):
+    """Any number of dates: the first one within 45 days gives the points and its name."""
+    r = random.Random(9)
+    cases = [(i, None, BASE, "M", "510001", day(r.randrange(200))) for i in range(40)]
+    pool = [(f"e{j:03d}", None, r.choice([BASE, day(1), day(40)]), r.choice(["M", "F"]), r.choice(["510001", "510002", None]), *[day(r.choice([None, r.randrange(200)])) for _ in range(3)]) for j in range(60)]
+    want = {}
+    for cid, _, b, s, p, ev in cases:
+        best = None
+        for eid, _, eb, es, ep, *dates in pool:
+            if s != es or not (b.year == eb.year or p == ep):
+                continue
+            pts, label = 15 + (45 if b == eb else 30 if abs((b - eb).days) == 1 else 0) + (25 if p == ep else 0), None
+            for name, d in zip(L.DATES, dates):
+                gap = abs((ev - d).days) if d else 99
+                if gap <= 45:
+                    pts, label = pts + (15 if gap <= 15 else 8), f"{name}_{15 if gap <= 15 else 45}d"
+                    break
+            pts = min(pts, 99)
+            if pts >= 55 and (best is None or (-pts, eid) < best[:2]):
+                best = (-pts, eid, label)
+        if best:
+            want[cid] = (best[1], -best[0] / 100, best[2])
+    cols = "notification string, birth_date date, sex string, code6 string"
+    c = spark.createDataFrame(cases, f"case_id int, {cols}, event_date date")
+    e = spark.createDataFrame(pool, f"exam_id string, {cols}, collected_date date, released_date date, death_date date")
+    got = {x["case_id"]: (x["exam_id"], round(x["score"], 2), next((w for w in x["reasons"].split(";") if w.endswith("5d")), None)) for x in L.link_best(c, e).collect()}
+    assert got == want and any(v[2] and v[2].startswith("death_date") for v in want.values())
+
+
+def test_deaths_count_with_evidence_only(spark):
+    cols = "notification string, birth_date date, sex string, code6 string"
+    born = [dt.date(1950 + i, 3, 1) for i in range(6)]
+    c = spark.createDataFrame([(i, str(i), born[i], "F", "510001", day(50), 0) for i in range(6)], f"case_id int, {cols}, event_date date, death int")
+    deaths = [("d0", None, born[0], "F", "510001", day(60), "A39.0"), ("d1", None, born[1], "F", "510001", day(60), None), ("d2", "2", None, "", None, None, "I21.0"),
+              ("d3", None, born[3], "F", "510001", None, "G00.9"), ("d4", None, born[4], "M", None, day(50), "A39.0"), ("d5a", None, born[5], "F", "510001", day(300), None), ("d5b", None, born[5], "F", "510001", day(60), None)]
+    d = spark.createDataFrame(deaths, f"death_id string, {cols}, death_date date, cause string")
+    links = L.link_deaths(c, d)
+    got = {x["case_id"]: (x["death_id"], round(x["score"], 2), x["death_date"], x["cause"]) for x in links.collect()}
+    assert got == {0: ("d0", 0.99, day(60), "A39.0"), 1: ("d1", 0.99, day(60), None), 2: ("d2", 1.0, None, "I21.0"), 3: ("d3", 0.85, None, "G00.9"), 4: ("d0", 0.55, day(60), "A39.0"), 5: ("d5b", 0.99, day(60), None)}
+    u = {x["case_id"]: (x["sim_match"], x["death_linked"], x["death_reason"]) for x in L.attach_deaths(c, links).collect()}
+    assert u == {0: (1, 1, "data_obito+cid_meningite"), 1: (1, 1, "data_obito"), 2: (1, 0, "match_sem_evidencia_obito"), 3: (1, 1, "cid_meningite"), 4: (0, 0, "sem_match_sim"), 5: (1, 1, "data_obito")}
+    s = L.death_summary(L.attach_deaths(c, links)).first()
+    assert (s["matches"], s["deaths_linked"], s["matches_without_evidence"], s["deaths_union"]) == (5, 4, 1, 4)
+    assert L.link_deaths(c, d.limit(0)).count() == 0 and L.link_deaths(c.limit(0), d).count() == 0
