@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ..operators import forecast as P
 from ..operators import nowcast as N
 from ..operators import series as T
-from ..operators.filters import latest
+from ..operators.filters import fold, latest
 from ..plans import cases as C
 from .q_expressions import CASES
 from .registry import query
@@ -202,9 +202,35 @@ def _(s, d):
     return P.daily_members(daily(s, d), 60).filter(F.col("member") == "ar1").select("outcome", "horizon", "pred")
 
 
+@query("md20_ensemble_all")
+def _(s, d):
+    """Closed-form and machine-learning members; the band from 60 held-out days."""
+    days = fold(daily(s, d))
+    return P.ensemble_with_holdout(P.all_members(days, 60, trees=20), P.holdout_error(days, 60, trees=20))
+
+
 @query("md21_ml_members")
 def _(s, d):
-    return P.ml_members(daily(s, d), 15, "outcome", "cases", trees=20)
+    return P.ml_members(fold(daily(s, d)), 60, trees=20)
+
+
+_PAST = ", ".join(f"v[len(v) - h - {i}] AS lag{i}" for i in range(P.LAGS))
+_CAL = "CAST(isodow(date) - 1 AS DOUBLE) AS dow, CAST(month(date) AS DOUBLE) AS month, CAST(dayofyear(date) AS DOUBLE) AS doy"
+_MEANS = ", ".join(f"({' + '.join(f'lag{i}' for i in range(n))}) / {n} AS mean{n}" for n in (7, 14))
+
+
+@query("md21_training_rows", CASES + DAILY + f""", pv AS (SELECT outcome, date, y, list(y) OVER (PARTITION BY outcome ORDER BY date ROWS BETWEEN 73 PRECEDING AND CURRENT ROW) AS v FROM ds),
+tr AS (SELECT outcome, date, y, CAST(h AS DOUBLE) AS step, {_PAST} FROM pv, (SELECT unnest({list(P.STEPS)}) AS h) WHERE len(v) >= h + 14)
+SELECT * REPLACE (date::VARCHAR AS date), {_MEANS}, {_CAL} FROM tr""", "mean7 mean14")
+def _(s, d):
+    return P.direct_rows(daily(s, d))
+
+
+@query("md21_future_rows", CASES + DAILY + f""", pv AS (SELECT outcome, max(date) AS last, list(y ORDER BY date) AS v FROM ds GROUP BY 1),
+fr AS (SELECT outcome, CAST(k AS INTEGER) AS horizon, (last + CAST(k AS INTEGER))::DATE AS date, CAST(k AS DOUBLE) AS step, {_PAST} FROM (SELECT *, 0 AS h FROM pv), (SELECT unnest(range(1, 61)) AS k))
+SELECT * REPLACE (date::VARCHAR AS date), {_MEANS}, {_CAL} FROM fr""", "mean7 mean14")
+def _(s, d):
+    return P.future_rows(daily(s, d), 60)
 
 
 @query("ag53_week_summary", CASES + STRATA + f""", rf AS (SELECT stratum, coalesce(max(monday) FILTER (WHERE observed > 0), max(monday)) AS monday FROM nc GROUP BY 1), r AS (SELECT * FROM rf JOIN nc USING (stratum, monday)),

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -122,32 +122,85 @@ def daily_members(daily: DataFrame, horizon: int, keys: Sequence[str] = ("outcom
     return x.select(*keys, "horizon", F.date_add("_last", F.col("horizon")).alias("date"), "resid_sd", F.inline(rows))
 
 
-def ml_members(daily: DataFrame, horizon: int, key: str, value: str, date: str = "date", lags: int = 14, seed: int = 17, trees: int = 50) -> DataFrame:
-    """MD21: random forest, boosted trees and Poisson regression on lags that are known at every day ahead."""
-    from pyspark.ml.feature import VectorAssembler
+STEPS, LAGS = (1, 7, 15, 30, 45, 60), 14
+ML_FEATURES = [*[f"lag{i}" for i in range(LAGS)], "mean7", "mean14", "step", "dow", "month", "doy"]
+
+
+def _features(rows: DataFrame, origin: Column, date: str) -> DataFrame:
+    """Lags and means of the LAGS values that end at `origin` places before the end of `_past`, and calendar columns."""
+    lag = lambda i: F.element_at("_past", -(origin + i + 1))
+    known = rows.filter(F.size("_past") >= origin + LAGS).withColumns({f"lag{i}": lag(i) for i in range(LAGS)})
+    mean = lambda n: sum((F.col(f"lag{i}") for i in range(1, n)), F.col("lag0")) / n
+    return known.withColumns({"mean7": mean(7), "mean14": mean(14), "dow": F.weekday(date).cast("double"), "month": F.month(date).cast("double"), "doy": F.dayofyear(date).cast("double")}).drop("_past")
+
+
+def direct_rows(daily: DataFrame, steps: Sequence[int] = STEPS, keys: Sequence[str] = ("outcome",), date: str = "date") -> DataFrame:
+    """MD21: training rows of a direct forecast: a day's value, a step, and the LAGS values known that many days before.
+
+    All series are trained together; the step is a feature, so one model serves every day ahead without recursion.
+    """
+    w = W.partitionBy(*keys).orderBy(date).rowsBetween(-(max(steps) + LAGS - 1), 0)
+    x = daily.select(*keys, date, F.col("y").cast("double").alias("y"), F.collect_list(F.col("y").cast("double")).over(w).alias("_past"))
+    x = x.withColumn("step", F.explode(F.array(*[F.lit(h) for h in steps])))
+    return _features(x, F.col("step"), date).withColumn("step", F.col("step").cast("double"))
+
+
+def future_rows(daily: DataFrame, horizon: int, keys: Sequence[str] = ("outcome",), date: str = "date") -> DataFrame:
+    """MD21: the rows to forecast: every day ahead with the last LAGS values of its series."""
+    back = W.partitionBy(*keys).orderBy(F.col(date).desc())
+    tail = daily.withColumn("_rn", F.row_number().over(back)).filter(F.col("_rn") <= LAGS)
+    past = F.transform(F.sort_array(F.collect_list(F.struct(F.col(date).alias("d"), F.col("y").cast("double").alias("y")))), lambda x: x["y"])
+    g = tail.groupBy(*keys).agg(F.max(date).alias("_last"), past.alias("_past"))
+    x = g.select(*keys, "_last", "_past", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("horizon"))
+    x = x.withColumns({date: F.date_add("_last", F.col("horizon")), "step": F.col("horizon").cast("double")}).drop("_last")
+    return _features(x, F.lit(0), date)
+
+
+def ml_members(daily: DataFrame, horizon: int, keys: Sequence[str] = ("outcome",), date: str = "date", seed: int = 17, trees: int = 50) -> DataFrame:
+    """MD21: random forest, boosted trees and Poisson regression, fitted on all series at once; forecasts of every day ahead."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import OneHotEncoder, VectorAssembler
     from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression, RandomForestRegressor
 
-    one = daily.filter(F.col(key) == value).select(date, F.col("y").cast("double").alias("y"))
-    last = one.agg(F.max(date)).scalar()
-    ahead = one.agg(F.max(date).alias("_m")).select(F.explode(F.expr(f"sequence(date_add(_m, 1), date_add(_m, {horizon}))")).alias(date)).withColumn("y", F.lit(None).cast("double"))
-    w = W.partitionBy(F.lit(0)).orderBy(date)
-    names = [f"lag{horizon + i}" for i in range(lags)]
-    f = one.unionByName(ahead).withColumns({n: F.lag("y", horizon + i).over(w) for i, n in enumerate(names)})
-    f = f.withColumns({"dow": F.weekday(date).cast("double"), "month": F.month(date).cast("double"), "doy": F.dayofyear(date).cast("double")}).dropna(subset=names)
-    v = VectorAssembler(inputCols=[*names, "dow", "month", "doy"], outputCol="features").transform(f).withColumn("_future", F.col(date) > last)
-    v = fold(v.select(date, "y", "features", "_future"))  # one row per day, read by every fit
-    train, future = v.filter(~F.col("_future")), v.filter("_future")
-    models = {"random_forest": RandomForestRegressor(labelCol="y", numTrees=trees, seed=seed, minInstancesPerNode=2),
-              "gradient_boosting": GBTRegressor(labelCol="y", maxIter=20, seed=seed),
-              "poisson": GeneralizedLinearRegression(labelCol="y", family="poisson", link="log", regParam=0.1, maxIter=50)}
+    logs = [f"log_{c}" for c in ML_FEATURES if c.startswith(("lag", "mean"))]
+    prepare = lambda df: df.withColumns({c: F.log1p(F.greatest(F.lit(0.0), c[4:])) for c in logs})
+    train, future = fold(prepare(direct_rows(daily, [h for h in STEPS if h <= max(horizon, STEPS[0])], keys, date))), prepare(future_rows(daily, horizon, keys, date))
+    whole = VectorAssembler(inputCols=ML_FEATURES, outputCol="features")
+    linear = [OneHotEncoder(inputCols=["dow"], outputCols=["day"], handleInvalid="keep"), VectorAssembler(inputCols=[*logs, "step", "day"], outputCol="features")]
+    models = {"random_forest": [whole, RandomForestRegressor(labelCol="y", numTrees=trees, seed=seed, minInstancesPerNode=2)],
+              "gradient_boosting": [whole, GBTRegressor(labelCol="y", maxIter=20, seed=seed)],
+              "poisson": [*linear, GeneralizedLinearRegression(labelCol="y", family="poisson", link="log", regParam=0.1, maxIter=50)]}
     out = None
-    for n, m in models.items():
-        p = m.fit(train).transform(future).select(F.lit(value).alias(key), F.datediff(date, last).alias("horizon"), F.col(date), F.lit(n).alias("member"),
-                                                  F.greatest(F.lit(0.0), "prediction").alias("pred"))
+    for n, stages in models.items():
+        p = Pipeline(stages=stages).fit(train).transform(future).select(*keys, "horizon", F.col(date), F.lit(n).alias("member"), F.greatest(F.lit(0.0), "prediction").alias("pred"))
         out = p if out is None else out.unionByName(p)
     return out
 
 
+def all_members(daily: DataFrame, horizon: int, keys: Sequence[str] = ("outcome",), date: str = "date", trees: int = 50) -> DataFrame:
+    """MD20: closed-form and machine-learning members in one table."""
+    return daily_members(daily, horizon, keys, date).unionByName(ml_members(daily, horizon, keys, date, trees=trees), allowMissingColumns=True)
+
+
+def holdout_error(daily: DataFrame, horizon: int, keys: Sequence[str] = ("outcome",), date: str = "date", trees: int = 50) -> DataFrame:
+    """MD20: root mean square error of the ensemble mean on the last `horizon` days, forecast from the days before, up to each step of STEPS."""
+    last = W.partitionBy(*keys)
+    d = daily.withColumn("_cut", F.date_sub(F.max(date).over(last), horizon))
+    seen = fold(d.filter(F.col(date) <= F.col("_cut")).drop("_cut"))
+    mean = all_members(seen, horizon, keys, date, trees).groupBy(*keys, "horizon", date).agg(F.avg("pred").alias("pred"))
+    miss = mean.join(daily.select(*keys, date, F.col("y").cast("double").alias("y")), [*keys, date])
+    upto = miss.select(*keys, F.explode(F.array(*[F.lit(h) for h in STEPS[1:] if h <= horizon])).alias("upto"), "horizon", F.pow(F.col("pred") - F.col("y"), 2).alias("e")).filter(F.col("horizon") <= F.col("upto"))
+    return upto.groupBy(*keys, "upto").agg(F.sqrt(F.avg("e")).alias("rmse"), F.count(F.lit(1)).alias("days"))
+
+
+def ensemble_with_holdout(members: DataFrame, errors: DataFrame, keys: Sequence[str] = ("outcome",)) -> DataFrame:
+    """MD20: `ensemble_daily` whose band takes the error seen on held-out days in place of the recent spread of the series."""
+    m = members.drop("resid_sd")
+    step = m.select(*keys, "horizon").distinct().join(errors, list(keys)).filter(F.col("upto") >= F.col("horizon"))
+    first = step.groupBy(*keys, "horizon").agg(F.min(F.struct("upto", "rmse"))["rmse"].alias("resid_sd"))
+    return ensemble_daily(m.join(first, [*keys, "horizon"], "left"), keys)
+
+
 def ensemble_daily(members: DataFrame, keys: Sequence[str] = ("outcome",)) -> DataFrame:
     """MD20: mean of the members, band from their spread and the recent residual, and member quantiles."""
     g = members.groupBy(*keys, "horizon", "date").agg(
