@@ -37,6 +37,15 @@ def letters(raw: bytes) -> str:
     return raw.decode("latin-1").translate(_LETTER)
 
 
+def one_word(model, chunk: str) -> list[int] | None:
+    """Ids of a chunk that is one match of the pattern, Latin letters with or without a blank, else None."""
+    w = chunk[1:] if chunk[:1] == " " else chunk
+    if not w.isalpha() or not (plain := w.isascii()) and max(w) > "ɏ":
+        return None
+    word = w if plain else letters(w.encode())
+    return [t.id for t in model.tokenize(word if len(w) == len(chunk) else _LETTER[32] + word)]
+
+
 class ByteBPE:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         from tokenizers import Regex, Tokenizer, models, pre_tokenizers
@@ -54,21 +63,14 @@ class ByteBPE:
         self.model = models.BPE(vocab=vocab, merges=merges, ignore_merges=True)
         self.tokenizer = Tokenizer(self.model)
         self.tokenizer.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(Regex(pattern), "isolated"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-        self.memo = Memo(self._learn, self._clear)
+        self.memo = Memo(self._learn, self._clear, 600_000)
 
     def _clear(self) -> None:
         self.ids = Ragged(np.int32)
 
-    def _chunk(self, c: str) -> list[int] | None:
-        """Ids of a chunk that is one match of letters, else None."""
-        w = c[1:] if c[:1] == " " else c
-        if w.isascii() and w.isalpha():
-            return [t.id for t in self.model.tokenize(letters(c.encode()))]
-        return None
-
     def _learn(self, new: list) -> None:
         texts = [spelled(c) for c in new]
-        ids: list = [self._chunk(t) for t in texts]
+        ids: list = [one_word(self.model, t) for t in texts]
         rest = [k for k, i in enumerate(ids) if i is None]
         encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
         for lo in range(0, len(rest), 5_000):
@@ -79,7 +81,7 @@ class ByteBPE:
 
     def encode(self, texts: list[str]):
         """Yields (rows, ids of their parts one after the other, number of ids per part); long texts have several parts."""
-        for rows, held in parts(texts):
+        for rows, held in parts(texts, stops=True):
             which = self.memo.numbers([c for x in held for c in x])
             ids, count = self.ids.gather(which)
             upto = np.concatenate(([0], np.cumsum(count)))
