@@ -22,18 +22,21 @@ import hashlib
 import re
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .chunk_memo import Memo, Ragged, parts
+from .byte_bpe import one_word
+from .chunk_memo import Memo, Ragged, parts, spelled
 from .common import settle
 from .packing import _LETTER
 
 BLOCK = 4_000_000  # characters of text whose id pairs are named together; a longer text is a block of its own
 _SHIFT = 32  # an id pair is a << 32 | b
+_LETTER_STOP = re.compile(r"[a-zß-öø-ÿ][.,]")
 _BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>\Z")
 
 
@@ -100,6 +103,13 @@ def shared_group(a_ends: np.ndarray, b_ends: np.ndarray, common: np.ndarray) ->
 
 
 # --- the two tokenizers over chunks --------------------------------------------------------------
+def _table(raw: list[bytes]) -> Ragged:
+    """The bytes of each id."""
+    out = Ragged(np.uint8)
+    out.append(np.frombuffer(b"".join(raw), np.uint8), np.array([len(x) for x in raw], np.int64))
+    return out
+
+
 class ByteLetters:
     """A: a byte-level vocabulary of the tokenizers library."""
 
@@ -109,21 +119,17 @@ class ByteLetters:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         byte = {c: b for b, c in _LETTER.items()}
-        self.size = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
-        raw = [b""] * len(self.size)
+        raw = [b""] * self.tokenizer.get_vocab_size()
         for word, i in self.tokenizer.get_vocab().items():
             raw[i] = bytes(byte[c] for c in word) if all(c in byte for c in word) else word.encode()
-            self.size[i] = len(raw[i])
-        self.raw = raw
-
-    def ids(self, words: list[str]) -> list[list[int]]:
-        out: list = []
-        for w in words:
-            plain = w.isascii() and w.isalpha()
-            out.append([t.id for t in self.tokenizer.model.tokenize(_LETTER[32] + w)] if plain else None)
+        self.bytes = _table(raw)
+
+    def ids(self, chunks: list[str]) -> list[list[int]]:
+        model = self.tokenizer.model
+        out: list = [one_word(model, c) for c in chunks]
         rest = [k for k, i in enumerate(out) if i is None]
         encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        for k, e in zip(rest, encode([" " + words[k] for k in rest], add_special_tokens=False), strict=True):
+        for k, e in zip(rest, encode([chunks[k] for k in rest], add_special_tokens=False), strict=True):
             out[k] = e.ids
         return out
 
@@ -136,11 +142,13 @@ class BytePieces:
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
-        self.raw = [bytes([int(m[1], 16)]) if self.model.is_byte(i) and (m := _BYTE_PIECE.match(p)) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
-        self.size = np.array([len(x) for x in self.raw], np.int64)
+        self.bytes = _table([bytes([int(m[1], 16)]) if self.model.is_byte(i) and (m := _BYTE_PIECE.match(p)) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)])
+        self.stops = not any(_LETTER_STOP.search(p) for p in pieces)  # no piece joins a letter and a stop: a cut between them is exact
+        self.stem = len(self.model.encode("a"))
 
-    def ids(self, words: list[str]) -> list[list[int]]:
-        return self.model.encode(words, num_threads=1)
+    def ids(self, chunks: list[str]) -> list[list[int]]:
+        out = self.model.encode([c[1:] if c[:1] == " " else "a" + c for c in chunks], num_threads=1)
+        return [i if c[:1] == " " else i[self.stem:] for c, i in zip(chunks, out, strict=True)]
 
 
 class Aligner:
@@ -148,46 +156,74 @@ class Aligner:
 
     def __init__(self, a_path: str, b_path: str):
         self.a, self.b = ByteLetters(a_path), BytePieces(b_path)
-        self.memo = Memo(self._learn, self._clear)
+        self.top = max(len(self.a.bytes.size), len(self.b.bytes.size))
+        decimal = list(map(str, range(self.top)))
+        self.said = [d + mark for mark in ",|;" for d in decimal]
+        self.said_size = np.array([len(d) + 1 for d in decimal])
+        self.memo = Memo(self._learn, self._clear, 400_000)
 
     def _clear(self) -> None:
         self.links = Ragged(np.int64)
         self.groups: list[str | None] = []  # None: one tokenizer does not give the chunk back
-        self.counts = np.zeros((4, 0), np.int64)  # tokens of A, of B, groups, shared-group links
-
-    def tokens(self, words: list[str]) -> tuple[list, list, list]:
-        """Ids of A and B per chunk, and the chunks whose bytes both give back."""
-        a, b = self.a.ids(words), self.b.ids(words)
-        ok = []
-        for w, x, y in zip(words, a, b, strict=True):
-            want = (" " + w).encode()
-            ok.append(b"".join(map(self.a.raw.__getitem__, x)) == want and b"".join(map(self.b.raw.__getitem__, y)) == want)
-        return a, b, ok
+        self.counts: list[np.ndarray] = []  # tokens of A, of B, groups, shared-group links
+        self.frozen = None
+
+    def tokens(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of A and B of all chunks in a row, tokens of A and B per chunk, and the chunks both give back byte by byte.
+        The ids of the other chunks are left out."""
+        raw = [c.encode() for c in chunks]
+        width = np.fromiter(map(len, raw), np.int64, len(raw))
+        flat, count = [], []
+        ok = np.ones(len(raw), bool)
+        for side in (self.a, self.b):
+            ids = side.ids(chunks)
+            count.append(np.fromiter(map(len, ids), np.int64, len(ids)))
+            flat.append(np.fromiter(chain.from_iterable(ids), np.int64, int(count[-1].sum())))
+            ok &= _sums(side.bytes.size[flat[-1]], count[-1]) == width
+        want = np.frombuffer(b"".join(raw), np.uint8)
+        for side, ids, n in zip((self.a, self.b), flat, count, strict=True):  # of equal length, so bytes lie side by side
+            got, _ = side.bytes.gather(ids[np.repeat(ok, n)])
+            ok[ok] = _sums(got != want[np.repeat(ok, width)], width[ok]) == 0
+        kept = [ids[np.repeat(ok, n)] for ids, n in zip(flat, count, strict=True)]
+        return *kept, *(np.where(ok, n, 0) for n in count), ok
 
     def _learn(self, new: list) -> None:
-        a, b, ok = self.tokens(new)
-        flat_a, flat_b = (np.fromiter((i for x, o in zip(t, ok, strict=True) if o for i in x), np.int64) for t in (a, b))
-        n = np.array([[len(x) if o else 0, len(y) if o else 0] for x, y, o in zip(a, b, ok, strict=True)], np.int64).T.reshape(2, -1)
-        ends_a, ends_b = np.cumsum(self.a.size[flat_a]), np.cumsum(self.b.size[flat_b])
-        width = int(ends_a[-1]) if len(ends_a) else 0
+        flat_a, flat_b, n_a, n_b, ok = self.tokens([spelled(c) for c in new])
+        ends_a, ends_b = np.cumsum(self.a.bytes.size[flat_a]), np.cumsum(self.b.bytes.size[flat_b])
         common = np.intersect1d(ends_a, ends_b, assume_unique=True)
-        link = overlaps(ends_a, ends_b, width)
+        link = overlaps(ends_a, ends_b, int(ends_a[-1]) if len(ends_a) else 0)
         group_a, group_b = shared_group(ends_a, ends_b, common)
-        shared = row_sizes(group_a, group_b)
-        last_a = np.cumsum(n[0])  # tokens of A up to each chunk's end
-        group_of = np.concatenate(([0], group_a.col + 1))
-        upto = group_of[last_a]
-        self.counts = np.concatenate((self.counts, np.stack((n[0], n[1], np.diff(upto, prepend=0), np.diff(np.concatenate(([0], np.cumsum(shared)))[last_a], prepend=0)))), axis=1)
-        pairs = (flat_a[link.rows] << _SHIFT) | flat_b[link.col]
-        self.links.append(pairs, np.diff(link.ptr[last_a], prepend=0))
-        cut_a = np.searchsorted(group_a.col, np.arange(len(common) + 1)).tolist()
-        cut_b = group_b.ptr.tolist()
-        said_a, said_b = list(map(str, flat_a.tolist())), list(map(str, flat_b.tolist()))
-        said = [",".join(said_a[cut_a[g]:cut_a[g + 1]]) + "|" + ",".join(said_b[cut_b[g]:cut_b[g + 1]]) for g in range(len(common))]
-        lo = 0
-        for hi, o in zip(upto.tolist(), ok, strict=True):
-            self.groups.append(";".join(said[lo:hi]) if o else None)
-            lo = hi
+        last_a = np.cumsum(n_a)  # tokens of A up to each chunk's end
+        upto = np.concatenate(([0], group_a.col + 1))[last_a]
+        shared = np.concatenate(([0], np.cumsum(row_sizes(group_a, group_b))))[last_a]
+        self.counts.append(np.stack((n_a, n_b, np.diff(upto, prepend=0), np.diff(shared, prepend=0))))
+        self.frozen = None
+        self.links.append((flat_a[link.rows] << _SHIFT) | flat_b[link.col], np.diff(link.ptr[last_a], prepend=0))
+        # tokens group by group, those of A before those of B, each with the mark that follows it
+        group = np.concatenate((group_a.col, np.repeat(np.arange(len(common)), np.diff(group_b.ptr))))
+        side = np.repeat([0, 1], [len(flat_a), len(flat_b)])
+        order = np.argsort(group * 2 + side, kind="stable")
+        ids, group, side = np.concatenate((flat_a, flat_b))[order], group[order], side[order]
+        last = np.append((group[1:] != group[:-1]) | (side[1:] != side[:-1]), True)[: len(ids)]
+        mark = np.where(last, side + 1, 0)
+        said = "".join(map(self.said.__getitem__, (mark * self.top + ids).tolist()))
+        size = np.cumsum(self.said_size[ids])
+        hi = np.concatenate(([0], size))[np.cumsum(n_a + n_b)].tolist()  # a chunk's groups are its own
+        self.groups.extend(said[lo:max(lo, up - 1)] if o else None for lo, up, o in zip([0, *hi], hi, ok.tolist(), strict=False))
+
+    def count_of(self, which: np.ndarray) -> np.ndarray:
+        """Tokens of A, of B, groups and shared-group links of the chunks together."""
+        if self.frozen is None:
+            self.frozen = np.concatenate(self.counts, axis=1)
+            self.counts = [self.frozen]
+        return self.frozen[:, which].sum(axis=1)
+
+
+def _sums(x: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Sums of consecutive stretches of x."""
+    c = np.concatenate(([0], np.cumsum(x)))
+    end = np.cumsum(count)
+    return c[end] - c[end - count]
 
 
 @lru_cache(maxsize=1)
@@ -263,7 +299,7 @@ def _block_rows(docs: DataFrame, a_path: str, b_path: str, block: int) -> DataFr
         number = TaskContext.get().partitionId() << 32  # a block's number is unique inside the one job that settles it
         for b in batches:
             held = _Block()
-            for rows, chunked in parts(_texts(b)):
+            for rows, chunked in parts(_texts(b), stops=al.b.stops):
                 which = al.memo.numbers([c for x in chunked for c in x])
                 ends = np.cumsum([len(x) for x in chunked])
                 pairs, n_links = al.links.gather(which)
@@ -292,7 +328,7 @@ def _block_rows(docs: DataFrame, a_path: str, b_path: str, block: int) -> DataFr
                         else:
                             first_part = not held.pairs[-1]
                             held.said[-1].update((("" if first_part else ";") + ";".join(said)).encode())
-                            held.count[-1] += np.append(al.counts[:, mine].sum(axis=1), n_links[lo:hi].sum())
+                            held.count[-1] += np.append(al.count_of(mine), n_links[lo:hi].sum())
                             held.pairs[-1].append((p[run_at[k]:run_at[k + 1]], times[run_at[k]:run_at[k + 1]]))
                             if len(held.pairs[-1]) > 8:  # a long text: its parts' pairs are merged on the way
                                 pair, at = np.unique(np.concatenate([x for x, _ in held.pairs[-1]]), return_inverse=True)
@@ -358,17 +394,16 @@ def link_rows(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
         for b in batches:
             texts = _texts(b)
             whole = {row: True for row in range(len(texts))}
-            for rows, chunked in parts(texts):  # a text is judged before its links are given
+            for rows, chunked in parts(texts, stops=al.b.stops):  # a text is judged before its links are given
                 for row, x in zip(rows, chunked, strict=True):
                     whole[row] &= all(al.groups[k] is not None for k in al.memo.numbers(x).tolist())
             at = {row: (0, 0) for row in whole}
-            for rows, chunked in parts(texts):
+            for rows, chunked in parts(texts, stops=al.b.stops):
                 for row, x in zip(rows, chunked, strict=True):
                     if not (whole[row] and x):
                         continue
-                    a, c, _ = al.tokens(x)
-                    a, c = (np.fromiter((i for y in t for i in y), np.int64) for t in (a, c))
-                    ends = [np.cumsum(s[t]) for s, t in ((al.a.size, a), (al.b.size, c))]
+                    a, c, *_ = al.tokens([spelled(k) for k in x])
+                    ends = [np.cumsum(s.bytes.size[t]) for s, t in ((al.a, a), (al.b, c))]
                     m = overlaps(*ends, int(ends[0][-1]))
                     i, j = at[row]
                     at[row] = (i + len(a), j + len(c))

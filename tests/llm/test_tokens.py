@@ -22,7 +22,7 @@ def sha(x):
     return hashlib.sha256(x if isinstance(x, bytes) else x.encode()).hexdigest()
 
 
-BITS = ["a", "the", " the", "  ", " ", "\n", "\t ", "\r\n", "  ", "é", "日本語", "😀", "'s", "don't", "12", "3.5", "--", "====", "_", "▁", "<|endoftext|>", "<0x0A>", "\x00", "\x1c ", "\u0085", "Zwölf", "banana", "анана", "ที่", "é", "�", "."]
+BITS = ["a", "the", " the", "  ", " ", "\n", "\t ", "\r\n", "  ", "é", "日本語", "😀", "'s", "don't", "12", "3.5", "--", "====", "_", "▁", "<|endoftext|>", "<0x0A>", "\x00", "\x01", " \x01.", "end.", "naïve,", "x.", "\x1c ", "\u0085", "Zwölf", "banana", "анана", "ที่", "é", "�", "."]
 
 
 def mixed(rng, n):
@@ -44,7 +44,8 @@ def test_chunks_are_exact_and_spell_the_text():
         t = mixed(rng, 40)
         assert "".join(C.spelled(c) for c in C.chunks(t)) == t
         for size in (1, 7, 10**6):
-            assert "".join(C.spelled(c) for _, held in C.parts([t], size) for x in held for c in x) == t
+            for stops in (False, True):
+                assert "".join(C.spelled(c) for _, held in C.parts([t], size, stops) for x in held for c in x) == t
 
 
 @pytest.fixture(scope="module")
@@ -250,7 +251,7 @@ def test_audit_like_brute_force(spark, monkeypatch, tile, shard):
     rows = [(i, " ".join(rng.choice(stem) for _ in range(rng.randint(0, 12))), rng.choice(["en", "fr", None]), f"s{rng.choice([0, 0, 0, 1, 2, 3, 4])}") for i in range(150)]
     rows += [(900, None, "en", "empty"), (901, "", "en", None), (902, "12 -- !", "en", "empty2"), (903, "zebra", "xx", "only"), (904, "", "xx", "other"), (905, "", "yy", "lone"), (None, "zebra", "en", "s1"), (7, "zebra", "en", "s1"), (7, "zebra", "en", "s1")]
     rows += [(906, "zebra abcdefgh " * 20_000, "en", "s0")]
-    got = S.audit(docs_of(spark, rows).repartition(3), least=6, top=4, tile=tile).collect()
+    got = S.audit(docs_of(spark, rows).repartition(3), least=6, top=4, tile=tile, block=5 if tile == 2 else S.BLOCK).collect()
     assert sorted((r.lang, r.source, r.part, r["item"], r.value, r["rank"]) for r in got) == plain_audit(rows, 6, 4)
 
 
