@@ -152,8 +152,24 @@ def _(s, d):
 
 
 PERMS = 199
-_Z = _MU + EDGES + f""", z AS (SELECT municipality AS unit, pct_death - (SELECT avg(pct_death) FROM m) AS z, row_number() OVER (ORDER BY municipality) AS pos FROM m),
-dg AS (SELECT unit, count(*) AS k FROM ed GROUP BY 1), r AS (SELECT unit AS u, rep, row_number() OVER (PARTITION BY rep ORDER BY md5(unit || '|' || rep || '|12345'), unit) AS pos FROM z, (SELECT unnest(range(1, {PERMS + 1})) AS rep))"""
+_a, _b = G.sides(25)  # of the 25 municipalities, and of the 24 others of one: both grids are full, so no cell is sent on
+_c, _d = G.sides(24)
+
+
+def _bijection(x: str, key: str, a: int, b: int) -> str:
+    """The network of `spatial.bijection` in SQL."""
+    word = lambda i: f"CAST('0x' || substr(md5({key}), {5 * i + 1}, 5) AS BIGINT)"
+    l, r = f"({x}) // {b}", f"({x}) % {b}"
+    cell = f"[{{'l': CAST({l} AS BIGINT), 'r': CAST({r} AS BIGINT)}}]"
+    for i in range(G.ROUNDS):
+        move = lambda v, i=i: f"(((c.{v} + {word(i)}) * 1103515245 + 12345) % 2147483648) // 1024"
+        step = f"{{'l': (c.l + {move('r')}) % {a}, 'r': c.r}}" if i % 2 == 0 else f"{{'l': c.l, 'r': (c.r + {move('l')}) % {b}}}"
+        cell = f"list_transform({cell}, lambda c: {step})"
+    return f"list_transform({cell}, lambda c: c.l * {b} + c.r)[1]"
+
+
+_Z = _MU + EDGES + f""", z AS (SELECT municipality AS unit, pct_death - (SELECT avg(pct_death) FROM m) AS z, row_number() OVER (ORDER BY municipality) - 1 AS pos FROM m),
+dg AS (SELECT unit, count(*) AS k FROM ed GROUP BY 1), rp AS (SELECT unnest(range(1, {PERMS + 1})) AS rep), r AS (SELECT unit AS u, rep, {_bijection('pos', "rep || '|12345'", _a, _b)} AS pos FROM z, rp)"""
 
 
 @query("md10_morans_i", CASES + _Z + f""", al AS (SELECT unit, 0 AS rep, z FROM z UNION ALL SELECT u, rep, z FROM r JOIN z USING (pos)),
@@ -166,8 +182,8 @@ def _(s, d):
 
 @query("md11_local_moran", CASES + _Z + f""", lg AS (SELECT ed.unit, avg(z) AS lag FROM ed JOIN z ON z.unit = neighbor GROUP BY 1),
 uu AS (SELECT z.unit, z.z, k, lag, 24 * z.z * lag / (SELECT sum(z * z) FROM z) AS local_i FROM z JOIN dg USING (unit) JOIN lg USING (unit)),
-dr AS (SELECT uu.unit, uu.z, uu.lag, k, r.rep, zz.z AS dz, row_number() OVER (PARTITION BY uu.unit, r.rep ORDER BY r.pos) AS rn FROM uu JOIN r ON r.pos <= k + 1 AND r.u <> uu.unit JOIN z zz ON zz.unit = r.u),
-sm AS (SELECT unit, rep, avg(dz) AS sl FROM dr WHERE rn <= k GROUP BY 1, 2), p AS (SELECT unit, count(*) FILTER (WHERE round(z * sl, 12) >= round(z * lag, 12)) AS lar FROM sm JOIN uu USING (unit) GROUP BY 1),
+sl AS (SELECT uu.unit, rep, pos, unnest(range(0, k)) AS slot FROM uu JOIN z USING (unit), rp), dw AS (SELECT unit, rep, pos, {_bijection('slot', "unit || '|' || rep || '|12345'", _c, _d)} AS x FROM sl),
+sm AS (SELECT dw.unit, rep, avg(z.z) AS sl FROM dw JOIN z ON z.pos = x + CASE WHEN x >= dw.pos THEN 1 ELSE 0 END GROUP BY 1, 2), p AS (SELECT unit, count(*) FILTER (WHERE round(z * sl, 12) >= round(z * lag, 12)) AS lar FROM sm JOIN uu USING (unit) GROUP BY 1),
 f AS (SELECT unit, z, lag, local_i, (least(lar, {PERMS} - lar) + 1) / {PERMS + 1}.0 AS p_value FROM uu JOIN p USING (unit))
 SELECT unit, local_i, p_value, CASE WHEN p_value >= 0.05 THEN 'Não significativo' WHEN z > 0 AND lag > 0 THEN 'Alto-Alto' WHEN z <= 0 AND lag > 0 THEN 'Baixo-Alto' WHEN z <= 0 THEN 'Baixo-Baixo' ELSE 'Alto-Baixo' END AS cluster FROM f""", "local_i p_value")
 def _(s, d):

@@ -81,3 +81,34 @@ def to_wide(long: DataFrame, keys: Sequence[str], indicators: Sequence[str]) ->
 
 def to_long(wide: DataFrame, keys: Sequence[str], indicators: Sequence[str]) -> DataFrame:
     return wide.unpivot(list(keys), list(indicators), "indicator", "value")
+
+
+def running_total(df: DataFrame, order: Sequence[str], amount: Column, out: str, parts: int | None = None) -> DataFrame:
+    """Cumulative sum over the whole table in the order of the columns, which must be unique; no task sees all rows.
+
+    The rows are range-partitioned and stored, each range is summed by itself, and the totals of the ranges before
+    it, one number per range, are added.
+    """
+    from .filters import fold
+
+    n = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = fold(df.repartitionByRange(n, *order).withColumns({"_range": F.spark_partition_id(), "_amount": amount}))
+    totals = ranged.groupBy("_range").agg(F.sum("_amount").alias("t"))
+    before = totals.agg(F.sort_array(F.collect_list(F.struct("_range", "t"))).alias("r")).select(
+        F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.aggregate(F.filter("r", lambda x: x["_range"] < i), F.lit(0).cast("long"), lambda acc, x: acc + x["t"]))).scalar()
+    own = F.sum("_amount").over(W.partitionBy("_range").orderBy(*order).rowsBetween(W.unboundedPreceding, 0))
+    return ranged.withColumn(out, own + F.get(before, F.col("_range"))).drop("_range", "_amount")
+
+
+def numbered(df: DataFrame, order: Sequence[str], out: str = "pos") -> DataFrame:
+    """Numbers 1..n over the whole table in the order of the columns, which must be unique."""
+    return running_total(df, order, F.lit(1).cast("long"), out)
+
+
+def competition_rank(df: DataFrame, col: str, out: str = "rank") -> DataFrame:
+    """Rank of the values, best first, equal values share the best place, none for NULL. Equal values are counted first,
+    so a value that many rows have is one row of the ranking."""
+    known = F.col(col).isNotNull() & ~F.isnan(F.col(col).cast("double"))
+    values = df.filter(known).groupBy(F.col(col).alias("_v")).agg(F.count(F.lit(1)).alias("_n")).withColumn("_down", -F.col("_v"))
+    placed = running_total(values, ["_down"], F.col("_n"), "_upto").select("_v", (F.col("_upto") - F.col("_n") + 1).cast("int").alias(out))
+    return df.join(placed, F.when(known, F.col(col)) == F.col("_v"), "left").drop("_v")

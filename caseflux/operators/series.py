@@ -92,8 +92,12 @@ def pct_rank_score(df: DataFrame, cols: Sequence[str], out: str = "risk_score",
 
 
 def rank_min(df: DataFrame, col: str, out: str = "rank", keys: Sequence[str] = ()) -> DataFrame:
-    """WN6: competition rank, best first; rows without a value get none."""
-    w = W.partitionBy(*(keys or [F.lit(0)])).orderBy(F.col(col).desc_nulls_last())
+    """WN6: competition rank, best first; rows without a value get none. Without keys the ranking is distributed."""
+    if not keys:
+        from .ordering import competition_rank
+
+        return competition_rank(df, col, out)
+    w = W.partitionBy(*keys).orderBy(F.col(col).desc_nulls_last())
     return df.withColumn(out, F.when(F.col(col).isNotNull(), F.rank().over(w)))
 
 
