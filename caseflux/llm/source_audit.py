@@ -26,13 +26,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import parts, settle
+from .common import settle
 
 LEAST_DOCS = 30
 TOP = 50
 SCALE, PRIOR = 1_000_000_000, 5
 SHARD = 8_000_000  # bytes of text whose pointers are sorted together; a longer text is a shard of its own
 TILE = 128  # sources side by side in a block
+BLOCK = 16_384  # terms of a block, about
 
 
 def _term_bytes() -> np.ndarray:
@@ -149,17 +150,18 @@ def share(n: Column | str, total: Column | str, kept: Column | str) -> Column:
     return F.lit(1) + F.call_function("div", top, F.nullif(bottom, F.lit(0).cast("decimal(20,0)")))
 
 
-def _tiled_sums(counts: DataFrame, groups: DataFrame, tile: int, blocks: int) -> DataFrame:
+def _tiled_sums(counts: DataFrame, groups: DataFrame, block: int) -> DataFrame:
     """Per ordered pair of sources of a language: the sum of share differences over the terms of either's tile, and their number.
 
     `counts` has (lang, source, term, n), `groups` (lang, source, total, kept, tile). Every block of terms and
-    pair of tiles is one small group: its terms' counts in at most two tiles, and the tiles' sources.
+    pair of tiles is one small group: its terms' counts in at most two tiles, and the tiles' sources. A language
+    has as many blocks as its kept terms need, so partial sums grow with the vocabulary, not with the cluster.
     """
-    block = F.pmod(F.xxhash64("term"), F.lit(blocks)).cast("int")
     tiles = groups.groupBy("lang").agg((F.max("tile") + 1).alias("tiles"))  # one row per language
     pairs_of = F.expr("transform(sequence(0, tiles - 1), j -> struct(least(tile, j) AS lo, greatest(tile, j) AS hi))")
     spread = groups.join(tiles, "lang").select("lang", "source", "total", "kept", "tile", F.explode(pairs_of).alias("x")).select("lang", "source", "total", "kept", "tile", "x.lo", "x.hi")
-    cells = counts.withColumn("block", block).join(spread.select("lang", "source", "lo", "hi"), ["lang", "source"]).select("lang", "lo", "hi", "block", "source", "term", "n")
+    of = F.pmod(F.xxhash64("term"), F.ceil(F.col("kept") / block)).cast("int")
+    cells = counts.join(spread.select("lang", "source", "lo", "hi", "kept"), ["lang", "source"]).select("lang", "lo", "hi", of.alias("block"), "source", "term", "n")
     used = cells.select("lang", "lo", "hi", "block").distinct()
     frame = used.join(spread, ["lang", "lo", "hi"]).select(F.col("lang").alias("l"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"), F.col("block").alias("b2"), "source", "total", "kept", "tile")
 
@@ -206,10 +208,9 @@ def _share(n: np.ndarray, bottom: np.ndarray) -> np.ndarray:
     return 1 + SCALE * (n + PRIOR) // np.maximum(bottom, 1)
 
 
-def audit(docs: DataFrame, least: int = LEAST_DOCS, top: int = TOP, tile: int = TILE) -> DataFrame:
+def audit(docs: DataFrame, least: int = LEAST_DOCS, top: int = TOP, tile: int = TILE, block: int = BLOCK) -> DataFrame:
     """Per (lang, source): every other source of the language by distance (part `pair`), and the terms the
     source uses more than its language does (part `term`, ranks to `top`): lang, source, part, item, value, rank."""
-    spark = docs.sparkSession
     runs = term_runs(docs).groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     term = W.partitionBy("lang", "term")  # at most one row per source
     counts = settle(runs.withColumn("spread", F.sum("docs").over(term)).withColumn("all", F.sum("n").over(term)).where(F.col("spread") >= least).select("lang", "source", "term", "n", "all"))
@@ -219,7 +220,7 @@ def audit(docs: DataFrame, least: int = LEAST_DOCS, top: int = TOP, tile: int =
     order = F.row_number().over(W.partitionBy("lang").orderBy("source")) - 1  # one row per group of the corpus
     groups = named.join(totals, ["lang", "source"], "left").join(langs, "lang", "left").na.fill(0, ["total", "kept", "whole"])
     groups = settle(groups.withColumn("tile", F.floor(order / tile).cast("int")))
-    sums = _tiled_sums(counts, groups.where("kept > 0"), tile, parts(spark))
+    sums = _tiled_sums(counts, groups.where("kept > 0"), block)
     other = groups.select("lang", F.col("source").alias("item"), F.col("total").alias("other"))
     grid = groups.join(other, "lang").where("source != item")  # the rows asked for, one per pair of sources
     apart = F.abs(share(F.lit(0), "total", "kept") - share(F.lit(0), "other", "kept"))  # at every term both lack
