@@ -12,7 +12,9 @@ Signatures are banded. Identical texts, and texts with the same bag of shingles,
 each bucket the member that shares most buckets overall is the pivot, and every other member is verified
 against it by exact multiset overlap. Members of different classes that still meet in a bucket are then
 verified against each other, unless the shingles that only one of them has, or a longer signature of one bit
-a register, rule the similarity out. Pairs inside a class are never listed, and nothing is capped. A pair at
+a register, rule the similarity out; a pair is made in the first bucket it shares only. Pairs inside a class are
+never listed, and nothing is capped. What remains can still grow with the square of a group of texts that are all
+about as similar as the threshold and yet unlinked, as no bound tells such pairs apart. A pair at
 the similarity is missed with a probability of about 3e-5, by the bands (20 of 4) and the sketch together.
 
 Defined cases: null counts as the empty text; texts with under five words have one shingle of all their
@@ -228,13 +230,15 @@ def _classes(docs: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
     open_ = open_.join(own, "m", "left").withColumn("free", F.col("size") - F.coalesce("own", F.lit(0)))
     open_ = settle(open_.where(F.col("free") >= similarity * F.col("size")))
     # and texts whose longer signatures, one bit a register, differ too much are not near
-    names = open_.select(F.col("m").alias("node")).distinct()
-    open_ = open_.join(body.join(names, "node").mapInArrow(_sketches, f"m long, {', '.join(f'{x} long' for x in _BITS)}"), "m")
-    other = open_.where("root != lo").select("key", F.col("m").alias("p"), F.col("size").alias("psize"), F.col("free").alias("pfree"), F.col("root").alias("proot"), *[F.col(x).alias(f"p{x}") for x in _BITS])
+    names = open_.groupBy(F.col("m").alias("node")).agg(F.array_sort(F.collect_set("key")).alias("all_keys"))  # at most BANDS keys
+    open_ = open_.join(names.withColumnRenamed("node", "m"), "m")
+    open_ = open_.join(body.join(names.select("node"), "node").mapInArrow(_sketches, f"m long, {', '.join(f'{x} long' for x in _BITS)}"), "m")
+    other = open_.where("root != lo").select("key", F.col("m").alias("p"), F.col("size").alias("psize"), F.col("free").alias("pfree"), F.col("root").alias("proot"), F.col("all_keys").alias("pkeys"), *[F.col(x).alias(f"p{x}") for x in _BITS])
     most = F.least("free", "pfree")
     apart = F.expr(" + ".join(f"bit_count({x} ^ p{x})" for x in _BITS))
     near = (F.col("root") != F.col("proot")) & (most >= similarity * (F.col("size") + F.col("psize") - most)) & (apart <= most_bits(similarity))
-    pairs = open_.join(other, "key").where(near)
+    once = F.array_min(F.array_intersect("all_keys", "pkeys")) == F.col("key")  # a pair is made in the first bucket it shares
+    pairs = open_.join(other, "key").where(near & once)
     pairs = pairs.select(F.least("m", "p").alias("a"), F.greatest("m", "p").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
     roots = components(settle(links.unionByName(_check(pairs, body, similarity))))
     lead = F.struct(F.col("id").isNull().alias("no_id"), "id", "h")
