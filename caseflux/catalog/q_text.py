@@ -216,6 +216,16 @@ def _(s, d):
     return R.discover_tables(s, ["V_ORD%", "V_CUST%"]).select("name")
 
 
+_FOUND = ("nation", "region", "part", "customer", "orders", "lineitem")
+_PROFILE = " UNION ALL ".join(f"""SELECT '{t}' AS name, CAST(row_number() OVER () - 1 AS INTEGER) AS position, column_name AS column, CASE WHEN column_type IN ('BIGINT', 'INTEGER') THEN 'integer' WHEN column_type = 'DOUBLE' THEN 'number'
+  WHEN column_type = 'VARCHAR' THEN 'text' ELSE 'time' END AS kind, count AS rows, min AS low, max AS high FROM (SUMMARIZE {t})""" for t in _FOUND)
+
+
+@query("src05_profile_files", f"SELECT name, position, \"column\", kind, rows, low, high FROM ({_PROFILE})")
+def _(s, d):
+    return R.profile_files(s, d, ["%ation", "regi%", "part", "cust%", "orders", "%item"]).drop("nulls")
+
+
 @query("src06_extract_lab", """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem JOIN part ON l_partkey = p_partkey WHERE (p_name LIKE '%ring%' OR p_type LIKE 'SMALL%') AND l_shipdate >= (SELECT max(l_shipdate) FROM lineitem) - INTERVAL 2 YEAR""")
 def _(s, d):
     j = C.table(s, d, "lineitem").join(C.table(s, d, "part"), F.col("l_partkey") == F.col("p_partkey"))

@@ -82,6 +82,47 @@ def discover_tables(spark: SparkSession, patterns: Sequence[str], schema: str |
     return df.filter(cond)
 
 
+_TABLE_FILE = r"([^/]+)\.parquet(?:/(?:[^/]+/)*[^/]+)?$"
+
+
+def discover_files(spark: SparkSession, folder: str, patterns: Sequence[str]) -> DataFrame:
+    """SRC5 without a warehouse: the Parquet tables under a folder whose name is LIKE one of the patterns.
+
+    A table is a file or a folder of part files. Only the listing is read, through Spark's own reader, so any
+    store Spark can open will do. Case does not matter; of several patterns the first that fits is reported.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(folder)
+    named = files.select(F.regexp_extract("path", _TABLE_FILE, 1).alias("name"), "length")
+    fits = F.coalesce(*[F.when(F.lower("name").like(p.lower()), F.lit(p)) for p in patterns])
+    return named.withColumn("pattern", fits).filter("pattern is not null and name != ''").groupBy("name", "pattern").agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+
+
+_KIND = {"bigint": "integer", "int": "integer", "smallint": "integer", "tinyint": "integer", "double": "number", "float": "number", "string": "text", "timestamp": "time", "timestamp_ntz": "time", "date": "time", "boolean": "flag"}
+
+
+def profile_table(df: DataFrame, name: str) -> DataFrame:
+    """Per column of a table: place, kind, rows, nulls, smallest and largest value as text; one pass, one row of partial results per task."""
+    kinds = [(c, _KIND.get(t.split("(")[0], "number" if t.startswith("decimal") else "other")) for c, t in df.dtypes]
+    simple = [(i, c, k) for i, (c, k) in enumerate(kinds)]
+    q = lambda c: F.col(f"`{c}`")
+    g = df.agg(F.count(F.lit(1)).alias("rows"), *[F.count(q(c)).alias(f"n{i}") for i, c, _ in simple], *[f(q(c)).cast("string").alias(f"{n}{i}") for i, c, k in simple if k != "other" for n, f in (("lo", F.min), ("hi", F.max))])
+    none = F.lit(None).cast("string")
+    rows = [F.struct(F.lit(i).alias("position"), F.lit(c).alias("column"), F.lit(k).alias("kind"), F.col("rows"), (F.col("rows") - F.col(f"n{i}")).alias("nulls"),
+                     (F.col(f"lo{i}") if k != "other" else none).alias("low"), (F.col(f"hi{i}") if k != "other" else none).alias("high")) for i, c, k in simple]
+    return g.select(F.lit(name).alias("name"), F.inline(F.array(*rows)))
+
+
+def profile_files(spark: SparkSession, folder: str, patterns: Sequence[str]) -> DataFrame:
+    """SRC5: what the discovered tables hold, column by column. The driver learns the names of tables only."""
+    from ..operators.ordering import union_all
+
+    names = sorted(r["name"] for r in discover_files(spark, folder, patterns).select("name").distinct().collect())
+    parts = [profile_table(spark.read.parquet(f"{folder}/{n}.parquet"), n) for n in names]
+    if parts:
+        return union_all(*parts)
+    return spark.createDataFrame([], "name string, position int, column string, kind string, rows long, nulls long, low string, high string")
+
+
 def pick_view(names: DataFrame, preferred: Sequence[str]) -> DataFrame:
     """SRC4: canonical view by order of preference, else the first name, else none."""
     plain = F.regexp_replace(F.upper(F.element_at(F.split(F.trim("name"), "\\."), -1)), "[^A-Z0-9_]", "")
