@@ -112,6 +112,15 @@ def _(s, d):
     return A.logistic_or(c, "hospitalised", ["age", "symptom_fever_bin", "comorbidity_hiv_bin"], ["sex_raw", "region", "class_group"])
 
 
+@query("md08_score_equations", CASES + """, r AS (SELECT *, coalesce(hospitalised, 0)::DOUBLE AS yy FROM cases WHERE hospitalised IS NOT NULL)
+SELECT 'symptom_fever_bin' AS variable, sum(yy * coalesce(symptom_fever_bin, 0)) AS observed, sum(yy * coalesce(symptom_fever_bin, 0)) AS fitted FROM r
+UNION ALL SELECT 'comorbidity_hiv_bin', sum(yy * coalesce(comorbidity_hiv_bin, 0)), sum(yy * coalesce(comorbidity_hiv_bin, 0)) FROM r
+UNION ALL SELECT 'class_group=' || class_group, sum(yy), sum(yy) FROM r WHERE class_group > (SELECT min(class_group) FROM r) GROUP BY class_group
+UNION ALL SELECT 'municipality=' || municipality, sum(yy), sum(yy) FROM r GROUP BY municipality""", "observed fitted")
+def _(s, d):
+    return A.logistic_score(C.cases(s, d), "hospitalised", ["symptom_fever_bin", "comorbidity_hiv_bin"], ["class_group", "municipality"])
+
+
 _MU = """, m AS (SELECT municipality, n_nationkey AS k, count(*) AS cases, 1e2 * count(*) FILTER (WHERE death = 1) / count(*) AS pct_death, 1e2 * count(*) FILTER (WHERE confirmed = 1) / count(*) AS pct_conf
   FROM cases JOIN nation ON n_name = municipality GROUP BY 1, 2)"""
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from ..functions import numbers as N
+from .filters import fold
 from .series import pct_rank
 
 
@@ -189,12 +190,168 @@ def ols_line(df: DataFrame, x: str, y: str, keys: Sequence[str] = ()) -> DataFra
                                  F.regr_intercept(cy, cx).alias("intercept"), F.regr_r2(cy, cx).alias("r2"))
 
 
+# ---- logistic regression with one factor of any size ---------------------------------------------
+
+NARROW = 500  # levels a factor may have besides the largest one
+
+
+class _Fit:
+    """Fisher scoring for numeric columns, factors of few levels and one factor of any number of levels (the wide one).
+
+    The information matrix has the shape of an arrow: levels of the wide factor only meet themselves and the few other
+    features. So each round sums, per level, its weight d, score g and products h with the other features; the small
+    Schur complement of all levels is solved on the driver, and each level then gets its own step. What the driver
+    holds grows with the few other features, never with the levels. Rows are counted by distinct pattern first.
+    """
+
+    def __init__(self, df: DataFrame, outcome: str, numeric: Sequence[str], categorical: Sequence[str], rounds: int = 25):
+        d = df.filter(F.col(outcome).isNotNull())
+        number = {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in numeric}
+        spread = d.agg(F.lit(0).alias("_"), *[F.var_pop(v).alias(f"v{i}") for i, v in enumerate(number.values())], *[F.count_distinct(c).alias(f"k{i}") for i, c in enumerate(categorical)]).first()
+        self.numeric = [c for i, c in enumerate(numeric) if (spread[f"v{i}"] or 0) > 0]
+        sizes = {c: spread[f"k{i}"] for i, c in enumerate(categorical)}
+        self.wide = max(sizes, key=sizes.get) if sizes else None
+        few = [c for c in categorical if c != self.wide]
+        if any(sizes[c] > NARROW for c in few):
+            raise ValueError(f"only one factor may have more than {NARROW} levels")
+        level = F.col(self.wide).cast("string") if self.wide else F.lit("")
+        pattern = d.groupBy(level.alias("level"), *[number[c].alias(f"x{i}") for i, c in enumerate(self.numeric)], *[F.col(c).cast("string").alias(f"c{i}") for i, c in enumerate(few)]).agg(
+            F.count(F.lit(1)).cast("double").alias("n"), F.sum(F.col(outcome).cast("double")).alias("y"))
+        pattern = fold(pattern)
+        self.names, columns = list(self.numeric), [F.col(f"x{i}") for i in range(len(self.numeric))]
+        for i, c in enumerate(few):
+            labels = sorted(r[0] for r in pattern.filter(F.col(f"c{i}").isNotNull()).select(f"c{i}").distinct().collect())  # at most NARROW
+            known = labels[1:] + ([None] if labels and pattern.filter(F.col(f"c{i}").isNull()).limit(1).count() else [])
+            self.names += [f"{c}={'other' if v is None else v}" for v in known]
+            columns += [F.col(f"c{i}").eqNullSafe(F.lit(v)).cast("double") for v in known]
+        self.rows = pattern.select("level", "n", "y", F.array(*columns).cast("array<double>").alias("x"))
+        self.k = len(self.names)
+        self.beta = np.zeros(self.k)
+        odds = F.log((F.sum("y") + 0.5) / (F.sum("n") - F.sum("y") + 0.5))
+        # a level all of whose rows agree has no finite estimate: it starts, and stays, at 30
+        start = F.when(F.sum("y") == 0, -30.0).when(F.sum("y") == F.sum("n"), 30.0).otherwise(odds)
+        self.alpha = fold(self.rows.groupBy("level").agg(start.alias("alpha")))
+        before, last = None, None
+        for _ in range(rounds):
+            levels, whole = self._sums()
+            likelihood, score, info = whole[0], whole[1:1 + self.k], whole[1 + self.k:].reshape(self.k, self.k)
+            schur, rest = self._complement(levels, info, score)
+            self.inverse = np.linalg.pinv(schur) if self.k else schur
+            step = self.inverse @ rest
+            self.levels = levels
+            if before is not None and likelihood - before <= 1e-10 * (abs(likelihood) + 1):
+                if likelihood < before:  # no finite maximum, or the last digits: the better round counts
+                    self.beta, self.alpha, self.levels, self.inverse = last
+                break
+            before, last = likelihood, (self.beta, self.alpha, levels, self.inverse)
+            self.beta = self.beta + step
+            move = (F.col("g") - _dot("h", step)) / F.greatest("d", F.lit(1e-9))
+            self.alpha = fold(levels.select("level", F.greatest(F.lit(-30.0), F.least(F.lit(30.0), F.col("alpha") + F.greatest(F.lit(-5.0), F.least(F.lit(5.0), move)))).alias("alpha")))
+
+    def fitted(self) -> DataFrame:
+        """Patterns with their counts and the fitted number of events."""
+        eta = F.col("alpha") + _dot("x", self.beta)
+        return self.rows.join(self.alpha.withColumnRenamed("level", "_l"), F.col("level").eqNullSafe(F.col("_l"))).drop("_l").withColumn("p", 1 / (1 + F.exp(-eta)))
+
+    def _sums(self) -> tuple[DataFrame, np.ndarray]:
+        """Per level alpha, d, g, h; and over all rows the likelihood, the score and the information of the other features."""
+        k = self.k
+
+        def batch(frames):
+            for f in frames:
+                x = np.array(f["x"].tolist(), float).reshape(len(f), k)
+                n, y, p = f["n"].to_numpy(), f["y"].to_numpy(), np.clip(f["p"].to_numpy(), 1e-15, 1 - 1e-15)
+                w, r = n * p * (1 - p), y - n * p
+                code, names = pd.factorize(f["level"], use_na_sentinel=False)
+                parts = np.zeros((len(names), 2 + k))
+                np.add.at(parts, code, np.column_stack((w, r, x * w[:, None])))
+                whole = np.concatenate(([np.sum(y * np.log(p) + (n - y) * np.log1p(-p))], x.T @ r, ((x * w[:, None]).T @ x).ravel()))
+                names = [None if pd.isna(v) else v for v in names]
+                yield pd.DataFrame({"level": [*names, None], "whole": [False] * len(names) + [True], "v": [*parts.tolist(), whole.tolist()]})
+
+        parts = self.fitted().select("level", "n", "y", "x", "p").mapInPandas(batch, "level string, whole boolean, v array<double>")
+        sums = parts.select("level", "whole", F.posexplode("v").alias("i", "s")).groupBy("level", "whole", "i").agg(F.sum("s").alias("s"))
+        sums = fold(sums.groupBy("level", "whole").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "s"))), lambda t: t["s"]).alias("v")))
+        whole = sums.filter("whole").first()
+        alpha = self.alpha.withColumnRenamed("level", "_l")
+        levels = sums.filter("not whole").join(alpha, F.col("level").eqNullSafe(F.col("_l"))).select("level", "alpha", F.col("v")[0].alias("d"), F.col("v")[1].alias("g"), F.slice("v", 3, max(k, 1)).alias("h"))
+        return levels, np.array(whole["v"]) if whole else np.zeros(1 + k + k * k)
+
+    def _complement(self, levels: DataFrame, info: np.ndarray, score: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        k = self.k
+        if not k:
+            return np.zeros((0, 0)), np.zeros(0)
+
+        def batch(frames):
+            for f in frames:
+                h, d, g = np.array(f["h"].tolist(), float).reshape(len(f), k), np.maximum(f["d"].to_numpy(), 1e-9), f["g"].to_numpy()
+                yield pd.DataFrame({"v": [np.concatenate(((h / d[:, None]).T @ g, ((h / d[:, None]).T @ h).ravel())).tolist()]})
+
+        rows = levels.select("h", "d", "g").mapInPandas(batch, "v array<double>").select(F.posexplode("v").alias("i", "s")).groupBy("i").agg(F.sum("s").alias("s")).collect()  # k + k * k numbers
+        v = np.zeros(k + k * k)
+        for r in rows:
+            v[r["i"]] = r["s"]
+        return info - v[k:].reshape(k, k), score - v[:k]
+
+
+def _dot(array: str, values: np.ndarray) -> Column:
+    if not len(values):
+        return F.lit(0.0)
+    return F.aggregate(F.zip_with(array, F.array(*[F.lit(float(v)) for v in values]), lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
+
+
 def logistic_or(df: DataFrame, outcome: str, numeric: Sequence[str], categorical: Sequence[str], top: int | None = None, max_features: int | None = None) -> DataFrame:
-    """MD8: multivariable logistic regression; constant columns are dropped.
+    """MD8: multivariable logistic regression by Fisher scoring: variable, coef, odds_ratio, ci_low, ci_high, p_value.
 
-    Every category is a feature; `top` folds the rarer ones and `max_features` keeps the strongest features,
-    where asked for. What reaches the driver grows with the number of features only.
+    Constant columns are dropped; the first label of a factor is its reference; rows without a label are `other`. The
+    factor with the most levels may have any number of them, the others at most NARROW. `top` and `max_features`
+    select features, where asked for.
     """
+    if top is not None or max_features is not None:
+        return _logistic_selected(df, outcome, numeric, categorical, top, max_features)
+    fit = _Fit(df, outcome, numeric, categorical)
+    spark = df.sparkSession
+    se = np.sqrt(np.maximum(np.diag(fit.inverse), 0)) if fit.k else np.zeros(0)
+    out = spark.createDataFrame([(n, float(b), float(s)) for n, b, s in zip(fit.names, fit.beta, se)], "variable string, coef double, se double")
+    if fit.wide:
+        first = fit.levels.filter("level is not null").agg(F.min("level")).first()[0]
+        now = fit.levels.drop("alpha").join(fit.alpha.withColumnRenamed("level", "_l"), F.col("level").eqNullSafe(F.col("_l")))
+        now = now.withColumn("u", F.transform("h", lambda v: v / F.greatest(F.col("d"), F.lit(1e-9))))
+        ref = now.filter(F.col("level").eqNullSafe(F.lit(first))).select("alpha", "d", "u").first()  # one level
+        gap = F.zip_with("u", F.array(*[F.lit(float(v)) for v in ref["u"][:fit.k]]).cast("array<double>"), lambda a, b: a - b)
+        inverse = F.array(*[F.array(*[F.lit(float(v)) for v in row]) for row in fit.inverse]) if fit.k else F.array().cast("array<array<double>>")
+        quad = F.aggregate(F.zip_with(gap, F.transform(inverse, lambda row: F.aggregate(F.zip_with(row, gap, lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)), lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v) if fit.k else F.lit(0.0)
+        var = 1 / F.greatest("d", F.lit(1e-9)) + 1 / max(ref["d"], 1e-9) + quad
+        name = F.concat(F.lit(f"{fit.wide}="), F.coalesce("level", F.lit("other")))
+        out = out.unionByName(now.filter(~F.col("level").eqNullSafe(F.lit(first))).select(name.alias("variable"), (F.col("alpha") - ref["alpha"]).alias("coef"), F.sqrt(var).alias("se")))
+    z = F.abs(F.col("coef") / F.col("se"))
+    return out.select("variable", "coef", F.exp("coef").alias("odds_ratio"), F.exp(F.col("coef") - 1.96 * F.col("se")).alias("ci_low"), F.exp(F.col("coef") + 1.96 * F.col("se")).alias("ci_high"), _tail_udf()(z).alias("p_value"))
+
+
+def _tail_udf():
+    """Two-sided normal tail of result rows."""
+
+    def tail(z: pd.Series) -> pd.Series:
+        return z.map(lambda v: math.erfc(v / math.sqrt(2)) if v == v else None)
+
+    return F.pandas_udf(tail, DoubleType())
+
+
+def logistic_score(df: DataFrame, outcome: str, numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
+    """MD8 checked: per feature the observed and the fitted sum; they agree exactly at the maximum of the likelihood."""
+    fit = _Fit(df, outcome, numeric, categorical)
+    rows = fit.fitted().withColumn("e", F.col("n") * F.col("p"))
+    feature = rows.select("y", "e", F.posexplode("x").alias("i", "v"))
+    name = F.array(*[F.lit(n) for n in fit.names])[F.col("i")] if fit.k else F.lit("")
+    parts = feature.groupBy(name.alias("variable")).agg(F.sum(F.col("v") * F.col("y")).alias("observed"), F.sum(F.col("v") * F.col("e")).alias("fitted"))
+    if fit.wide:
+        level = F.concat(F.lit(f"{fit.wide}="), F.coalesce("level", F.lit("other")))
+        parts = parts.unionByName(rows.groupBy(level.alias("variable")).agg(F.sum("y").alias("observed"), F.sum("e").alias("fitted")))
+    return parts
+
+
+def _logistic_selected(df: DataFrame, outcome: str, numeric: Sequence[str], categorical: Sequence[str], top: int | None, max_features: int | None) -> DataFrame:
+    """MD8 with a selection of features: `top` folds the rarer categories, `max_features` keeps the strongest features."""
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GeneralizedLinearRegression
 
