@@ -29,9 +29,13 @@ q AS (SELECT doc_id, i, CASE WHEN contains(p, chr(2)) THEN string_split(p, chr(2
 s AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS section_no, title, body FROM q WHERE body <> '')"""
 
 
+def documents(s, d):
+    return R.spread(C.table(s, d, "documents"), "doc_id")
+
+
 def headed(s, d):
     nl = F.lit("\n")
-    return C.table(s, d, "documents").select("doc_id", "source", "lang", F.concat(
+    return documents(s, d).select("doc_id", "source", "lang", F.concat(
         F.lit("Preâmbulo "), "source", nl, F.lit("# Fonte "), "source", nl, "text", nl, F.lit("2.1. Conclusão do texto"), nl, "text", nl, F.lit("DADOS GERAIS DA FICHA"), nl, "lang").alias("text"))
 
 
@@ -58,7 +62,7 @@ def chunk_ctes(source: str) -> str:
 
 @query("tx02_chunks", "WITH RECURSIVE " + chunk_ctes("SELECT doc_id AS k, text AS body FROM documents") + " SELECT k AS doc_id, chunk_no, md5(chunk) AS chunk_md5, length(chunk) AS n FROM ch")
 def _(s, d):
-    return T.chunks(C.table(s, d, "documents").select("doc_id", "text"), "text").select("doc_id", "chunk_no", F.md5("chunk").alias("chunk_md5"), F.length("chunk").alias("n"))
+    return T.chunks(documents(s, d).select("doc_id", "text"), "text").select("doc_id", "chunk_no", F.md5("chunk").alias("chunk_md5"), F.length("chunk").alias("n"))
 
 
 THEMES = (("guia", "vigilancia"), ("caderno", "notificacao"))
@@ -100,11 +104,11 @@ def tok_sql(c: str) -> str:
 @query("tx04_tokens", f"SELECT conv_id, turn, CAST(len(k) AS INTEGER) AS n, md5(array_to_string(list_sort(k), ' ')) AS tokens_md5 FROM (SELECT conv_id, turn, {tok_sql('text')} AS k FROM conversations)")
 def _(s, d):
     k = T.tokens("text")
-    return C.table(s, d, "conversations").select("conv_id", "turn", F.size(k).alias("n"), F.md5(F.array_join(F.sort_array(k), " ")).alias("tokens_md5"))
+    return R.spread(C.table(s, d, "conversations"), "conv_id", "turn").select("conv_id", "turn", F.size(k).alias("n"), F.md5(F.array_join(F.sort_array(k), " ")).alias("tokens_md5"))
 
 
 def kb(s, d):
-    doc = C.table(s, d, "documents")
+    doc = documents(s, d)
     return doc.select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("id"), F.col("source").alias("title"), F.col("lang").alias("tags"), F.lit("docs").alias("theme"),
                       "text", (F.col("n_chars") > 300).alias("in_force"), F.lit(50).alias("priority"), F.lit("docs").alias("origin"))
 
@@ -165,7 +169,7 @@ def _(s, d):
     """Every document; every second one has two case numbers written into it."""
     k = F.col("doc_id")
     noted = F.concat(F.lit("Segue caso nº "), (k + 100000).cast("string"), F.lit("; "), F.col("text"), F.lit(" Notificação: "), (k + 700000).cast("string"), F.lit("."))
-    x = C.table(s, d, "documents").withColumn("given", F.when(k % 2 == 0, noted).otherwise(F.col("text"))).withColumn("redacted", V.redact_ids("given", SALT))
+    x = documents(s, d).withColumn("given", F.when(k % 2 == 0, noted).otherwise(F.col("text"))).withColumn("redacted", V.redact_ids("given", SALT))
     return x.select("doc_id", F.md5("redacted").alias("text_md5"), (F.col("redacted") != F.col("given")).alias("changed"))
 
 

@@ -43,6 +43,16 @@ def read_delimited(spark: SparkSession, path: str, min_cols: int = 2) -> DataFra
     return df.toDF(*[c.replace("﻿", "") for c in df.columns])
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """A freshly read table, dealt out by its keys where its files have fewer splits than the session has cores.
+
+    For heavy work on the rows of a small file. A table of many splits is returned as it is, so what is
+    shuffled is never more than a split for each core.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_base(spark: SparkSession, parquet: str | None, csv: str | None = None, date: str = "event_date") -> DataFrame:
     """SRC2: base table, Parquet first, delimited text as the fallback; the reference date is typed again."""
     if parquet is not None and path_exists(spark, parquet):

@@ -149,3 +149,33 @@ def test_change_of_zero(spark, now, light):
 
     r = spark.createDataFrame([(now, 5 if now else 0)], "a int, b int").select(Nn.light_change(Nn.pct_change("a", "b"))).first()[0]
     assert r == light
+
+
+def test_chunks_of_a_very_long_text(spark):
+    """Ten million characters without and with breaks, beyond the basic plane too, in seconds; ends where it should."""
+    long = ("x" * 700 + " ") * 14_000
+    rows = [(1, long), (2, "y" * 2_000), (3, "😀 " * 1_000), (4, None), (5, " \n "), (6, "a" * 500 + "\n\n" + "b" * 300 + " " + "c" * 400)]
+    got = {}
+    for r in C.chunks(spark.createDataFrame(rows, "id int, body string"), "body").orderBy("id", "chunk_no").collect():
+        got.setdefault(r["id"], []).append(r["chunk"])
+    assert set(got) == {1, 2, 3, 6}
+    assert len(got[1]) == 14_000 and all(len(c) <= 900 for c in got[1]) and got[1][0] == "x" * 700
+    assert [len(c) for c in got[2]] == [900, 900, 440]
+    assert all(set(c) <= {"😀", " "} for c in got[3])
+    assert got[6][0] == "a" * 500 and got[6][1].startswith("a" * 120 + "\n\n" + "b" * 300)
+
+
+def test_spread_only_where_there_are_few_splits(spark, tmp_path):
+    from caseflux.sources.readers import spread
+
+    spark.range(100).coalesce(1).write.parquet(str(tmp_path / "one"))
+    spark.range(100).repartition(8).write.parquet(str(tmp_path / "many"))
+    one, many = (spark.read.parquet(str(tmp_path / n)) for n in ("one", "many"))
+    assert sorted(r["id"] for r in spread(one, "id").collect()) == list(range(100))
+    plan = lambda df: df._jdf.queryExecution().toString()
+    assert "Repartition" in plan(spread(one, "id"))
+    spark.conf.set("spark.sql.files.openCostInBytes", "200000000")
+    try:
+        assert "Repartition" not in plan(spread(many, "id"))
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
