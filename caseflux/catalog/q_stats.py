@@ -210,6 +210,13 @@ def _(s, d):
     return A.survival_model(C.cases(s, d).withColumn("age", X.age_years("age_raw")), ["age", "hospitalised"])
 
 
+@query("md13_score_equations", CASES + """, r AS (SELECT death::DOUBLE AS dd, coalesce(hospitalised, 0) AS hosp, coalesce(symptom_fever_bin, 0) AS fever FROM cases WHERE lag_onset_outcome > 0 AND death IS NOT NULL)
+SELECT '(intercept)' AS variable, sum(dd) AS observed, sum(dd) AS fitted FROM r UNION ALL SELECT 'hospitalised', sum(dd * hosp), sum(dd * hosp) FROM r
+UNION ALL SELECT 'symptom_fever_bin', sum(dd * fever), sum(dd * fever) FROM r UNION ALL SELECT '(scale)', sum(dd), sum(dd) FROM r""", "observed fitted")
+def _(s, d):
+    return A.survival_score(C.cases(s, d), ["hospitalised", "symptom_fever_bin"])
+
+
 @query("fl04_significant", CASES + f""", t AS ({tab_sql(EXPO, ["hospitalised", "death"])}), k AS (SELECT exposure, outcome, a, b, c, d, n, unnest(generate_series(greatest(0, a + b + a + c - n), least(a + b, a + c))) AS x FROM t),
 p AS (SELECT exposure, outcome, exp({_LP} - lgamma(x + 1) - lgamma(a + b - x + 1) - lgamma(a + c - x + 1) - lgamma(n - a - b - a - c + x + 1)) AS px, exp({_LP} - lgamma(a + 1) - lgamma(b + 1) - lgamma(c + 1) - lgamma(d + 1)) AS p0 FROM k),
 q AS (SELECT exposure, outcome, sum(px) FILTER (WHERE px <= p0 * (1 + 1e-7)) AS pv FROM p GROUP BY 1, 2) SELECT 'clinical' AS source, exposure || ' | ' || outcome AS finding FROM q WHERE pv < 0.005""")

@@ -388,6 +388,21 @@ def _(s, d):
     return Q.profile(C.table(s, d, "orders"), ORDER_COLUMNS)
 
 
+@query("ag32_completeness_table", CASES + " UNION ALL ".join(f"""{'SELECT' if i else ' SELECT'} '{f}' AS field, {cnt(c)} AS filled, count(*) - {cnt(c)} AS missing, 1e2 * {cnt(c)} / count(*) AS pct_complete FROM cases"""
+       for i, (f, c) in enumerate(_QF.items())), "pct_complete")
+def _(s, d):
+    return Q.completeness_table(C.cases(s, d), list(_QF))
+
+
+_INCONSISTENT = {"notification_before_onset": "notified_date < onset_date", "lp_before_onset": "lp_date < onset_date", "death_without_end_date": "death = 1 AND outcome_date IS NULL AND closed_date IS NULL",
+                 "confirmed_without_criterion": "confirmed = 1 AND coalesce(criterion, '*Em Branco') = '*Em Branco'"}
+
+
+@query("ag32_inconsistency_table", CASES + " UNION ALL ".join(f"""{'SELECT' if i else ' SELECT'} '{r}' AS rule, {cnt(c)} AS n_bad, 1e2 * {cnt(c)} / count(*) AS pct FROM cases""" for i, (r, c) in enumerate(_INCONSISTENT.items())), "pct")
+def _(s, d):
+    return Q.inconsistency_table(C.cases(s, d))
+
+
 @query("ag28_consistency", CASES + " UNION ALL ".join(f"""{'SELECT' if i else ' SELECT'} '{r}' AS rule, {cnt(f'{a} > {b}')} AS n_bad, {pc(cnt(f'{a} > {b}'), 'count(*)')} AS pct, 'high' AS severity FROM cases""" for i, (r, a, b) in enumerate(Q.DATE_RULES)) + f"""
  UNION ALL SELECT 'male_and_pregnant', {cnt("sex_raw = 'M' AND pregnant_raw = 'Sim'")}, {pc(cnt("sex_raw = 'M' AND pregnant_raw = 'Sim'"), 'count(*)')}, 'medium' FROM cases
  UNION ALL SELECT 'duplicate_id', count(*) - count(DISTINCT case_id), 0, 'high' FROM cases""", "pct")

@@ -1,4 +1,4 @@
-"""Data quality (AG26-AG31, AG57, AL14)."""
+"""Data quality (AG26-AG32, AG57, AL14)."""
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
@@ -61,6 +61,26 @@ def consistency(df: DataFrame, case_id: str = "case_id") -> DataFrame:
     return one.select("_n", F.inline(F.array(*rows))).select("rule", "n_bad", N.pct("n_bad", "_n").alias("pct"), "severity")
 
 
+def completeness_table(df: DataFrame, fields: Sequence[str] = CRITICAL_FIELDS) -> DataFrame:
+    """AG32: per field the filled and the missing rows and the completeness, in one pass."""
+    one = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count_if(X.is_filled(f)).alias(f"_f{i}") for i, f in enumerate(fields)])
+    rows = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"_f{i}").alias("filled")) for i, f in enumerate(fields)])
+    return one.select("_n", F.inline(rows)).select("field", "filled", (F.col("_n") - F.col("filled")).alias("missing"), N.pct("filled", "_n").alias("pct_complete"))
+
+
+def inconsistency_table(df: DataFrame) -> DataFrame:
+    """AG32: notification or puncture before the symptoms, deaths without an end date, confirmed without a criterion."""
+    bad = {
+        "notification_before_onset": F.col("notified_date") < F.col("onset_date"),
+        "lp_before_onset": F.col("lp_date") < F.col("onset_date"),
+        "death_without_end_date": (F.col("death") == 1) & F.col("outcome_date").isNull() & F.col("closed_date").isNull(),
+        "confirmed_without_criterion": (F.col("confirmed") == 1) & ~X.is_filled("criterion"),
+    }
+    one = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count_if(c).alias(r) for r, c in bad.items()])
+    rows = F.array(*[F.struct(F.lit(r).alias("rule"), F.col(r).alias("n_bad")) for r in bad])
+    return one.select("_n", F.inline(rows)).select("rule", "n_bad", N.pct("n_bad", "_n").alias("pct"))
+
+
 def profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """AG27: rows, filled, missing share and exact distinct values of every column.
 

@@ -389,13 +389,78 @@ def survival_strata(df: DataFrame, strata: Sequence[str], time: str = "lag_onset
     return h.groupBy("stratum", "category").agg(F.sum("_n").alias("n"), F.sum("_d").alias("deaths"), q(0.5, "median_time"), q(0.75, "p75_time"))
 
 
-def survival_model(df: DataFrame, features: Sequence[str], time: str = "lag_onset_outcome", event: str = "death") -> DataFrame:
-    """MD13: accelerated-failure-time regression (Spark ML), a stated substitute for a proportional-hazards fit."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import AFTSurvivalRegression
+class _Survival:
+    """Weibull regression of times: log t = x'b + scale * e, from Spark's fit to the exact maximum by Newton steps.
+
+    The steps run on counts of distinct (time, event, covariates), and a step is one aggregation to a matrix of the size
+    of the covariates. Times of 0 or less and unknown times or events are left out, unknown covariates count as 0. Without
+    an event, or where the covariates are collinear, there is no single maximum and Spark's fit stays.
+    """
 
-    d = df.filter(F.col(time) > 0).select(F.col(time).cast("double").alias("label"), F.col(event).cast("double").alias("censor"),
-                                          *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in features])
-    model = AFTSurvivalRegression(maxIter=50).fit(VectorAssembler(inputCols=list(features), outputCol="features").transform(d))
-    rows = [("(intercept)", float(model.intercept)), ("(scale)", float(model.scale))] + [(f, float(b)) for f, b in zip(features, model.coefficients)]
-    return df.sparkSession.createDataFrame([(n, b, math.exp(b)) for n, b in rows], "variable string, coef double, time_ratio double")
+    def __init__(self, df: DataFrame, features: Sequence[str], time: str, event: str):
+        from pyspark.ml.feature import VectorAssembler
+        from pyspark.ml.regression import AFTSurvivalRegression
+
+        self.features = list(features)
+        d = df.filter((F.col(time) > 0) & F.col(event).isNotNull()).select(
+            F.col(time).cast("double").alias("label"), F.col(event).cast("double").alias("censor"),
+            *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"x{i}") for i, c in enumerate(self.features)])
+        xs = [f"x{i}" for i in range(len(self.features))]
+        model = AFTSurvivalRegression(maxIter=50).fit(VectorAssembler(inputCols=xs, outputCol="features").transform(d))
+        self.rows = fold(d.groupBy("label", "censor", *xs).agg(F.count(F.lit(1)).alias("n")))
+        self.x = [F.lit(1.0), *[F.col(c) for c in xs]]
+        self.theta = np.array([model.intercept, *model.coefficients, math.log(model.scale)])
+        self._newton()
+
+    def eps(self, theta: np.ndarray) -> Column:
+        return (F.log("label") - sum((float(b) * x for b, x in zip(theta, self.x)), F.lit(0.0))) / math.exp(theta[-1])
+
+    def _at(self, theta: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        """Log-likelihood, gradient and Hessian."""
+        k, scale, n, d = len(self.x), math.exp(theta[-1]), F.col("n"), F.col("censor")
+        r = self.rows.withColumn("e", self.eps(theta)).withColumn("h", F.exp("e"))
+        e, h, over = F.col("e"), F.col("h"), F.col("h") - d
+        terms = [d * (e - float(theta[-1])) - h, *[over * x / scale for x in self.x], over * e - d]
+        terms += [-h * self.x[i] * self.x[j] / scale ** 2 for i in range(k) for j in range(i + 1)]
+        terms += [-(h * e + over) * x / scale for x in self.x] + [-h * e * e - over * e]
+        got = [float("nan") if v is None else v for v in r.agg(*[F.sum(n * t) for t in terms]).first()]
+        hess, rest = np.zeros((k + 1, k + 1)), iter(got[k + 2:])
+        for i in range(k + 1):
+            for j in range(i + 1):
+                hess[i, j] = hess[j, i] = next(rest)
+        return got[0], np.array(got[1:k + 2]), hess
+
+    def _newton(self, rounds: int = 25, tol: float = 1e-12) -> None:
+        theta = self.theta
+        ll, grad, hess = self._at(theta)
+        for _ in range(rounds):
+            if not np.isfinite(hess).all() or np.linalg.matrix_rank(hess) < len(hess):
+                return
+            step = np.linalg.solve(hess, grad)
+            for _ in range(rounds):
+                now = self._at(theta - step)
+                if now[0] >= ll - 1e-9 * abs(ll):
+                    break
+                step = step / 2
+            else:
+                return
+            theta, (ll, grad, hess) = theta - step, now
+            self.theta = theta
+            if np.max(np.abs(step)) < tol * (1 + np.max(np.abs(theta))):
+                return
+
+
+def survival_model(df: DataFrame, features: Sequence[str], time: str = "lag_onset_outcome", event: str = "death") -> DataFrame:
+    """MD13: accelerated-failure-time regression, a stated substitute for a proportional-hazards fit."""
+    fit = _Survival(df, features, time, event)
+    rows = list(zip(["(intercept)", *fit.features, "(scale)"], [*fit.theta[:-1], math.exp(fit.theta[-1])]))
+    return df.sparkSession.createDataFrame([(n, float(b), math.exp(b)) for n, b in rows], "variable string, coef double, time_ratio double")
+
+
+def survival_score(df: DataFrame, features: Sequence[str], time: str = "lag_onset_outcome", event: str = "death") -> DataFrame:
+    """MD13 checked: per parameter the observed events, weighted by the covariate, and the fitted ones; equal at the maximum."""
+    fit = _Survival(df, features, time, event)
+    e, n, d = fit.eps(fit.theta), F.col("n"), F.col("censor")
+    parts = [(v, d * x, F.exp(e) * x) for v, x in zip(["(intercept)", *fit.features], fit.x)] + [("(scale)", d, (F.exp(e) - d) * e)]
+    one = fit.rows.agg(*[F.sum(n * c).alias(f"{side}{i}") for i, (_, o, f) in enumerate(parts) for side, c in (("o", o), ("f", f))])
+    return one.select(F.inline(F.array(*[F.struct(F.lit(v).alias("variable"), F.col(f"o{i}").alias("observed"), F.col(f"f{i}").alias("fitted")) for i, (v, _, _) in enumerate(parts)])))

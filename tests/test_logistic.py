@@ -68,3 +68,31 @@ def test_ten_thousand_levels(spark):
     assert got.count() == 10000
     flag = got.filter("variable = 'flag'").first()
     assert 0.4 < flag["coef"] < 1.2 and flag["p_value"] < 1e-6
+
+
+def test_survival_reaches_the_maximum(spark):
+    """Newton steps end where every score equation holds; ties, unknown covariates, zero times and repeated rows included."""
+    import math
+    import random
+
+    from caseflux.operators import stats as A
+
+    r = random.Random(5)
+    rows = []
+    for i in range(600):
+        x = r.choice([0, 1, None])
+        t = int(math.ceil(math.exp(2.0 + 0.7 * (x or 0)) * r.expovariate(1.0) ** 0.6)) if i % 50 else 0
+        rows.append((t, int(r.random() < 0.7), x, r.random()))
+    rows += rows[:40] + [(None, 1, 1, 0.5), (5, None, 1, 0.5)]
+    d = spark.createDataFrame(rows, "lag_onset_outcome int, death int, x int, z double")
+    for s in A.survival_score(d, ["x", "z"]).collect():
+        assert abs(s["observed"] - s["fitted"]) < 1e-6 * max(1.0, abs(s["observed"]))
+    got = {m["variable"]: m["coef"] for m in A.survival_model(d, ["x", "z"]).collect()}
+    assert set(got) == {"(intercept)", "x", "z", "(scale)"} and 0.5 < got["x"] < 0.9 and 0.4 < got["(scale)"] < 0.8
+
+
+def test_survival_with_collinear_covariates_keeps_the_first_fit(spark):
+    from caseflux.operators import stats as A
+
+    d = spark.createDataFrame([(t, t % 2, t % 3, t % 3) for t in range(1, 40)], "lag_onset_outcome int, death int, a int, b int")
+    assert A.survival_model(d, ["a", "b"]).count() == 4
