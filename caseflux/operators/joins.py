@@ -145,23 +145,44 @@ def with_coordinates(df: DataFrame, coords: DataFrame, code: str = "code6", name
     return j.withColumns({"lat": best["lat"], "lon": best["lon"]}).drop("_cc", "_cn", "_c1", "_c2")
 
 
-def region_from_text(df: DataFrame, places: DataFrame, text: str, key: str, gram: int = 4) -> DataFrame:
-    """JN18: region of the longest place name that occurs in a text.
+def region_from_text(df: DataFrame, places: DataFrame, text: str, key: str, gram: int = 4, salts: int = 8) -> DataFrame:
+    """JN18: region of the longest place name that occurs in a text, inside words too.
 
-    Every text position is matched on its first letters with the place names (an equi-join), then
-    the whole name is compared. Positions carry as many letters as the longest name has.
+    Texts give one row per word with the words that follow it, as many as the longest name has. First words of names are
+    looked for once in every distinct word, letter by letter, not in every text. A word that holds one is then looked up
+    as a trie level: all words of a name but the last are a key, with the first letters of the last one, so names with
+    a common beginning are not compared one by one. Common words are salted. Of equally long names the last in order wins.
     """
     p = places.select(F.upper(F.trim("place")).alias("_p"), F.col("region").alias("_reg")).filter(F.length("_p") > 0)
     p = p.groupBy("_p").agg(F.min("_reg").alias("_reg"))
-    longest = p.agg(F.max(F.length("_p"))).scalar()
-    p = p.select("_p", "_reg", F.substring("_p", 1, gram).alias("_g"))
-    t = df.select(F.col(key).alias("_k"), F.upper(F.col(text)).alias("_t"), longest.alias("_m")).filter(F.length("_t") > 0)
-    windows = t.select("_k", F.explode(F.transform(F.sequence(F.lit(1), F.length("_t")),
-                                                   lambda i: F.substring(F.col("_t"), i, F.col("_m")))).alias("_w"))
-    starts = F.array_distinct(F.array(*[F.substring("_w", 1, n) for n in range(1, gram + 1)]))
+    words = F.split("_p", " ", -1)
+    n = F.size(words)
+    end = F.when(n > 1, F.element_at(words, -1)).otherwise("")
+    names = p.select("_p", "_reg", words[0].alias("_f"), n.alias("_n"), F.array_join(F.slice(words, F.lit(2), F.greatest(n - 2, F.lit(0))), " ").alias("_mid"),
+                     end.alias("_end"), F.substring(end, 1, gram).alias("_g"))
+    span = names.agg(F.max("_n")).scalar()
+
+    t = df.select(F.col(key).alias("_k"), F.split(F.upper(F.col(text)), " ", -1).alias("_ws")).filter(F.col("_ws").isNotNull())
+    rows = t.select("_k", "_ws", F.posexplode("_ws").alias("_i", "_w")).filter(F.col("_w") != "")
+    rows = rows.select("_k", "_w", F.slice("_ws", F.col("_i") + 2, F.coalesce(span, F.lit(1)) - 1).alias("_next"))
+
+    first = names.select("_f", F.substring("_f", 1, gram).alias("_s")).distinct()
+    longest = F.coalesce(first.agg(F.max(F.length("_f"))).scalar(), F.lit(1))
+    # what stands at every letter of a word, in one pass over the word
+    at = F.regexp_extract_all("_w", F.concat(F.lit("(?s)(?=(.{1,"), longest.cast("string"), F.lit("}))")), F.lit(1))
+    at = rows.select("_w").distinct().select("_w", F.explode(at).alias("_at"))
+    begin = lambda c: F.array_distinct(F.array(*[F.substring(c, 1, i) for i in range(1, gram + 1)]))
+    holds = at.select("_w", "_at", F.explode(begin("_at")).alias("_s")).join(first, "_s").filter(F.col("_at").startswith(F.col("_f"))).select("_w", "_f").distinct()
+
+    salted = holds.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    met = rows.withColumn("_salt", F.pmod(F.xxhash64("_k"), F.lit(salts)).cast("int")).join(salted, ["_w", "_salt"])
+    level = lambda n, mid, end: F.struct(F.lit(n).alias("_n") if isinstance(n, int) else n.alias("_n"), mid.alias("_mid"), end.alias("_last"))
+    one = F.array(level(1, F.lit(""), F.lit("")))
+    more = F.transform(F.sequence(F.lit(1), F.size("_next")), lambda i: level(i + 1, F.array_join(F.slice("_next", F.lit(1), i - 1), " "), F.element_at("_next", i)))
+    levels = F.when(F.col("_w").endswith(F.col("_f")) & (F.size("_next") > 0), F.concat(one, more)).otherwise(one)
+    asked = met.select("_k", "_f", F.inline(levels)).select("*", F.explode(begin("_last")).alias("_g"))
     hits = (
-        windows.select("_k", "_w", F.explode(starts).alias("_g"))
-        .join(p, "_g").filter(F.col("_w").startswith(F.col("_p")))
+        asked.join(names, ["_f", "_n", "_mid", "_g"]).filter(F.col("_last").startswith(F.col("_end")))
         .groupBy("_k").agg(F.max(F.struct(F.length("_p").alias("n"), "_p", "_reg")).alias("_b"))
         .select("_k", F.col("_b._p").alias("place"), F.col("_b._reg").alias("region_found"))
     )

@@ -179,3 +179,23 @@ def test_spread_only_where_there_are_few_splits(spark, tmp_path):
         assert "Repartition" not in plan(spread(many, "id"))
     finally:
         spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_region_from_text_equals_brute_force(spark):
+    """Names of one to four words that share beginnings and stand inside words; empty, null and very long texts, hot words."""
+    import random
+
+    r = random.Random(11)
+    word = lambda: "".join(r.choice("AB") for _ in range(r.randint(1, 3)))
+    names = sorted({" ".join(word() for _ in range(r.randint(1, 4))) for _ in range(40)} | {"SÃO JOSÉ", "SÃO JOSÉ DO RIO", "C  A", "😀X"})
+    texts = [" ".join(word() for _ in range(r.randint(1, 7))).lower() for _ in range(120)] + ["", None, "  ", "vila são josé do riozinho", "c  ab", "b😀x", "c\na"]
+    texts += ["z" * 200_000 + "são josé", "q " * 20_000 + "ab", *["fila c d"] * 50]
+    p = spark.createDataFrame([(n.lower() + " ", f"R{i}") for i, n in enumerate(names)] + [("", "none"), (None, "none")], "place string, region string")
+    got = {x["id"]: x["place"] for x in J.region_from_text(spark.createDataFrame(list(enumerate(texts)), "id int, t string"), p, "t", "id").collect()}
+    want = {i: max(((len(n), n) for n in names if n in (t or "").upper()), default=(0, None))[1] for i, t in enumerate(texts)}
+    assert got == want
+
+
+def test_region_from_text_without_places(spark):
+    p = spark.createDataFrame([], "place string, region string")
+    assert [x["region_found"] for x in J.region_from_text(spark.createDataFrame([(1, "Rio")], "id int, t string"), p, "t", "id").collect()] == [None]
