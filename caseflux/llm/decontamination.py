@@ -18,9 +18,11 @@ coverage of an item is the better one of that by its template windows and that b
 The benchmark's windows are few and are broadcast in blocks of at most BLOCK windows; a larger benchmark
 takes more passes over the documents, with the same result.
 
-Defined cases: null and empty texts and items have no windows and match nothing; repeated rows and items
-give one row per doc_id and item_id; rows with a null doc_id or item_id are left out; extra columns are
-ignored by `leaks` and carried along by `clean`.
+Defined cases: null and empty texts and items have no windows and match nothing; documents are judged by their
+text, items by id and text, so texts that share an id are judged one by one and every item under a repeated
+item_id is looked for; `leaks` gives one row per doc_id and item_id (the closest pair) and none for a null id,
+`clean` judges rows with a null doc_id like the others; items with a null id are left out; ids may be of any
+type; extra columns are ignored by `leaks` and carried along by `clean`.
 """
 from __future__ import annotations
 
@@ -153,8 +155,18 @@ def _item_windows(batches):
 _ITEM_SCHEMA = "hash long, item_id long, pos int, coarse int, kind int, width int, slots array<long>"
 
 
+def _node():
+    """Documents are told apart by their text: rows without an id count too, and rows that share one are judged alone."""
+    return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+
+
+def _item_node():
+    return F.xxhash64("item_id", "text")
+
+
 def item_windows(benchmark: DataFrame) -> DataFrame:
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null and text is not null").dropDuplicates(["item_id"])
+    """Windows of every distinct (id, text) of the benchmark; their item_id is the node of that pair."""
+    items = benchmark.where("item_id is not null and text is not null").select(_item_node().alias("item_id"), "text").dropDuplicates(["item_id"])
     return items.mapInArrow(_item_windows, _ITEM_SCHEMA)
 
 
@@ -224,19 +236,19 @@ def _groups(hits: DataFrame) -> DataFrame:
     return out.select("doc_id", "item_id", F.struct("g", "starts").alias("g"), "pos", "kind", "theirs", "ours")
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, min_cover: float = MIN_COVER, block_size: int = BLOCK) -> DataFrame:
-    """Documents that re-use an item: doc_id, item_id, n_windows, coverage, kind ('verbatim' or 'new parameters')."""
+def _leaks(docs: DataFrame, benchmark: DataFrame, min_cover: float, block_size: int) -> DataFrame:
+    """Nodes of documents and items that share enough: doc_id, item_id (both nodes), n_windows, coverage, same."""
     spark = docs.sparkSession
     shared(spark)
     items = item_windows(benchmark)
     total = items.groupBy("item_id").agg(F.countDistinct(F.when(F.col("kind") != RAW, F.col("pos"))).alias("n_told"), F.countDistinct("pos").alias("n_item"))
     blocks = max(1, -(-items.count() // block_size))
-    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
+    text = docs.where("text is not null").select(_node().alias("doc_id"), "text")
     found = []
     for k in range(blocks):
         rows = items.where(F.pmod("hash", F.lit(blocks)) == k).collect()  # about block_size rows, checked by the count above
         found.append(text.mapInArrow(_find(spark.sparkContext.broadcast(_Block(rows))), "doc_id long, item_id long, shift long, pos int, kind int, theirs array<long>, ours array<long>"))
-    hits = _groups(reduce(DataFrame.unionByName, found))
+    hits = _groups(reduce(DataFrame.unionByName, found).distinct())  # copies of a text are one node
     pairs = F.explode(F.arrays_zip(F.concat(F.array(F.lit(0).cast("long")), "theirs").alias("t"), F.concat(F.array(F.lit(0).cast("long")), "ours").alias("o")))
     slots = hits.select("doc_id", "item_id", "g", "pos", "kind", pairs.alias("s")).select("doc_id", "item_id", "g", "pos", "kind", F.col("s.t").alias("t"), F.col("s.o").alias("o"))
     # every hit carries one neutral pair, so hits without slots stay
@@ -248,11 +260,25 @@ def leaks(docs: DataFrame, benchmark: DataFrame, min_cover: float = MIN_COVER, b
     told = F.struct((F.col("n_told_at") / F.col("n_told")).alias("cover"), "same", F.col("n_told_at").alias("n"))
     every = F.struct((F.col("n_at") / F.col("n_item")).alias("cover"), "same", F.col("n_at").alias("n"))
     best = alike.where("ok").join(total, "item_id").groupBy("doc_id", "item_id").agg(F.max(F.when(F.col("n_told") > 0, F.greatest(told, every)).otherwise(every)).alias("b"))
-    return best.where(F.col("b.cover") >= min_cover).select(
-        "doc_id", "item_id", F.col("b.n").cast("long").alias("n_windows"), F.round("b.cover", 6).alias("coverage"), F.when(F.col("b.same"), "verbatim").otherwise("new parameters").alias("kind"))
+    return best.where(F.col("b.cover") >= min_cover).select("doc_id", "item_id", F.col("b.n").cast("long").alias("n_windows"), F.col("b.cover").alias("coverage"), "b.same")
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, min_cover: float = MIN_COVER, block_size: int = BLOCK) -> DataFrame:
+    """Documents that re-use an item: doc_id, item_id, n_windows, coverage, kind ('verbatim' or 'new parameters').
+
+    One row per id and item: of several texts under one id, or items under one item id, the closest pair. Documents
+    without an id have no row here; `clean` judges them like the others. Ids keep their type; integers become long.
+    """
+    found = _leaks(docs, benchmark, min_cover, block_size).withColumnsRenamed({"doc_id": "_node", "item_id": "_item"})
+    wide = lambda df, c: F.col(c).cast("long") if df.schema[c].dataType.simpleString() in ("tinyint", "smallint", "int") else F.col(c)
+    ids = docs.where("doc_id is not null and text is not null").select(wide(docs, "doc_id").alias("doc_id"), _node().alias("_node"))
+    names = benchmark.where("item_id is not null and text is not null").select(wide(benchmark, "item_id").alias("item_id"), _item_node().alias("_item")).distinct()
+    rows = found.join(names, "_item").join(ids, "_node")
+    best = rows.groupBy("doc_id", "item_id").agg(F.max(F.struct("coverage", "same", "n_windows")).alias("b"))
+    return best.select("doc_id", "item_id", "b.n_windows", F.round("b.coverage", 6).alias("coverage"), F.when(F.col("b.same"), "verbatim").otherwise("new parameters").alias("kind"))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that re-use no item, with all their columns."""
-    bad = leaks(docs, benchmark).select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, docs["doc_id"].cast("long") == F.col("_bad"), "left_anti")
+    """The documents that re-use no item, with all their columns; each row is judged by its own text."""
+    bad = _leaks(docs, benchmark, MIN_COVER, BLOCK).select(F.col("doc_id").alias("_bad")).distinct()
+    return docs.join(bad, _node() == F.col("_bad"), "left_anti")

@@ -92,6 +92,19 @@ def test_leaks(spark):
     assert D.leaks(docs_of(spark, rows).limit(0), bench).count() == 0 and D.leaks(docs_of(spark, rows), bench.limit(0)).count() == 0
 
 
+def test_leaks_with_missing_shared_and_text_ids(spark):
+    """Rows without an id, two texts under one id, two items under one item id, repeated rows, ids that are texts."""
+    one = "the quick brown fox jumps over the lazy dog while seven sleepy cats watch quietly"
+    two = "every morning an old baker carries warm bread along the narrow street toward a silent harbour"
+    other = "nothing in this short passage has been taken from any of the stored questions at all"
+    rows = [(None, one), ("a", one), ("a", other), ("b", two), ("b", two), ("c", other), (None, other), ("d", None)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    bench = spark.createDataFrame([("q", one), ("q", two), ("q", one), (None, other)], "item_id string, text string")
+    assert sorted((r.doc_id, r.item_id, r.kind) for r in D.leaks(docs, bench).collect()) == [("a", "q", "verbatim"), ("b", "q", "verbatim")]
+    kept = [(r.doc_id, r.text) for r in D.clean(docs, bench).collect()]
+    assert sorted(kept, key=str) == sorted([("a", other), ("c", other), (None, other), ("d", None)], key=str)
+
+
 def test_slots_must_agree(spark):
     bench = spark.createDataFrame([(1, "take 5 apples from the blue box then put 5 apples into the red box again please")], "item_id long, text string")
     rows = [(1, "take 8 apples from the blue box then put 8 apples into the red box again please"), (2, "take 8 apples from the blue box then put 9 apples into the red box again please")]
