@@ -162,20 +162,21 @@ def region_from_text(df: DataFrame, places: DataFrame, text: str, key: str, gram
                      end.alias("_end"), F.substring(end, 1, gram).alias("_g"))
     span = names.agg(F.max("_n")).scalar()
 
-    t = df.select(F.col(key).alias("_k"), F.split(F.upper(F.col(text)), " ", -1).alias("_ws")).filter(F.col("_ws").isNotNull())
-    rows = t.select("_k", "_ws", F.posexplode("_ws").alias("_i", "_w")).filter(F.col("_w") != "")
-    rows = rows.select("_k", "_w", F.slice("_ws", F.col("_i") + 2, F.coalesce(span, F.lit(1)) - 1).alias("_next"))
+    # rows carry neither the whole text nor, at every letter, the whole word: both may be very long. Words go by their 64-bit hash
+    t = df.select(F.col(key).alias("_k"), F.split(F.upper(F.col(text)), " ", -1).alias("_ws"), (F.coalesce(span, F.lit(1)) - 1).alias("_m")).filter(F.col("_ws").isNotNull())
+    rows = t.select("_k", F.inline(F.transform("_ws", lambda w, i: F.struct(w.alias("_w"), F.slice("_ws", i + 2, F.col("_m")).alias("_next"))))).filter(F.col("_w") != "")
+    rows = rows.withColumn("_id", F.xxhash64("_w"))
 
     first = names.select("_f", F.substring("_f", 1, gram).alias("_s")).distinct()
     longest = F.coalesce(first.agg(F.max(F.length("_f"))).scalar(), F.lit(1))
     # what stands at every letter of a word, in one pass over the word
     at = F.regexp_extract_all("_w", F.concat(F.lit("(?s)(?=(.{1,"), longest.cast("string"), F.lit("}))")), F.lit(1))
-    at = rows.select("_w").distinct().select("_w", F.explode(at).alias("_at"))
+    at = rows.groupBy("_id").agg(F.min("_w").alias("_w")).select("_id", F.explode(at).alias("_at"))
     begin = lambda c: F.array_distinct(F.array(*[F.substring(c, 1, i) for i in range(1, gram + 1)]))
-    holds = at.select("_w", "_at", F.explode(begin("_at")).alias("_s")).join(first, "_s").filter(F.col("_at").startswith(F.col("_f"))).select("_w", "_f").distinct()
+    holds = at.select("_id", "_at", F.explode(begin("_at")).alias("_s")).join(first, "_s").filter(F.col("_at").startswith(F.col("_f"))).select("_id", "_f").distinct()
 
     salted = holds.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    met = rows.withColumn("_salt", F.pmod(F.xxhash64("_k"), F.lit(salts)).cast("int")).join(salted, ["_w", "_salt"])
+    met = rows.withColumn("_salt", F.pmod(F.xxhash64("_k"), F.lit(salts)).cast("int")).join(salted, ["_id", "_salt"]).filter(F.col("_w").contains(F.col("_f")))
     level = lambda n, mid, end: F.struct(F.lit(n).alias("_n") if isinstance(n, int) else n.alias("_n"), mid.alias("_mid"), end.alias("_last"))
     one = F.array(level(1, F.lit(""), F.lit("")))
     more = F.transform(F.sequence(F.lit(1), F.size("_next")), lambda i: level(i + 1, F.array_join(F.slice("_next", F.lit(1), i - 1), " "), F.element_at("_next", i)))
