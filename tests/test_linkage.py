@@ -108,3 +108,28 @@ def test_deaths_count_with_evidence_only(spark):
     s = L.death_summary(L.attach_deaths(c, links)).first()
     assert (s["matches"], s["deaths_linked"], s["matches_without_evidence"], s["deaths_union"]) == (5, 4, 1, 4)
     assert L.link_deaths(c, d.limit(0)).count() == 0 and L.link_deaths(c.limit(0), d).count() == 0
+
+
+def test_key_rows_grow_with_dates_not_with_days(spark):
+    """Dates a few days apart give a row each; before, every day at which only the later one is near was a row."""
+    cols = "exam_id string, notification string, birth_date date, sex string, code6 string, collected_date date, released_date date"
+    pool = [(f"e{j % 40:03d}", None, BASE, "M", "510001", day(j), day(j + j % 9)) for j in range(50)]
+    e = L._ranked(spark.createDataFrame(pool, cols).withColumnRenamed("exam_id", "partner"))
+    assert L._partner_rows(e, ["collected_date", "released_date"], ["full"]).count() <= 2 * len(pool)
+    ranks = {(r["partner"], r["rank"]) for r in e.collect()}
+    assert len(ranks) == 40 and [p for p, _ in sorted(ranks, key=lambda x: x[1])] == sorted(p for p, _ in ranks)
+    assert sorted(r["partner"] for r in e.filter("head").collect()) == sorted({p for p, _ in ranks})
+
+
+def test_weak_keys_are_asked_only_for_open_cases(spark, monkeypatch):
+    """A case linked by birth and place within 15 days needs no other key; one that is not still gets its best, by either path."""
+    cols = "notification string, birth_date date, sex string, code6 string"
+    c = spark.createDataFrame([(1, None, BASE, "M", "510001", day(5)), (2, None, day(1), "M", "510002", day(5)), (3, None, None, "M", "510001", day(5))], f"case_id int, {cols}, event_date date")
+    e = spark.createDataFrame([("a", None, BASE, "M", "510001", day(4)), ("b", None, BASE, "M", "510003", day(4))], f"exam_id string, {cols}, collected_date date")
+    seen, probe = [], L._probe
+    monkeypatch.setattr(L, "_probe", lambda *a: seen.append(probe(*a)) or seen[-1])
+    for few in (L._FEW_KEYS, 0):
+        monkeypatch.setattr(L, "_FEW_KEYS", few)
+        got = {r["case_id"]: (r["exam_id"], round(r["score"], 2), r["reasons"]) for r in L.link_best(c, e).collect()}
+        assert got == {1: ("a", 0.99, "birth_date;sex;municipality;collected_date_15d"), 2: ("a", 0.6, "birth_date_near;sex;collected_date_15d"), 3: ("a", 0.55, "sex;municipality;collected_date_15d")}
+        assert {r["case_id"] for r in seen[-1].collect()} == {2, 3}
