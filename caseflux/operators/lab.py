@@ -63,7 +63,8 @@ def lab_access(df: DataFrame, coords: DataFrame, lab_lat: float, lab_lon: float)
 def prepare_exams(exams: DataFrame, results: Sequence[str]) -> DataFrame:
     """SC28-SC30: relevant exams with parsed result text, method flags and turnaround; the exam id stays."""
     e = exams.filter(X.exam_relevant("exam")).withColumn("result_text", X.join_fields(results))
-    e = e.withColumns({**X.parse_lab_text("result_text"), **X.exam_flags("method", "exam_status")})
+    e = e.withColumn("_lab", X.lab_summary("result_text"))  # a column of its own, so that the flags share it
+    e = e.withColumns({**{n: F.col("_lab")[n] for n in X.LAB_FLAGS}, **X.exam_flags("method", "exam_status")}).drop("_lab")
     number = F.regexp_replace(F.col("notification").cast("string"), "\\D", "")
     return e.withColumns({"turnaround": F.datediff("released_date", "collected_date"), "notification": F.when(number != "", number)})
 

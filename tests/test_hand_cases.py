@@ -209,3 +209,17 @@ def test_digest_counts_the_whole_queue(spark):
     none = spark.createDataFrame([], case)
     r = G.digest_index(A.unified_queue(none, many, none, none)).filter("profile = 'regional'").first()
     assert r["items"] == r["critical_items"] == 900 and len(r["lines"].split("\n")) == 15
+
+
+def test_fields_of_a_result_are_cut_once_per_row(spark):
+    """Before, every flag cut and normalised the whole text again."""
+    from caseflux.operators import lab as LB
+
+    rows = [("e1", "1", "Neisseria PCR", "RT-PCR", "Resultado Liberado", "Neisseria meningitidis: Detectável", "Grupo – Neisseria meningitidis: B"), ("e2", None, "Neisseria PCR", "Látex", None, "Neisseria meningitidis: Não detectável", None),
+            ("e3", "3", "LCR - cultura", "Cultura", "Em análise", "Germe isolado: Haemophilus influenzae; Microbiota habitual", None)]
+    e = spark.createDataFrame(rows, "exam_id string, notification string, exam string, method string, exam_status string, f1 string, f2 string").selectExpr("*", "DATE'2020-01-01' AS collected_date", "DATE'2020-01-03' AS released_date")
+    got = LB.prepare_exams(e, ["f1", "f2"])
+    flags = {r["exam_id"]: (r["nm_detected"], r["nm_not_detected"], r["lab_serogroup"], r["lab_positive"]) for r in got.collect()}
+    assert flags == {"e1": (1, 0, "B", 1), "e2": (0, 1, "", 0), "e3": (0, 0, "", 1)}
+    plan = got.groupBy("nm_detected", "nm_not_detected", "hi_detected", "lab_serogroup", "lab_positive").count()._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1
