@@ -133,3 +133,35 @@ def test_weak_keys_are_asked_only_for_open_cases(spark, monkeypatch):
         got = {r["case_id"]: (r["exam_id"], round(r["score"], 2), r["reasons"]) for r in L.link_best(c, e).collect()}
         assert got == {1: ("a", 0.99, "birth_date;sex;municipality;collected_date_15d"), 2: ("a", 0.6, "birth_date_near;sex;collected_date_15d"), 3: ("a", 0.55, "sex;municipality;collected_date_15d")}
         assert {r["case_id"] for r in seen[-1].collect()} == {2, 3}
+
+
+def test_links_leave_neither_partners_nor_shuffles(spark, tmp_path, monkeypatch):
+    """Links are stored and the partners of all keys are off the disk; slices of keys give the same links. Before, the
+    rows of both sides stayed as they are in memory and every later step carried the shuffles of the whole linkage."""
+    import glob
+
+    cases, exams = fixture(7, 0.4)
+    c = spark.createDataFrame(cases, "case_id int, notification string, birth_date date, sex string, code6 string, event_date date")
+    e = spark.createDataFrame(exams, "exam_id string, notification string, birth_date date, sex string, code6 string, collected_date date, released_date date")
+    monkeypatch.setattr("caseflux.operators.filters.shared_folder", lambda _: str(tmp_path))
+    for rows in (L._SLICE_ROWS, 30):
+        monkeypatch.setattr(L, "_SLICE_ROWS", rows)
+        links = L.link_best(c, e)
+        assert "Exchange" not in links._jdf.queryExecution().executedPlan().toString()
+        assert not any("partner" in spark.read.parquet(f).columns for f in glob.glob(f"{tmp_path}/*"))
+        assert {r["case_id"]: (r["exam_id"], round(r["score"], 2)) for r in links.collect()} == brute(cases, exams, 55)
+
+
+def test_store_keeps_rows_and_settings(spark):
+    from caseflux.operators import filters as T
+
+    df = spark.createDataFrame([(1, "a", day(3), None), (None, None, None, 0.5), (1, "a", day(3), None)], "a long, b string, c date, d double")
+    before = spark.conf.get(T._DROP_SHUFFLES)
+    kept = T.store(df.repartition(3, "a"))
+    key = lambda r: tuple(str(x) for x in r)
+    assert kept.dtypes == df.dtypes and sorted(kept.collect(), key=key) == sorted(df.collect(), key=key) and spark.conf.get(T._DROP_SHUFFLES) == before
+    assert T.store(df.limit(0)).count() == 0
+    files = kept.inputFiles()
+    T.discard(kept)
+    import os
+    assert files and not any(os.path.exists(f.replace("file://", "")) for f in files)
