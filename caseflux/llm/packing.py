@@ -15,16 +15,19 @@ are packed each; a null doc_id is carried along; extra columns are ignored.
 from __future__ import annotations
 
 import re
+import string
 import unicodedata
 from functools import lru_cache
-from itertools import chain, repeat
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .chunk_memo import Memo, Ragged
 from .common import settle
 
 LONGEST = 2048
@@ -40,88 +43,73 @@ def _byte_letters() -> dict[int, str]:
 
 
 _LETTER = _byte_letters()
-_WORD_STOP = re.compile(r"(?<=[^\W_])([.,])(?=[ \n\t\r]|\Z)")
+_LETTER_CODES = np.array([32 if b == 32 else ord(_LETTER[b]) for b in range(256)], "<u4")  # blanks stay, they part words
+_MARKS = string.punctuation
+_MARK = re.compile(rf"([{re.escape(_MARKS)}])(?<=[^\W_].)")  # the mark first: the search then skips what is none
 
 
 class ChunkTable:
     """Token ids of blank-free chunks of text.
 
-    Plain texts are lower-cased and get a blank before a stop or comma that follows a letter or digit:
-    these tokenizers lower-case and split there anyway, and far fewer chunks differ. A chunk of letters is
-    one word to the tokenizer, so its model is asked directly; every other chunk goes through all of it.
+    Plain texts are lower-cased and get a blank before a punctuation mark that follows a letter or digit:
+    these tokenizers lower-case and split there anyway, and far fewer chunks differ. Arrow tells the chunks of
+    a batch apart, so only its distinct ones are looked up. A chunk of letters is one word to the tokenizer, so
+    its model is asked directly; every other chunk goes through all of it.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.lowers = self.tokenizer.encode("QZ", add_special_tokens=False).ids == self.tokenizer.encode("qz", add_special_tokens=False).ids
-        self.direct = self.lowers and all(self._word(w) == self.tokenizer.encode(w, add_special_tokens=False).ids for w in ("plain", "naïve", "straße", "слово"))
-        self.stops = all(self.tokenizer.encode(f"ab{x}", add_special_tokens=False).ids == self.tokenizer.encode(f"ab {x}", add_special_tokens=False).ids for x in ".,")
-        self.clear()
-
-    def _word(self, w: str) -> list[int]:
-        return [t.id for t in self.tokenizer.model.tokenize(w if w.isascii() else w.encode().decode("latin-1").translate(_LETTER))]
+        self.ask = self.tokenizer.model.tokenize
+        self.lowers = self._whole("QZ") == self._whole("qz")
+        words = ("plain", "naïve", "straße", "слово")
+        self.direct = self.lowers and self._words(list(words)) == [self._whole(w) for w in words]
+        self.marks = all(self._whole(f"{w}{x}") == self._whole(f"{w} {x}") for w in ("ab", "é", "я7") for m in _MARKS for x in (m, m + "s", m + ".b"))
+        self.memo = Memo(self._learn, self.clear, REMEMBERED)
+
+    def _whole(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _words(self, words: list[str]) -> list[list[int]]:
+        joined = " ".join(words)
+        if not joined.isascii():
+            words = _LETTER_CODES[np.frombuffer(joined.encode(), np.uint8)].tobytes().decode("utf-32-le").split(" ")
+        return [[t.id for t in self.ask(w)] for w in words]
 
     def clear(self) -> None:
-        self.at: dict[str, int] = {"": 0}
-        self.start, self.size = [0], [0]
-        self.pool: list[np.ndarray] = [np.zeros(0, np.uint32)]
-        self.filled = 0
-        self.frozen = None
+        self.ids = Ragged(np.uint32)
 
     def _learn(self, chunks: list[str]) -> None:
-        ids: list[list[int] | None] = []
-        for c in chunks:
-            if not (self.direct and c.isalpha()):
-                ids.append(None)
-            elif c.isascii():
-                ids.append(self._word(c.lower()))
-            else:
-                ids.append(self._word(c) if c.lower() == c and unicodedata.is_normalized("NFC", c) else None)
-        whole = [k for k, i in enumerate(ids) if i is None]
+        lows = [c.lower() for c in chunks]
+        one = [self.direct and c.isalpha() and (c.isascii() or (w == c and unicodedata.is_normalized("NFC", c))) for c, w in zip(chunks, lows, strict=True)]
+        words = iter(self._words([w for w, o in zip(lows, one, strict=True) if o]))
+        others = (e.ids for e in self._encodings([c for c, o in zip(chunks, one, strict=True) if not o]))
+        ids = [next(words if o else others) for o in one]
+        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        self.ids.append(np.fromiter(chain.from_iterable(ids), np.uint32, int(size.sum())), size)
+
+    def _encodings(self, chunks: list[str]):
         encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        for lo in range(0, len(whole), 20_000):
-            part = whole[lo:lo + 20_000]
-            for k, e in zip(part, encode([chunks[k] for k in part], add_special_tokens=False), strict=True):
-                ids[k] = e.ids
-        for c, i in zip(chunks, ids, strict=True):
-            self.at[c] = len(self.start)
-            self.start.append(self.filled)
-            self.size.append(len(i))
-            self.filled += len(i)
-        self.pool.append(np.fromiter(chain.from_iterable(ids), np.uint32))
-        self.frozen = None
+        for lo in range(0, len(chunks), 20_000):
+            yield from encode(chunks[lo:lo + 20_000], add_special_tokens=False)
 
     def _plain(self, t: str) -> str:
         """The text with its chunks parted by single blanks."""
-        if self.lowers and self.stops and (t.isascii() or ("Σ" not in t and "İ" not in t and unicodedata.is_normalized("NFC", t))) and "<|" not in t:
-            t = _WORD_STOP.sub(r" \1", t.lower())
+        if self.lowers and self.marks and (t.isascii() or ("Σ" not in t and "İ" not in t and unicodedata.is_normalized("NFC", t))) and "<|" not in t:
+            t = _MARK.sub(r" \1", t.lower())
         return t.replace("\n", " ").replace("\t", " ").replace("\r", " ")
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts one after the other, and each text's number of ids."""
         if not texts:
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
-        if len(self.at) > REMEMBERED:
-            self.clear()
-        plain = [self._plain(t) for t in texts]
-        n = np.array([t.count(" ") + 1 for t in plain])
-        chunks = " ".join(plain).split(" ")
-        which = np.fromiter(map(self.at.get, chunks, repeat(-1)), np.int64, len(chunks))
-        new = np.flatnonzero(which < 0)
-        if len(new):
-            self._learn(sorted({chunks[k] for k in new}))
-            which[new] = [self.at[chunks[k]] for k in new]
-        if self.frozen is None:
-            self.frozen = np.array(self.start), np.array(self.size), np.concatenate(self.pool)
-            self.pool = [self.frozen[2]]
-        start, size, pool = self.frozen
-        count = size[which]
-        end = np.cumsum(count)
-        take = np.arange(int(end[-1])) + np.repeat(start[which] - (end - count), count)
-        upto = np.concatenate(([0], end))[np.cumsum(n)]
-        return pool[take], np.diff(np.concatenate(([0], upto)))
+        lists = pc.split_pattern(pa.array([self._plain(t) for t in texts], pa.large_string()), " ")
+        told = lists.flatten().dictionary_encode()
+        number = self.memo.numbers(told.dictionary.to_numpy(zero_copy_only=False).tolist())
+        ids, count = self.ids.gather(number[told.indices.to_numpy()])
+        upto = np.concatenate(([0], np.cumsum(count)))[lists.offsets.to_numpy()]
+        return ids, np.diff(upto)
 
 
 @lru_cache(maxsize=1)

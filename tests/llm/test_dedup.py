@@ -186,3 +186,32 @@ def test_packing_round_trip(spark):
     digest = {(r.doc_id, r.start): r.ids_crc32 for r in P.pack_digest(df, path).collect()}
     assert all(digest[r.doc_id, r.start] == zlib.crc32(bytes(r.ids)) for r in got)
     assert P.pack(df.limit(0), path).count() == 0
+
+
+def test_packing_learns_a_word_once_whatever_mark_follows():
+    pytest.importorskip("tokenizers")
+    path = str(pytest.importorskip("public_tokenizers").path("word_bpe_49k.json"))
+    words = sorted(set(invented(random.Random(7), 400).split()))
+    marks = ["", ".", ",", "***", "!!", ",&&&", ")", "'s", ":"]
+    learned = []
+    chunks = P.ChunkTable(path)
+    learn = chunks.memo.learn
+    chunks.memo.learn = lambda new: (learned.extend(new), learn(new))
+    text = " ".join(w + m for w in words for m in marks)
+    ids, n = chunks.encode([text, "", text])
+    want = chunks.tokenizer.encode(text, add_special_tokens=False).ids
+    assert ids.tolist() == want * 2 and n.tolist() == [len(want), 0, len(want)]
+    assert len(learned) == len(set(learned)) <= len(words) + len(marks)
+
+
+def test_packing_ids_of_odd_texts():
+    pytest.importorskip("tokenizers")
+    path = str(pytest.importorskip("public_tokenizers").path("word_bpe_49k.json"))
+    chunks, rng = P.ChunkTable(path), random.Random(5)
+    letters = [*"aAzZéÉßñ059'\".,;:-_*&%$#@()[]<>|/\\^`~ \n\t\r", "  ", "’", "—", "²", "½", "Ⅳ", "中", "한", "é", "́", "̸", "Я", " ", "　", "​", "\x0b", "\x1c", "\x01", "ﬁ", "ǅ", "ſ", "K", "'s", "'re", "'LL", "<|endoftext|>", "<|", "Σ", "İ", "٣", "ʼ"]
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 25))) for _ in range(3000)]
+    ids, n = chunks.encode(texts)
+    at = 0
+    for t, k in zip(texts, n.tolist(), strict=True):
+        assert ids[at:at + k].tolist() == chunks.tokenizer.encode(t, add_special_tokens=False).ids
+        at += k
