@@ -126,7 +126,7 @@ def _item_windows(batches):
     """One row per window of an item: hash, item, position in the item, and its slots."""
     for b in batches:
         ids = b.column("item_id").to_pylist()
-        for s in slices(b.column("text").to_pylist()):
+        for s in slices(b.column("text")):
             got, coarse = readings(s)
             plain = got[0]
             n = np.bincount(plain.own, minlength=s.n)
@@ -195,7 +195,7 @@ def _find(block):
         for b in batches:
             ids = b.column("doc_id").to_pylist()
             out = [[] for _ in range(7)]
-            for s in slices(b.column("text").to_pylist()):
+            for s in slices(b.column("text")):
                 got, coarse = readings(s)
                 found = [*_window_rows(got, WINDOW), _raw_windows(got, WINDOW)]
                 begin = np.searchsorted(got[0].own, np.arange(s.n))

@@ -30,13 +30,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM, U, components, mix, prefix_sums, settle, slices, windows, words
+from .common import ALNUM, U, components, mix, prefix_sums, release, settle, slices, windows, words
 
 SHINGLE = 5
 SIMILARITY = 0.8
 ROWS, BANDS = 4, 20  # a pair at similarity 0.8 is missed with probability 3e-5
 REGISTERS = ROWS * BANDS
 SKETCH = 1024
+PAIRS = 250  # pairs whose texts a worker takes out of a batch at once
 _ODD = U(0x9E3779B97F4A7C15)
 _UNIT = 2.0 ** -64
 
@@ -118,9 +119,8 @@ def signatures(h: np.ndarray, own: np.ndarray, count: np.ndarray, n: int, regist
 def _sign(batches):
     """Per row: bag hash, number of shingles and band keys."""
     for b in batches:
-        texts = b.column("_t").to_pylist()
         bag, size, keys = [], [], []
-        for s in slices(texts, lower=True):
+        for s in slices(b.column("_t"), lower=True):
             h, own, count = bags(s)
             sig = signatures(h, own, count, s.n)
             total = np.zeros(s.n, U)
@@ -159,7 +159,7 @@ def overlap(a: list, b: list) -> np.ndarray:
 
 
 def _verify(batches):
-    for b in batches:
+    for b in (x.slice(lo, PAIRS) for x in batches for lo in range(0, x.num_rows, PAIRS)):
         sim = overlap([x or "" for x in b.column("ta").to_pylist()], [x or "" for x in b.column("tb").to_pylist()])
         yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(sim)], ["a", "b", "sim"])
 
@@ -168,7 +168,7 @@ def _shingle_rows(batches):
     for b in batches:
         ids = b.column("node").to_numpy()
         at = 0
-        for s in slices([x or "" for x in b.column("t").to_pylist()], lower=True):
+        for s in slices(b.column("t"), lower=True):
             h, own, count = bags(s)
             yield pa.RecordBatch.from_arrays([pa.array(ids[at + own]), pa.array(h.view(np.int64)), pa.array(count)], ["node", "shingle", "n"])
             at += s.n
@@ -180,9 +180,9 @@ _BITS = [f"s{i}" for i in range(SKETCH // 64)]
 def _sketches(batches):
     """One bit of each of SKETCH registers per text."""
     for b in batches:
-        ids, texts = b.column("node"), [x or "" for x in b.column("t").to_pylist()]
-        rows = np.zeros((len(texts), len(_BITS)), np.int64)
-        for s in slices(texts, lower=True, most=100):  # some 10,000 points a text
+        ids = b.column("node")
+        rows = np.zeros((b.num_rows, len(_BITS)), np.int64)
+        for s in slices(b.column("t"), lower=True, most=100):  # some 10,000 points a text
             bit = (signatures(*bags(s), s.n, SKETCH) & U(1)).astype(np.uint8)
             rows[s.lo:s.lo + s.n] = np.packbits(bit, axis=1).view(np.int64)
         yield pa.RecordBatch.from_arrays([ids, *(pa.array(np.ascontiguousarray(rows[:, i])) for i in range(len(_BITS)))], ["m", *_BITS])
@@ -206,6 +206,7 @@ def _classes(docs: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
     # one node per text, named by its hash: ids may be missing, or be given to several texts
     texts = settle(signed.groupBy("h").agg(F.min("id").alias("id"), F.count("*").alias("n_copies"), F.min("bag").alias("bag"), F.min("size").alias("size"), F.min("keys").alias("keys"))
                    .withColumn("node", F.xxhash64("h")))
+    release(docs.sparkSession)
     # texts with one and the same bag of shingles are linked to the smallest of them
     heads = texts.where("bag is not null").groupBy("bag").agg(F.min("node").alias("head"), F.min("size").alias("size"), F.first("keys").alias("keys"))
     same = texts.join(heads.select("bag", "head"), "bag").where("node != head").select(F.col("node").alias("a"), F.col("head").alias("b"))
@@ -218,12 +219,14 @@ def _classes(docs: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
     want = texts.join(members.select(F.col("m").alias("node")).distinct(), "node").select(F.col("h").alias("wh"), F.col("id").alias("wid"), "node")
     body = rows.join(want, (F.col("_h") == F.col("wh")) & F.col("_id").eqNullSafe(F.col("wid"))).groupBy("node").agg(F.first("_t").alias("t"))
     body = settle(body)  # the texts that share a bucket, once each
+    release(docs.sparkSession)
     links = settle(_check(star, body, similarity).unionByName(same))
     roots = components(links)
     # buckets that still hold members of several classes
     placed = members.select("key", "m", "size").join(roots.withColumnRenamed("node", "m"), "m", "left").withColumn("root", F.coalesce("root", "m"))
     mixed = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("key", "lo")
     open_ = settle(placed.join(mixed, "key"))
+    release(docs.sparkSession)
     # what a text has of shingles that no other open text has can overlap with none of them
     shingles = body.join(open_.select(F.col("m").alias("node")).distinct(), "node").mapInArrow(_shingle_rows, "node long, shingle long, n long")
     own = shingles.groupBy("shingle").agg(F.count("*").alias("k"), F.min("node").alias("m"), F.min("n").alias("n")).where("k = 1").groupBy("m").agg(F.sum("n").alias("own"))
@@ -240,7 +243,9 @@ def _classes(docs: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
     once = F.array_min(F.array_intersect("all_keys", "pkeys")) == F.col("key")  # a pair is made in the first bucket it shares
     pairs = open_.join(other, "key").where(near & once)
     pairs = pairs.select(F.least("m", "p").alias("a"), F.greatest("m", "p").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
-    roots = components(settle(links.unionByName(_check(pairs, body, similarity))))
+    more = settle(_check(pairs, body, similarity))
+    release(docs.sparkSession)
+    roots = components(links.unionByName(more))
     lead = F.struct(F.col("id").isNull().alias("no_id"), "id", "h")
     placed = settle(texts.select("h", "id", "node", "n_copies").join(roots, "node", "left"))
     linked = placed.where("root is not null")

@@ -215,3 +215,37 @@ def test_packing_ids_of_odd_texts():
     for t, k in zip(texts, n.tolist(), strict=True):
         assert ids[at:at + k].tolist() == chunks.tokenizer.encode(t, add_special_tokens=False).ids
         at += k
+
+
+def test_a_worker_holds_one_slice_of_a_batch():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from caseflux.llm.common import slices
+
+    rng = random.Random(5)
+    texts = [None if i % 50 == 7 else " ".join(str(rng.randrange(10**5)) for _ in range(400)) for i in range(2500)]
+    for some in (texts, texts[:3], [None], []):
+        column = pa.array(some, pa.string())
+        for kind in ({}, {"lower": True, "limit": 9000}, {"most": 7}):
+            want, got = list(slices(some, **kind)), list(slices(column, **kind))
+            assert [(s.lo, s.n, s.buf.tobytes(), s.at.tolist()) for s in got] == [(s.lo, s.n, s.buf.tobytes(), s.at.tolist()) for s in want]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(2500)), pa.array(range(2500)), pa.array(texts, pa.string())], ["_id", "_h", "_t"])
+    tracemalloc.start()
+    rows = sum(b.num_rows for b in N._sign([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 2500 and peak < 70_000_000, peak
+
+
+def test_checking_pairs_in_pieces_loses_none():
+    import pyarrow as pa
+
+    a = [f"one two three four five six seven w{i % 9}" for i in range(2 * N.PAIRS + 3)]
+    b = [f"one two three four five six seven w{i % 7}" for i in range(len(a))]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(a))), pa.array(range(len(a))), pa.array(a), pa.array(b)], ["a", "b", "ta", "tb"])
+    out = list(N._verify([batch, batch.slice(0, 0)]))
+    assert max(x.num_rows for x in out) <= N.PAIRS
+    assert [x for o in out for x in o.column("a").to_pylist()] == list(range(len(a)))
+    assert np.allclose(np.concatenate([o.column("sim").to_numpy() for o in out]), N.overlap(a, b))
