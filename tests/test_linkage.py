@@ -165,3 +165,39 @@ def test_store_keeps_rows_and_settings(spark):
     T.discard(kept)
     import os
     assert files and not any(os.path.exists(f.replace("file://", "")) for f in files)
+
+
+def test_a_key_is_one_number_and_links_carry_partner_columns(spark):
+    """Keys sent to the tasks are numbers, not four columns; what no case has is still found by its number. A link shows
+    the smallest of what the rows of its id carry, without another look at the partners."""
+    cols = "notification string, birth_date date, sex string, code6 string"
+    c = spark.createDataFrame([(1, None, BASE, "M", "510001", day(5)), (2, "n2", day(400), "F", None, None), (3, None, BASE, None, "510001", day(5)), (4, None, None, "F", "510009", day(5))], f"case_id int, {cols}, event_date date")
+    e = spark.createDataFrame([("b", None, BASE, "M", "510001", day(4), "y", None), ("b", None, None, "M", "510001", day(90), "x", "r"), ("c", "n2", BASE, "X", "990000", None, "z", None), ("d", None, day(1), "X", "510001", day(5), "w", None),
+                               (None, None, BASE, None, "510001", day(5), "v", None)], f"exam_id string, {cols}, collected_date date, method string, result string")
+    plain = c.fillna({"sex": ""})
+    probe = L._probe(L._coded(plain, L._codes(plain)), L._kinds(55), L.F.lit(55))
+    assert dict(probe.dtypes)["key"] == "bigint" and probe.select("case_id", "key").distinct().count() == probe.count()
+    got = {r["case_id"]: (r["exam_id"], round(r["score"], 2), r["method"], r["result"]) for r in L.link_best(c, e, carry=["method", "result"]).collect()}
+    assert got == {1: ("b", 0.99, "x", "r"), 2: ("c", 1.0, "z", None)}
+    assert {r["case_id"]: r["exam_id"] for r in L.link_best(c, e).collect()} == {1: "b", 2: "c"}
+
+
+def test_linked_cases_keep_what_is_read(spark, monkeypatch):
+    """The case build of a query holds the columns its steps read; before, all of them were derived and stored, and exams a
+    second time for method and result."""
+    from caseflux.catalog import q_alerts as A
+    from caseflux.catalog import q_linkage as Q
+    from caseflux.operators import filters as T
+
+    kept, built = [], []
+    for m in (A, Q, L):
+        monkeypatch.setattr(m, "store", lambda df: kept.append(df.columns) or T.store(df))
+    monkeypatch.setattr(Q.V, "exams", lambda s, d, f=Q.V.exams: built.append(1) or f(s, d))
+    d = "/root/testdata/sf0.001"
+    want = {(r["case_id"], r["lab_match"], r["lab_method"], r["lab_result"]) for r in Q.enriched(spark, d, Q.C.cases(spark, d)).select("case_id", "lab_match", "lab_method", "lab_result").collect()}
+    kept.clear()
+    got = Q.linked_cases(spark, d)
+    assert {(r["case_id"], r["lab_match"], r["lab_method"], r["lab_result"]) for r in got.select("case_id", "lab_match", "lab_method", "lab_result").collect()} == want
+    assert all(len(x) <= 12 for x in kept) and set(kept[0]) == set(Q.SIDE)
+    kept.clear()
+    assert A.queue(spark, d).count() and set(kept[0]) == set(A.QUEUED) and {"symptom_fever_bin", "population"}.isdisjoint(kept[0])
