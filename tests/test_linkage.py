@@ -201,3 +201,37 @@ def test_linked_cases_keep_what_is_read(spark, monkeypatch):
     assert all(len(x) <= 12 for x in kept) and set(kept[0]) == set(Q.SIDE)
     kept.clear()
     assert A.queue(spark, d).count() and set(kept[0]) == set(A.QUEUED) and {"symptom_fever_bin", "population"}.isdisjoint(kept[0])
+
+
+def test_queue_read_by_another_step_is_not_sorted(spark):
+    """The day queue and the digest order or count the queue anew: it reaches them whole, without a sort of all rows before.
+    Rows of a key are told apart by the key, nulls too, whatever number leads them."""
+    from caseflux.operators import alerts as A
+    from caseflux.operators.ordering import first_per_key
+
+    cols = "case_id int, municipality string, region string, class_group string, kind string, severity string, evidence string"
+    rows = [(1, "a", "ASIA", "x", "k", "Alto", None), (1, "a", "ASIA", "x", "k", "Crítico", None), (2, "b", None, "x", "k", "Atenção", "e"), (2, "b", None, "x", "k", "Atenção", "")]
+    t = spark.createDataFrame(rows, cols)
+    both = [A.unified_queue(t.limit(0), t, t.limit(0), t, ordered=o) for o in (True, False)]
+    plans = [q._jdf.queryExecution().optimizedPlan().toString() for q in both]
+    assert "Sort [" in plans[0] and "Sort [" not in plans[1]
+    key = lambda r: tuple(str(x) for x in r)
+    assert sorted(both[0].collect(), key=key) == sorted(both[1].collect(), key=key)
+    assert [(r["priority"], r["origin"], r["evidence"]) for r in both[0].collect()] == [("Crítico", "linkage", None), ("Atenção", "linkage", ""), ("Atenção", "linkage", "e")]
+    p = spark.createDataFrame([("a", None, 2), ("a", None, 1), (None, "b", 3), (None, "b", 4), ("a", "b", 5)], "x string, y string, z int")
+    assert sorted(first_per_key(p, ["x", "y"], [L.F.col("z")]).collect(), key=key) == sorted([("a", None, 1), (None, "b", 3), ("a", "b", 5)], key=key)
+
+
+def test_status_links_stored_tables(spark, monkeypatch):
+    """Rows are counted and linked over the same stored tables; before, cases were derived for each source and the partners
+    once to link and once to count them."""
+    from caseflux.catalog import load
+    from caseflux.catalog import q_linkage as Q
+    from caseflux.operators.filters import is_stored
+
+    seen, best = [], L.link_best
+    monkeypatch.setattr(L, "link_best", lambda c, e, *a, **k: seen.append((is_stored(c), is_stored(e))) or best(c, e, *a, **k))
+    d = "/root/testdata/sf0.001"
+    got = {r["source"]: (r["status"], r["rows"], r["matches"]) for r in load()[0]["ag45_linkage_status"](spark, d).collect()}
+    assert seen == [(True, True)] * 2 and got["lacen"] == ("AUSENTE", 0, 0)
+    assert (got["gal"][1], got["sim"][1]) == (Q.V.exams(spark, d).count(), Q.V.deaths(spark, d).count())
